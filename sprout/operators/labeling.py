@@ -185,8 +185,8 @@ def validate_responses(requests: DataFrame, responses: DataFrame, group_col: str
 
     out_of_domain = F.aggregate(F.col("items"), F.lit(0), lambda acc, it: acc + bad_value(it))
     verbatim = F.aggregate(
-        F.zip_with("records", "items", lambda r, it: F.when(r["text"] == F.element_at(it, F.lit("text")), 0)
-                   .otherwise(1)),
+        F.zip_with("records", "items", lambda r, it: F.when(it.isNull() | r.isNull(), 0)
+                   .when(r["text"] == F.element_at(it, F.lit("text")), 0).otherwise(1)),
         F.lit(0), lambda acc, x: acc + x,
     )
     res = j.select(

@@ -1,9 +1,14 @@
 """Exact consecutive row numbers without a single-task window.
 
 ``row_number().over(Window.partitionBy(g).orderBy(o))`` puts a whole group in one task; a source holding a
-third of all rows would then run on one core. Here rows are range-partitioned on ``(group, order)``, numbered
-inside each partition, and shifted by the row counts of the earlier partitions of the same group (a small
-table of at most partitions x groups-per-partition rows).
+third of all rows would then run on one core. Here the narrow key frame ``(group, order)`` is range-partitioned,
+numbered inside each partition, and shifted by the row counts of the earlier partitions of the same group (a
+small table of at most partitions x groups-per-partition rows).
+
+The tagged key frame is checkpointed to the shared checkpoint folder before it is used twice: partition ids come
+from a sampled range partitioner, and both uses (counts and rows) must see the very same partitioning, also
+after an executor is lost. The index is then joined back on the unique ``(group, order)`` key, a join without
+hot keys.
 """
 
 from __future__ import annotations
@@ -11,26 +16,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sprout.session import shared_dir
+
 
 def consecutive_index(df: DataFrame, group_cols: list[str], order_cols: list[str], out_col: str = "idx",
                       num_partitions: int | None = None) -> DataFrame:
     """Add ``out_col`` = 0-based position of the row inside its group in ``order_cols`` order.
 
-    ``(group_cols, order_cols)`` must be unique so the numbering is deterministic (and identical when a lost
-    partition is recomputed).
+    ``(group_cols, order_cols)`` must be unique.
     """
     spark = df.sparkSession
+    shared_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*group_cols, *order_cols]
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    tagged = ranged.withColumn("__pid", F.spark_partition_id()).withColumn("__mid", F.monotonically_increasing_id())
-    counts = tagged.groupBy("__pid", *group_cols).agg(
-        F.min("__mid").alias("__m0"), F.count(F.lit(1)).alias("__cnt")
+    tagged = (
+        df.select(*keys)
+        .repartitionByRange(n, *keys)
+        .sortWithinPartitions(*keys)
+        .withColumn("__pid", F.spark_partition_id())
+        .withColumn("__mid", F.monotonically_increasing_id())
+        .checkpoint(eager=True)
     )
-    w = Window.partitionBy(*group_cols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1) \
-        if group_cols else Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(w), F.lit(0)))
-    joined = tagged.join(offsets.drop("__cnt"), ["__pid", *group_cols])
-    return joined.withColumn(out_col, F.col("__mid") - F.col("__m0") + F.col("__off")).drop(
-        "__pid", "__mid", "__m0", "__off"
+    counts = tagged.groupBy("__pid", *group_cols).agg(F.min("__mid").alias("__m0"), F.count(F.lit(1)).alias("__cnt"))
+    frame = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
+    w = frame.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(w), F.lit(0))).drop("__cnt")
+    idx = tagged.join(offsets, ["__pid", *group_cols]).select(
+        *keys, (F.col("__mid") - F.col("__m0") + F.col("__off")).alias(out_col)
     )
+    return df.join(idx, keys)
