@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sprout.plans import label_queries, text_queries
+from sprout.plans import label_queries, model_queries, text_queries
 
-_MODULES = [text_queries, label_queries]
+_MODULES = [text_queries, label_queries, model_queries]
 
 FLAGSHIP = "clean_text"
 
