@@ -86,29 +86,59 @@ def build_requests(batched: DataFrame, group_col: str, text_col: str = "text") -
 # ---------------------------------------------------------------------------------------------------------------
 # L3: labellers
 # ---------------------------------------------------------------------------------------------------------------
-def lexicon_label(tokens_df: DataFrame, key_col: str, tokens_col: str, lexicon: DataFrame,
-                  max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """L3 (built-in, declarative): tokens JOIN lexicon -> per label sum(polarity) -> sign, clipped to the label
-    domain; then L8 (neutral = 1 when every category is 0). Output: key + one TINYINT column per label.
+def lexicon_counts(tokens_df: DataFrame, key_cols: list[str] | str, tokens_col: str, lexicon: DataFrame,
+                   max_broadcast_rows: int = 1_000_000) -> DataFrame:
+    """Tokens JOIN lexicon -> per key ``pos_<label>`` / ``neg_<label>`` hit counts for every category.
 
-    Tokens are exploded with ``explode_outer`` and aggregated per document with a partial aggregate, so every
-    document appears (all-zero labels when nothing matches) without a join back to the documents.
+    Tokens are exploded with ``explode_outer`` and aggregated per key with a partial aggregate, so every key
+    appears (zero counts when nothing matches) without a join back, and a key holding a third of all tokens is
+    combined inside each map task before the shuffle. The lexicon is broadcast only below a counted size.
     """
+    keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     lex = broadcast_if_small(lexicon.select("term", "label", "polarity"), max_broadcast_rows)
-    ex = tokens_df.select(key_col, F.explode_outer(tokens_col).alias("term"))
+    ex = tokens_df.select(*keys, F.explode_outer(tokens_col).alias("term"))
     hits = ex.join(lex, "term", "left")
-    aggs = [
-        F.coalesce(F.sum(F.when(F.col("label") == name, F.col("polarity"))), F.lit(0)).alias(name)
-        for name in fixed.REQUIRED_LABELS
-    ]
-    scores = hits.groupBy(key_col).agg(*aggs)
+    aggs = []
+    for name in fixed.REQUIRED_LABELS:
+        is_l = F.col("label") == name
+        aggs.append(F.count(F.when(is_l & (F.col("polarity") > 0), 1)).cast("int").alias(f"pos_{name}"))
+        aggs.append(F.count(F.when(is_l & (F.col("polarity") < 0), 1)).cast("int").alias(f"neg_{name}"))
+    return hits.groupBy(*keys).agg(*aggs)
+
+
+def _member_of(values: list[str]):
+    return lambda t: t.isin(*values)
+
+
+def lexicon_counts_inrow(tokens: Column, lexicon: list[tuple[str, str, int]]) -> list[Column]:
+    """Same counts as ``lexicon_counts`` for a small, fixed lexicon, computed inside the row (no shuffle): one
+    hash-set pass keeps the matching tokens, then each category counts its terms in that short array."""
+    terms = sorted({t for t, _, _ in lexicon})
+    matched = F.filter(tokens, lambda t: t.isin(*terms))
+    cols = []
+    for name in fixed.REQUIRED_LABELS:
+        for sign, prefix in ((1, "pos"), (-1, "neg")):
+            mine = sorted({t for t, lab, p in lexicon if lab == name and (p > 0) == (sign > 0)})
+            if mine:
+                c = F.size(F.filter(matched, _member_of(mine)))
+            else:
+                c = F.lit(0)
+            cols.append(c.cast("int").alias(f"{prefix}_{name}"))
+    return cols
+
+
+def lexicon_label(tokens_df: DataFrame, key_col: str, tokens_col: str, lexicon: DataFrame,
+                  max_broadcast_rows: int = 1_000_000) -> DataFrame:
+    """L3 (built-in, declarative): per label sign(positive hits - negative hits), clipped to the label domain;
+    then L8 (neutral = 1 when every category is 0). Output: key + one TINYINT column per label."""
+    counts = lexicon_counts(tokens_df, key_col, tokens_col, lexicon, max_broadcast_rows)
     cols = []
     for name, lo, hi in fixed.LABEL_SPEC:
         if name == "neutral":
             continue
-        v = F.signum(F.col(name)).cast("int")
+        v = F.signum(F.col(f"pos_{name}") - F.col(f"neg_{name}")).cast("int")
         cols.append(F.least(F.greatest(v, F.lit(lo)), F.lit(hi)).cast("tinyint").alias(name))
-    out = scores.select(key_col, *cols)
+    out = counts.select(key_col, *cols)
     return out.withColumn("neutral", neutral_flag([F.col(n) for n in fixed.REQUIRED_LABELS]))
 
 

@@ -37,6 +37,27 @@ def linear_logits(vec: Column, weights: list[list[float]], bias: list[float]) ->
     return F.array(*outs)
 
 
+def lexicon_logits(slope: float = 1.5, offset: float = -1.0) -> Column:
+    """Logits of the built-in lexicon scorer over ``pos_<label>`` / ``neg_<label>`` count columns, in
+    polarity-expanded label order: z = slope * hits + offset; neutral: z = -offset - slope * all hits."""
+    outs = []
+    total = None
+    for name, lo, _ in fixed.LABEL_SPEC:
+        if name == "neutral":
+            continue
+        both = F.col(f"pos_{name}") + F.col(f"neg_{name}")
+        total = both if total is None else total + both
+    for name, lo, _ in fixed.LABEL_SPEC:
+        if name == "neutral":
+            outs.append(F.lit(-offset) - F.lit(slope) * total)
+        elif lo < 0:
+            outs.append(F.lit(slope) * F.col(f"pos_{name}") + F.lit(offset))
+            outs.append(F.lit(slope) * F.col(f"neg_{name}") + F.lit(offset))
+        else:
+            outs.append(F.lit(slope) * F.col(f"pos_{name}") + F.lit(offset))
+    return F.array(*outs)
+
+
 def probs_from_logits(logits: Column) -> Column:
     return F.transform(logits, lambda z: sigmoid(z))
 

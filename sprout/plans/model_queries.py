@@ -426,3 +426,80 @@ ORACLES.update({
     "wellness_score": o_wellness_score,
     "growth_index_daily": o_growth_index_daily,
 })
+
+
+# --- I9 / I10 / S13: text records ---------------------------------------------------------------------------------
+def _user_turns(spark, sf_dir):
+    conv = table(spark, sf_dir, "conversations").where(F.col("role") == "user")
+    return conv.select("conv_id", "turn", "text")
+
+
+def score_texts(df, keys, text_col="text", lexicon=None):
+    """Clean -> lexicon counts -> logits -> probabilities (I9 / I10): a narrow, shuffle-free projection, so
+    the same function serves batch and Structured Streaming."""
+    from sprout.operators import labeling as lb
+
+    toks = clean_tokens(df, text_col, "tokens")
+    counts = lb.lexicon_counts_inrow(F.col("tokens"), lexicon or lb.LEXICON)
+    out = toks.select(*keys, F.array_join("tokens", " ").alias("cleaned_text"), *counts)
+    return out.select(*keys, "cleaned_text", sc.probs_from_logits(sc.lexicon_logits()).alias("p"))
+
+
+def q_score_records(spark, sf_dir):
+    rec = score_texts(_user_turns(spark, sf_dir), ["conv_id", "turn"])
+    p = F.col("p")
+    return rec.select(
+        "conv_id", "turn", "cleaned_text",
+        F.array_join(sc.labels_at_or_above(p, LABELS, [0.5] * len(LABELS)), ",").alias("labels_on"),
+        sc.top_k(p, LABELS, 5)[0]["label"].alias("top_label"),
+        sc.compact_line(p, LABELS).alias("line"),
+        sc.round_micro(sc.wellness(p, LABELS)).alias("wellness"),
+    )
+
+
+def o_score_records():
+    from sprout.operators import labeling as lb
+
+    src = "(SELECT * FROM conversations WHERE role = 'user')"
+    ctes = ot.token_rows_sql(src, "conv_id * 1000 + turn", "text")
+    lex = ", ".join(f"({ot.q(t)}, {ot.q(lab)}, {p})" for t, lab, p in lb.LEXICON)
+    # (expanded label index, name, category, sign: 1 = positive hits, -1 = negative hits, 0 = neutral)
+    spec = []
+    for name, lo, _ in fixed.LABEL_SPEC:
+        if name == "neutral":
+            spec.append(("neutral", name, 0))
+        elif lo < 0:
+            spec += [(f"{name}_pos", name, 1), (f"{name}_neg", name, -1)]
+        else:
+            spec.append((name, name, 1))
+    lab_rows = ", ".join(f"({i}, {ot.q(n)}, {ot.q(c)}, {sg})" for i, (n, c, sg) in enumerate(spec))
+    weights = dict(fixed.SCORE_WEIGHTS)
+    wexpr = " + ".join(f"p{i} * CAST({float(weights.get(n, 0.0))!r} AS DOUBLE)" for i, (n, _, _) in enumerate(spec))
+    pcols = ", ".join(f"max(CASE WHEN l = {i} THEN p END) AS p{i}" for i in range(len(spec)))
+    return (
+        f"WITH {ctes},\nlex AS (SELECT * FROM (VALUES {lex}) AS v(term, label, polarity)),\n"
+        f"labs AS (SELECT * FROM (VALUES {lab_rows}) AS v(l, name, cat, sg)),\n"
+        "cleaned AS (SELECT src.k, coalesce(string_agg(e.out, ' ' ORDER BY e.pos), '') AS cleaned_text FROM src "
+        "LEFT JOIN emitted e ON e.k = src.k AND e.out IS NOT NULL GROUP BY src.k),\n"
+        "hits AS (SELECT e.k, x.label, x.polarity FROM emitted e JOIN lex x ON x.term = e.out),\n"
+        "cnt AS (SELECT src.k, labs.l, labs.name, labs.sg, "
+        "count(CASE WHEN h.label = labs.cat AND h.polarity > 0 THEN 1 END) AS npos, "
+        "count(CASE WHEN h.label = labs.cat AND h.polarity < 0 THEN 1 END) AS nneg, count(h.label) AS nall "
+        "FROM src CROSS JOIN labs LEFT JOIN hits h ON h.k = src.k GROUP BY src.k, labs.l, labs.name, labs.sg),\n"
+        "pr AS (SELECT k, l, name, 1 / (1 + exp(-(CASE WHEN sg = 1 THEN CAST(1.5 AS DOUBLE) * npos - 1 "
+        "WHEN sg = -1 THEN CAST(1.5 AS DOUBLE) * nneg - 1 ELSE 1 - CAST(1.5 AS DOUBLE) * nall END))) AS p FROM cnt),\n"
+        "agg AS (SELECT k, coalesce(string_agg(CASE WHEN p >= 0.5 THEN name END, ',' ORDER BY l), '') AS labels_on, "
+        "string_agg(printf('%s: %.3f', name, round(p, 3)), ', ' ORDER BY p DESC, l) AS line FROM pr GROUP BY k),\n"
+        "top AS (SELECT k, name AS top_label FROM (SELECT k, name, row_number() OVER (PARTITION BY k "
+        "ORDER BY p DESC, l) AS rk FROM pr) WHERE rk = 1),\n"
+        f"wide AS (SELECT k, {pcols} FROM pr GROUP BY k)\n"
+        "SELECT CAST(src.k // 1000 AS BIGINT) AS conv_id, CAST(src.k % 1000 AS BIGINT) AS turn, c.cleaned_text, "
+        "a.labels_on, t.top_label, a.line, "
+        f"floor(({wexpr}) * CAST(1000000 AS DOUBLE) + CAST(0.5 AS DOUBLE)) / CAST(1000000 AS DOUBLE) AS wellness "
+        "FROM src JOIN cleaned c ON c.k = src.k JOIN agg a ON a.k = src.k JOIN top t ON t.k = src.k "
+        "JOIN wide w ON w.k = src.k"
+    )
+
+
+QUERIES["score_records"] = q_score_records
+ORACLES["score_records"] = o_score_records
