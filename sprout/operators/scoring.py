@@ -160,31 +160,50 @@ def round_micro(x: Column) -> Column:
     return F.floor(x * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
 
 
-def daily_wellness(events: DataFrame, type_to_label: dict[str, str], weights: list[tuple[str, float]] | None = None,
-                   user_col: str = "user_id", ts_col: str = "ts", type_col: str = "event_type",
-                   value_col: str = "value", scale: int = 100, full: float = 500.0) -> DataFrame:
-    """I11 per (user, day): p of an event = min(value / full, 1); the probability of a label that day is the mean
-    p of its events; score = sum over labels of p * weight (labels without events contribute 0).
-
-    Values are summed as exact integers (value * scale), so the score does not depend on summation order or
-    partitioning. One keyed aggregate with conditional sums: partial aggregation combines a user holding a
-    third of all events inside each map task before the shuffle."""
-    weights = weights or fixed.SCORE_WEIGHTS
+def daily_inputs(events: DataFrame, type_to_label: dict[str, str], user_col: str = "user_id", ts_col: str = "ts",
+                 type_col: str = "event_type", value_col: str = "value", scale: int = 100,
+                 full: float = 500.0) -> DataFrame:
+    """Event -> (user, ts, day, __label, __u): the label an event type stands for and its value as exact
+    integer units (value * scale, capped at full * scale)."""
     units = F.least(F.round(F.col(value_col) * scale).cast("bigint"), F.lit(int(full * scale)))
     lab = F.element_at(F.create_map(*[x for kv in type_to_label.items() for x in map(F.lit, kv)]), F.col(type_col))
-    ev = events.select(user_col, F.to_date(ts_col).alias("day"), lab.alias("__label"), units.alias("__u"))
+    return events.select(user_col, F.col(ts_col).alias("ts"), F.to_date(ts_col).alias("day"),
+                         lab.alias("__label"), units.alias("__u"))
+
+
+def daily_aggs(weights: list[tuple[str, float]] | None = None) -> list[Column]:
+    """Conditional integer sums and counts per weighted label (mergeable, order-free partial aggregates)."""
+    weights = weights or fixed.SCORE_WEIGHTS
     aggs = []
     for i, (name, _) in enumerate(weights):
         hit = F.col("__label") == name
         aggs.append(F.sum(F.when(hit, F.col("__u"))).alias(f"__s{i}"))
         aggs.append(F.count(F.when(hit, F.lit(1))).alias(f"__c{i}"))
-    g = ev.groupBy(user_col, "day").agg(*aggs)
+    return aggs
+
+
+def daily_score(weights: list[tuple[str, float]] | None = None, scale: int = 100, full: float = 500.0) -> Column:
+    """score = sum over labels of mean p * weight, from the ``daily_aggs`` columns, rounded to 6 decimals."""
+    weights = weights or fixed.SCORE_WEIGHTS
     score = None
     for i, (_, w) in enumerate(weights):
         term = F.when(F.col(f"__c{i}") > 0,
                       F.lit(float(w)) * F.col(f"__s{i}") / (F.col(f"__c{i}") * F.lit(full * scale))).otherwise(0.0)
         score = term if score is None else score + term
-    return g.select(user_col, "day", round_micro(score).alias("score"))
+    return round_micro(score)
+
+
+def daily_wellness(events: DataFrame, type_to_label: dict[str, str], weights: list[tuple[str, float]] | None = None,
+                   user_col: str = "user_id", **kw) -> DataFrame:
+    """I11 per (user, day): p of an event = min(value / 500, 1); the probability of a label that day is the mean
+    p of its events; score = sum over labels of p * weight (labels without events contribute 0).
+
+    Values are summed as exact integers, so the score does not depend on summation order or partitioning. One
+    keyed aggregate with conditional sums: partial aggregation combines a user holding a third of all events
+    inside each map task before the shuffle."""
+    ev = daily_inputs(events, type_to_label, user_col, **kw)
+    g = ev.groupBy(user_col, "day").agg(*daily_aggs(weights))
+    return g.select(user_col, "day", daily_score(weights).alias("score"))
 
 
 def growth_index(daily: DataFrame, user_col: str = "user_id", days: int = 7) -> DataFrame:

@@ -503,3 +503,51 @@ def o_score_records():
 
 QUERIES["score_records"] = q_score_records
 ORACLES["score_records"] = o_score_records
+
+
+# --- W1-W3: streaming twins of batch queries (same oracle SQL) ----------------------------------------------------
+def _path(sf_dir, name):
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
+def q_stream_ingest(spark, sf_dir):
+    from sprout.streaming import jobs
+
+    src = jobs.file_stream(spark, _path(sf_dir, "documents")).select("doc_id", "text")
+    target = jobs.stream_ingest(spark, src.withColumn("ord", F.col("doc_id")), "doc_id", "ord")
+    return spark.read.parquet(target).select("doc_id", "text")
+
+
+def q_stream_score(spark, sf_dir):
+    from sprout.streaming import jobs
+
+    src = jobs.file_stream(spark, _path(sf_dir, "conversations")).where(F.col("role") == "user")
+    rec = score_texts(src.select("conv_id", "turn", "text"), ["conv_id", "turn"])
+    p = F.col("p")
+    scored = rec.select(
+        "conv_id", "turn", "cleaned_text",
+        F.array_join(sc.labels_at_or_above(p, LABELS, [0.5] * len(LABELS)), ",").alias("labels_on"),
+        sc.top_k(p, LABELS, 5)[0]["label"].alias("top_label"),
+        sc.compact_line(p, LABELS).alias("line"),
+        sc.round_micro(sc.wellness(p, LABELS)).alias("wellness"),
+    )
+    return spark.read.parquet(jobs.stream_score(spark, scored))
+
+
+def q_stream_daily(spark, sf_dir):
+    from sprout.streaming import jobs
+
+    src = jobs.file_stream(spark, _path(sf_dir, "events"))
+    target = jobs.stream_daily(spark, src, EVENT_LABELS)
+    out = jobs.latest_versions(spark, target, ["user_id", "day"])
+    return out.select("user_id", F.col("day").cast("string").alias("day"), "score")
+
+
+def o_stream_ingest():
+    from sprout.plans.label_queries import o_dedupe_keep_first
+
+    return o_dedupe_keep_first()
+
+
+QUERIES.update({"stream_ingest": q_stream_ingest, "stream_score": q_stream_score, "stream_daily": q_stream_daily})
+ORACLES.update({"stream_ingest": o_stream_ingest, "stream_score": o_score_records, "stream_daily": o_wellness_score})
