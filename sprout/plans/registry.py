@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from sprout.plans import label_queries, model_queries, text_queries
+from sprout.plans import label_queries, ml_queries, model_queries, text_queries
 
-_MODULES = [text_queries, label_queries, model_queries]
+_MODULES = [text_queries, label_queries, model_queries, ml_queries]
 
-FLAGSHIP = "clean_text"
+FLAGSHIP = "score_records"
 
 
 def queries():
