@@ -24,7 +24,7 @@ def coerce_label(c: Column | str) -> Column:
 
 def label_rejected(c: Column | str) -> Column:
     """True when a non-blank label value is not a number in the TINYINT range."""
-    s = unicode_trim(F.col(c) if isinstance(c, str) else c)
+    s = unicode_trim(F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")))
     d = F.when(s.rlike(NUMERIC_RE), s.try_cast("double"))
     ok = (d > -129) & (d < 128)
     return (F.length(s) > 0) & F.coalesce(~ok, F.lit(True))

@@ -36,13 +36,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Read from the session; only when it is unset (local tests) a fresh scratch folder is created and registered.
+    Read from the session. Only a local-mode session (tests) without one gets a fresh scratch folder; on a
+    cluster a machine-local folder would not survive a lost executor, so the setting is required there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext._jsc.sc().getCheckpointDir()
         d = d.get() if d.isDefined() else None
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's distributed store)")
         d = tempfile.mkdtemp(prefix="sprout-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
