@@ -78,6 +78,43 @@ def apply_run_rules(df: DataFrame, arr_col: str, out_col: str, keep_kind: bool =
     return df.withColumn(out_col, kept if keep_kind else F.transform(kept, lambda x: x["out"]))
 
 
+# Lookup sizes (rows) up to which a table is used without a shuffle: a vocabulary becomes an in-plan hash set
+# tested inside the row; a lookup table joined to exploded tokens is broadcast. Larger tables are joined by
+# shuffle (sort-merge, with AQE splitting skewed terms).
+VOCAB_INROW_MAX = 50_000
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def _vocab_terms(vocab: DataFrame, max_terms: int) -> tuple[DataFrame, list[str] | None]:
+    """Distinct vocabulary terms, checkpointed once to the shared folder (a derived vocabulary is not
+    recomputed), and the term list itself when there are at most ``max_terms`` of them (one bounded collect)."""
+    from sprout.session import shared_dir
+
+    shared_dir(vocab.sparkSession)
+    v = vocab.select(F.col(vocab.columns[0]).cast("string").alias("__term")).where(F.col("__term").isNotNull())
+    v = v.distinct().checkpoint(eager=True)
+    rows = v.limit(max_terms + 1).collect()
+    return v, ([r[0] for r in rows] if len(rows) <= max_terms else None)
+
+
+def _bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast hint only when a count proves the table small; otherwise the planner's choice."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def _term_list_sql(terms: list[str]) -> str:
+    return ",".join(tx._sql_str(t) for t in terms)
+
+
+def _in_vocab_sql(out: str, kind: str, terms: list[str]) -> str:
+    """Words and emoji aliases outside the vocabulary emit nothing (an unknown emoji then vanishes from runs).
+
+    SQL text, so a large term set is one parsed ``IN`` list (the optimizer turns it into a hash set) rather than
+    one client call per literal."""
+    return (f"CASE WHEN {kind} IN ('emoji', 'word') AND NOT ({out} IN ({_term_list_sql(terms)})) "
+            f"THEN CAST(NULL AS STRING) ELSE {out} END")
+
+
 def clean_tokens(
     df: DataFrame,
     text_col: str = "text",
@@ -90,31 +127,50 @@ def clean_tokens(
     keep_numbers: bool = True,
     key_col: str | None = None,
     keep_kind: bool = False,
+    vocab_inrow_max: int = VOCAB_INROW_MAX,
 ) -> DataFrame:
     """Add ``out_col`` = cleaned token array. Input columns are kept (the join path leaves out ``text_col``).
 
-    ``lemma_table(form, lemma)`` and ``vocab(term)`` are DataFrames (join path); ``lemmas`` is a small dict
-    (in-row literal map). ``stop`` defaults to the engine stop set.
+    ``lemma_table(form, lemma)`` and ``vocab(term)`` are DataFrames; ``lemmas`` is a small dict (in-row literal
+    map). ``stop`` defaults to the engine stop set. A vocabulary of at most ``vocab_inrow_max`` terms is applied
+    inside the row (no shuffle); a larger one, or a lemma table, goes through the exploded join path.
     """
     stop = fixed.stop_words() if stop is None else list(stop)
-    if lemma_table is None and vocab is None:
+    vocab_df, terms = (None, None)
+    if vocab is not None:
+        vocab_df, terms = _vocab_terms(vocab, vocab_inrow_max)
+    if lemma_table is None and (vocab is None or terms is not None):
         tmp = "__tok_struct"
         out = df.withColumn(tmp, _classified(tx.tokenize(F.col(text_col)), stop, lemmas, keep_numbers))
+        if terms is not None:
+            body = _in_vocab_sql("x.out", "x.kind", terms)
+            out = out.withColumn(tmp, F.expr(f"transform({tmp}, x -> named_struct('t', x.t, 'kind', x.kind, "
+                                             f"'out', {body}))"))
         out = apply_run_rules(out, tmp, out_col, keep_kind)
         return out.drop(tmp)
     return _clean_tokens_joined(
-        df, text_col, out_col, stop, lemmas, lemma_table, vocab, keep_numbers, key_col, keep_kind
+        df, text_col, out_col, stop, lemmas, lemma_table, vocab_df, terms, keep_numbers, key_col, keep_kind
     )
 
 
-def _clean_tokens_joined(df, text_col, out_col, stop, lemmas, lemma_table, vocab, keep_numbers, key_col, keep_kind):
+def _clean_tokens_joined(df, text_col, out_col, stop, lemmas, lemma_table, vocab_df, terms, keep_numbers, key_col,
+                         keep_kind):
+    """Exploded path. Rows are first hash-partitioned by document key (a shuffle of the raw rows, several times
+    smaller than one of exploded tokens); explode, broadcast lookups and the per-document re-assembly then run in
+    that same stage, because the aggregate's key is already the partitioning key. A per-document group is
+    bounded by the document's own length."""
+    spark = df.sparkSession
     cols = df.columns
     key = key_col or "__doc_key"
     base = df if key_col else df.withColumn(key, F.monotonically_increasing_id())
-    ex = base.select(key, F.posexplode_outer(tx.tokenize(F.col(text_col))).alias("pos", "t"))
+    rest = [c for c in cols if c != text_col and c != key]
+    n = max(base.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    part = base.repartition(n, key)
+    ex = part.select(key, *rest, F.posexplode_outer(tx.tokenize(F.col(text_col))).alias("pos", "t"))
     ex = ex.withColumn("kind", tx.token_kind(F.col("t"), keep_numbers))
     if lemma_table is not None:
         lt = lemma_table.select(F.lower("form").alias("__form"), F.lower("lemma").alias("__lemma"))
+        lt = _bounded_broadcast(lt.dropDuplicates(["__form"]), BROADCAST_MAX_ROWS)
         ex = ex.join(lt, F.lower(F.col("t")) == F.col("__form"), "left")
         lem = F.coalesce(F.col("__lemma"), F.lower(F.col("t")))
     else:
@@ -124,13 +180,16 @@ def _clean_tokens_joined(df, text_col, out_col, stop, lemmas, lemma_table, vocab
     ex = ex.withColumn(
         "out", F.when(F.col("kind") == "word", F.when(~lem.isin(*stop), lem)).otherwise(F.col("out"))
     )
-    if vocab is not None:
-        v = vocab.select(F.col(vocab.columns[0]).alias("__term")).distinct()
+    if terms is not None:
+        ex = ex.withColumn("out", F.expr(_in_vocab_sql("out", "kind", terms)))
+    elif vocab_df is not None:
+        v = _bounded_broadcast(vocab_df, BROADCAST_MAX_ROWS)
         ex = ex.join(v, F.col("out") == F.col("__term"), "left")
         needs_vocab = F.col("kind").isin("emoji", "word")
         ex = ex.withColumn("out", F.when(needs_vocab & F.col("__term").isNull(), F.lit(None)).otherwise(F.col("out")))
     grouped = ex.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct("pos", "t", "kind", "out"))).alias("__arr")
+        F.sort_array(F.collect_list(F.struct("pos", "t", "kind", "out"))).alias("__arr"),
+        *[F.first(c).alias(c) for c in rest],
     )
     grouped = grouped.withColumn(
         "__arr",
@@ -139,12 +198,7 @@ def _clean_tokens_joined(df, text_col, out_col, stop, lemmas, lemma_table, vocab
             lambda x: F.struct(x["t"].alias("t"), x["kind"].alias("kind"), x["out"].alias("out")),
         ),
     )
-    grouped = apply_run_rules(grouped, "__arr", out_col, keep_kind).drop("__arr")
-    # Re-attach the other columns (one row per document, raw text left out of the shuffle).
-    rest = [c for c in cols if c != text_col and c != key]
-    out = base.select(key, *rest).join(grouped, key, "left")
-    empty = F.array().cast("array<struct<kind:string,out:string>>" if keep_kind else "array<string>")
-    out = out.withColumn(out_col, F.coalesce(F.col(out_col), empty))
+    out = apply_run_rules(grouped, "__arr", out_col, keep_kind).drop("__arr")
     return out.select(*[c for c in cols if c != text_col], out_col)
 
 

@@ -127,11 +127,22 @@ def lexicon_counts_inrow(tokens: Column, lexicon: list[tuple[str, str, int]]) ->
     return cols
 
 
+LEXICON_INROW_MAX = 50_000
+
+
 def lexicon_label(tokens_df: DataFrame, key_col: str, tokens_col: str, lexicon: DataFrame,
-                  max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                  max_broadcast_rows: int = 1_000_000, max_inrow_terms: int = LEXICON_INROW_MAX) -> DataFrame:
     """L3 (built-in, declarative): per label sign(positive hits - negative hits), clipped to the label domain;
-    then L8 (neutral = 1 when every category is 0). Output: key + one TINYINT column per label."""
-    counts = lexicon_counts(tokens_df, key_col, tokens_col, lexicon, max_broadcast_rows)
+    then L8 (neutral = 1 when every category is 0). Output: key + one TINYINT column per label.
+
+    A lexicon of at most ``max_inrow_terms`` entries (proven by one bounded collect) is matched inside each row,
+    with no explode and no shuffle; a larger one is joined to the exploded tokens (``lexicon_counts``)."""
+    rows = lexicon.select("term", "label", "polarity").limit(max_inrow_terms + 1).collect()
+    if len(rows) <= max_inrow_terms:
+        entries = [(r["term"], r["label"], int(r["polarity"])) for r in rows]
+        counts = tokens_df.select(key_col, *lexicon_counts_inrow(F.col(tokens_col), entries))
+    else:
+        counts = lexicon_counts(tokens_df, key_col, tokens_col, lexicon, max_broadcast_rows)
     cols = []
     for name, lo, hi in fixed.LABEL_SPEC:
         if name == "neutral":

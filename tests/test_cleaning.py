@@ -74,6 +74,14 @@ def test_joined_path_matches_inrow(spark):
     assert got == _clean_all(spark, texts)
 
 
+def test_vocab_inrow_and_join_paths_agree(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text")
+    vocab = cl.corpus_vocab(docs, "text", min_df=3)
+    inrow = cl.clean(docs, "text", "c", ["doc_id"], vocab=vocab, key_col="doc_id").collect()
+    joined = cl.clean(docs, "text", "c", ["doc_id"], vocab=vocab, key_col="doc_id", vocab_inrow_max=0).collect()
+    assert {r["doc_id"]: r["c"] for r in inrow} == {r["doc_id"]: r["c"] for r in joined}
+
+
 def test_vocab_drops_unknown_words_but_not_numbers(spark):
     df = spark.createDataFrame([(0, "walked 10 miles with Bob"), (1, "walked home")], "id int, text string")
     vocab = spark.createDataFrame([("walked",), ("home",)], "term string")
