@@ -28,9 +28,16 @@ def prep_text(c: Column | str) -> Column:
     return F.regexp_replace(t, F.lit(r"(?i)(n't|'nt)\b"), F.lit(" $1"))
 
 
-def tokenize(c: Column | str) -> Column:
+def squash_punct(c: Column | str) -> Column:
+    """T19 (optional, off by default): runs of '!' -> one '!', four or more dots -> '...'."""
+    t = F.regexp_replace(F.col(c) if isinstance(c, str) else c, F.lit("!{2,}"), F.lit("!"))
+    return F.regexp_replace(t, F.lit(r"\.{3,}"), F.lit("..."))
+
+
+def tokenize(c: Column | str, squash: bool = False) -> Column:
     """Text -> ARRAY<STRING> of tokens (one emoji per token; URL / mention / e-mail are one token each)."""
-    return F.regexp_extract_all(prep_text(c), F.lit(fixed.TOKEN_PATTERN), 0)
+    t = F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
+    return F.regexp_extract_all(prep_text(squash_punct(t) if squash else t), F.lit(fixed.TOKEN_PATTERN), 0)
 
 
 def mask_user_url(c: Column | str) -> Column:

@@ -128,11 +128,13 @@ def clean_tokens(
     key_col: str | None = None,
     keep_kind: bool = False,
     vocab_inrow_max: int = VOCAB_INROW_MAX,
+    squash_punct: bool = False,
 ) -> DataFrame:
     """Add ``out_col`` = cleaned token array. Input columns are kept (the join path leaves out ``text_col``).
 
     ``lemma_table(form, lemma)`` and ``vocab(term)`` are DataFrames; ``lemmas`` is a small dict (in-row literal
-    map). ``stop`` defaults to the engine stop set. A vocabulary of at most ``vocab_inrow_max`` terms is applied
+    map). ``stop`` defaults to the engine stop set; ``squash_punct`` first turns '!!!' into '!' and '....' into
+    '...' inside the text (T19, off by default). A vocabulary of at most ``vocab_inrow_max`` terms is applied
     inside the row (no shuffle); a larger one, or a lemma table, goes through the exploded join path.
     """
     stop = fixed.stop_words() if stop is None else list(stop)
@@ -141,7 +143,8 @@ def clean_tokens(
         vocab_df, terms = _vocab_terms(vocab, vocab_inrow_max)
     if lemma_table is None and (vocab is None or terms is not None):
         tmp = "__tok_struct"
-        out = df.withColumn(tmp, _classified(tx.tokenize(F.col(text_col)), stop, lemmas, keep_numbers))
+        toks = tx.tokenize(F.col(text_col), squash_punct)
+        out = df.withColumn(tmp, _classified(toks, stop, lemmas, keep_numbers))
         if terms is not None:
             body = _in_vocab_sql("x.out", "x.kind", terms)
             out = out.withColumn(tmp, F.expr(f"transform({tmp}, x -> named_struct('t', x.t, 'kind', x.kind, "
@@ -149,12 +152,13 @@ def clean_tokens(
         out = apply_run_rules(out, tmp, out_col, keep_kind)
         return out.drop(tmp)
     return _clean_tokens_joined(
-        df, text_col, out_col, stop, lemmas, lemma_table, vocab_df, terms, keep_numbers, key_col, keep_kind
+        df, text_col, out_col, stop, lemmas, lemma_table, vocab_df, terms, keep_numbers, key_col, keep_kind,
+        squash_punct,
     )
 
 
 def _clean_tokens_joined(df, text_col, out_col, stop, lemmas, lemma_table, vocab_df, terms, keep_numbers, key_col,
-                         keep_kind):
+                         keep_kind, squash_punct=False):
     """Exploded path. Rows are first hash-partitioned by document key (a shuffle of the raw rows, several times
     smaller than one of exploded tokens); explode, broadcast lookups and the per-document re-assembly then run in
     that same stage, because the aggregate's key is already the partitioning key. A per-document group is
@@ -166,7 +170,7 @@ def _clean_tokens_joined(df, text_col, out_col, stop, lemmas, lemma_table, vocab
     rest = [c for c in cols if c != text_col and c != key]
     n = max(base.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
     part = base.repartition(n, key)
-    ex = part.select(key, *rest, F.posexplode_outer(tx.tokenize(F.col(text_col))).alias("pos", "t"))
+    ex = part.select(key, *rest, F.posexplode_outer(tx.tokenize(F.col(text_col), squash_punct)).alias("pos", "t"))
     ex = ex.withColumn("kind", tx.token_kind(F.col("t"), keep_numbers))
     if lemma_table is not None:
         lt = lemma_table.select(F.lower("form").alias("__form"), F.lower("lemma").alias("__lemma"))

@@ -69,6 +69,17 @@ def align_union(frames: list[DataFrame], text_col: str = "text",
     return res
 
 
+def label_columns(df: DataFrame, text_col: str = "text") -> list[str]:
+    """Every column except the text is a label; each must be numeric (H12 casts them to double)."""
+    from pyspark.sql.types import NumericType
+
+    labels = [f.name for f in df.schema.fields if f.name != text_col]
+    bad = [f.name for f in df.schema.fields if f.name != text_col and not isinstance(f.dataType, NumericType)]
+    if bad:
+        raise ValueError(f"label columns must be numeric: {bad}")
+    return labels
+
+
 def trim_nonempty(df: DataFrame, text_col: str = "text") -> DataFrame:
     """H6 + H7: Unicode trim, then drop empty texts."""
     df = df.withColumn(text_col, unicode_trim(F.coalesce(F.col(text_col), F.lit(""))))

@@ -11,6 +11,7 @@ from sprout.operators import labeling as lb
 from sprout.operators.cleaning import clean_tokens
 from sprout.plans import oracle_text as ot
 from sprout.plans.tables import WELLNESS_TEXT_SQL, documents_with_wellness, table
+from sprout.session import shared_dir
 
 QUERIES = {}
 ORACLES = {}
@@ -267,6 +268,29 @@ def o_validate_responses():
     )
 
 
+def q_accepted_items(spark, sf_dir):
+    """The labelled rows of every batch that passed validation, one row per item."""
+    req, resp = _responses(spark, sf_dir)
+    # Responses feed both the validation and the items: written once to the shared checkpoint folder.
+    shared_dir(spark)
+    resp = resp.checkpoint(eager=True)
+    return lb.accepted_items(req, resp, lb.validate_responses(req, resp, "source"), "source")
+
+
+def o_accepted_items():
+    labels = ", ".join(f"w.{n}" for n in fixed.LABELS)
+    return (
+        f"WITH {_lexicon_cte()},\n"
+        f"b AS (SELECT doc_id, source, {WELLNESS_TEXT_SQL} AS text, "
+        "row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS rn FROM documents),\n"
+        "bb AS (SELECT doc_id, source, text, CAST(rn // 20 AS BIGINT) AS batch_id, CAST(rn % 20 AS INTEGER) AS id "
+        "FROM b),\n"
+        f"f AS (SELECT bb.*, {FAULT_SQL.replace('AS STRING', 'AS VARCHAR')} AS fault FROM bb)\n"
+        f"SELECT f.source, f.batch_id, f.id, f.text, {labels} FROM f JOIN wide w ON w.doc_id = f.doc_id "
+        "WHERE f.fault = 'none'"
+    )
+
+
 # --- L12 ---------------------------------------------------------------------------------------------------------
 def q_label_agreement(spark, sf_dir):
     lab = table(spark, sf_dir, "labels")
@@ -317,6 +341,7 @@ QUERIES.update({
     "neutral_flag": q_neutral_flag,
     "polarity_expand": q_polarity_expand,
     "validate_responses": q_validate_responses,
+    "accepted_items": q_accepted_items,
     "label_agreement": q_label_agreement,
     "reject_empty": q_reject_empty,
 })
@@ -330,6 +355,7 @@ ORACLES.update({
     "neutral_flag": o_neutral_flag,
     "polarity_expand": o_polarity_expand,
     "validate_responses": o_validate_responses,
+    "accepted_items": o_accepted_items,
     "label_agreement": o_label_agreement,
     "reject_empty": o_reject_empty,
 })

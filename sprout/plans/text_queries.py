@@ -76,6 +76,16 @@ def o_mask_user_url():
     )
 
 
+def q_punct_squash(spark, sf_dir):
+    """Clean with in-text punctuation runs squashed first ('!!' -> '!', '....' -> '...')."""
+    return clean(documents_with_rules(spark, sf_dir), squash_punct=True)
+
+
+def o_punct_squash():
+    squashed = f"regexp_replace(regexp_replace({RULES_TEXT_SQL}, '!{{2,}}', '!', 'g'), '\\.{{3,}}', '...', 'g')"
+    return ot.clean_sql("documents", "doc_id", squashed)
+
+
 def q_vocab_filter(spark, sf_dir):
     docs = _docs(spark, sf_dir)
     vocab = corpus_vocab(docs, "text", min_df=2).select("term")
@@ -129,6 +139,7 @@ QUERIES.update({
     "vocab_filter": q_vocab_filter,
     "clean_no_numbers": q_clean_no_numbers,
     "mask_user_url": q_mask_user_url,
+    "punct_squash": q_punct_squash,
 })
 ORACLES.update({
     "tokenize": o_tokenize,
@@ -144,4 +155,5 @@ ORACLES.update({
     "vocab_filter": o_vocab_filter,
     "clean_no_numbers": o_clean_no_numbers,
     "mask_user_url": o_mask_user_url,
+    "punct_squash": o_punct_squash,
 })
