@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sprout.operators import features as fe
 from sprout.operators import training as tr
+from sprout.operators.cleaning import clean as cl_clean
 from sprout.operators.cleaning import clean_tokens
 from sprout.plans.tables import table
 from sprout.session import scratch_path
@@ -107,7 +108,29 @@ def q_model_roundtrip(spark, sf_dir):
     return out
 
 
+def q_train_and_score(spark, sf_dir):
+    """Whole lifecycle on the driver tables: weak labels for every document (L3, with the wellness sentences),
+    cleaned and written as a processed file (T*, S8), heads trained from it (F1, F2, F8, F9, F13, S14) and
+    every user turn of ``conversations`` scored with the saved model (I9)."""
+    from sprout.plans import lifecycle as lc
+    from sprout.plans.label_queries import _lexicon_wide
+    from sprout.plans.tables import documents_with_wellness
+    from sprout.sources import sinks
+
+    docs = documents_with_wellness(spark, sf_dir).select("doc_id", "text")
+    labels = _lexicon_wide(spark, sf_dir).drop("neutral")
+    processed = cl_clean(docs.join(labels, "doc_id"), "text", "cleaned_text").drop("doc_id")
+    out_dir = scratch_path(spark, "train")
+    sinks.write_dataset(processed, f"{out_dir}/processed_documents.parquet")
+    lc.train_from_processed(spark, out_dir, f"{out_dir}/model", reg_params=(0.01,), max_iter=15)
+    turns = table(spark, sf_dir, "conversations").where(F.col("role") == "user").select("conv_id", "turn", "text")
+    scored = lc.score(turns, lc.load_model(f"{out_dir}/model"), "text", ["conv_id", "turn"])
+    return scored.select("conv_id", "turn", F.array_join("labels_on", ",").alias("labels_on"),
+                         F.col("top5")[0]["label"].alias("top_label"), F.round("wellness", 6).alias("wellness"))
+
+
 QUERIES.update({
+    "train_and_score": q_train_and_score,
     "fit_logreg_heads": q_fit_logreg_heads,
     "history": q_history,
     "fit_gbt": q_fit_gbt,
