@@ -37,7 +37,7 @@ def squash_punct(c: Column | str) -> Column:
 def tokenize(c: Column | str, squash: bool = False) -> Column:
     """Text -> ARRAY<STRING> of tokens (one emoji per token; URL / mention / e-mail are one token each)."""
     t = F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
-    return F.regexp_extract_all(prep_text(squash_punct(t) if squash else t), F.lit(fixed.TOKEN_PATTERN), 0)
+    return F.regexp_extract_all(prep_text(squash_punct(t) if squash else t), F.lit(fixed.TOKEN_PATTERN_JVM), 0)
 
 
 def mask_user_url(c: Column | str) -> Column:

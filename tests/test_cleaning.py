@@ -166,3 +166,13 @@ def test_cleaning_is_partition_invariant(spark, sf_small, parts):
     base = {r["doc_id"]: r["c"] for r in cl.clean(docs, "text", "c", ["doc_id"]).collect()}
     again = cl.clean(docs.repartition(parts), "text", "c", ["doc_id"]).collect()
     assert {r["doc_id"]: r["c"] for r in again} == base
+
+
+def test_jvm_token_pattern_equals_plain(spark):
+    texts = ["12_ 12_a __a a_1 abc_1x 1st 2ND", "a@b.c x.y+z@q-r.s @@a @a_b", "1,000. 1.5.6 1,,2 ...... x..y",
+             "http://x.y/z?q=1 www.a.b hello", "didn't 'nt N'T can't", "😂😂 ❤ a😂b", "ünïcödé straße 9€ $5"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select(F.regexp_extract_all("t", F.lit(fixed.TOKEN_PATTERN), 0).alias("a"),
+                     F.regexp_extract_all("t", F.lit(fixed.TOKEN_PATTERN_JVM), 0).alias("b")).collect()
+    for r in rows:
+        assert r["a"] == r["b"]
