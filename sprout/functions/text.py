@@ -79,18 +79,25 @@ WORD_RE = r"^\p{L}+$"
 
 
 def token_kind(t: Column, keep_numbers: bool = True) -> Column:
-    """Kind of a token with priority emoji > punct > neg > num > word > other."""
+    """Kind of a token with priority emoji > punct > neg > num > word > other.
+
+    Letters-only tokens (most of them) are decided first, with one pattern: no emoji or punctuation character is
+    a letter, negation forms hold an apostrophe and numerals start with a digit, so such a token is a number
+    word or a word. The other tests then run in priority order on the remaining tokens only.
+    """
     low = F.lower(t)
+    word = F.lit("word")
+    if keep_numbers:
+        word = F.when(low.isin(*fixed.NUMBER_WORDS), F.lit("num")).otherwise(F.lit("word"))
     kind = (
-        F.when(t.rlike(EMOJI_RE), F.lit("emoji"))
+        F.when(t.rlike(WORD_RE), word)
+        .when(t.rlike(EMOJI_RE), F.lit("emoji"))
         .when(t.rlike(PUNCT_RE) | (t == F.lit("...")), F.lit("punct"))
         .when(low.isin(*fixed.NEGATION_FORMS), F.lit("neg"))
     )
     if keep_numbers:
-        kind = kind.when(
-            t.rlike(NUMBER_RE) | t.rlike(ORDINAL_RE) | low.isin(*fixed.NUMBER_WORDS), F.lit("num")
-        )
-    return kind.when(t.rlike(WORD_RE), F.lit("word")).otherwise(F.lit("other"))
+        kind = kind.when(t.rlike(NUMBER_RE) | t.rlike(ORDINAL_RE), F.lit("num"))
+    return kind.otherwise(F.lit("other"))
 
 
 def lemma_of(t: Column, lemmas: dict[str, str] | None) -> Column:
@@ -106,12 +113,13 @@ def lemma_of(t: Column, lemmas: dict[str, str] | None) -> Column:
 def token_out(t: Column, kind: Column, stop: list[str], lemmas: dict[str, str] | None) -> Column:
     """What a token emits if it survives the run rules; NULL = emits nothing (but stays in the sequence)."""
     lem = lemma_of(t, lemmas)
+    # Kinds are exclusive; the most frequent one is tested first.
     return (
-        F.when(kind == "emoji", emoji_alias(t))
+        F.when(kind == "word", F.when(~lem.isin(*stop), lem))
+        .when(kind == "emoji", emoji_alias(t))
         .when(kind == "punct", F.when(t.isin(*fixed.KEPT_PUNCT), t))
         .when(kind == "neg", F.lit("not"))
         .when(kind == "num", F.lower(t))
-        .when(kind == "word", F.when(~lem.isin(*stop), lem))
     )
 
 
