@@ -121,9 +121,3 @@ def token_out(t: Column, kind: Column, stop: list[str], lemmas: dict[str, str] |
         .when(kind == "neg", F.lit("not"))
         .when(kind == "num", F.lower(t))
     )
-
-
-def shifted(arr: Column, null_sql_type: str) -> Column:
-    """Array of the previous element of each position (first = NULL)."""
-    n = F.greatest(F.size(arr) - 1, F.lit(0))
-    return F.concat(F.array(F.lit(None).cast(null_sql_type)), F.slice(arr, F.lit(1), n))

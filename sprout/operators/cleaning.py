@@ -3,13 +3,13 @@
 Default plan: every rule runs inside the row with array higher-order functions and literal sets, so cleaning
 is a narrow, shuffle-free projection (one stage, any number of partitions, same result).
 
-When a lookup is a *table* (a model vocabulary or a corpus-derived vocabulary, a full lemma table), tokens are
-exploded with their position, left-joined to the lookup (Spark picks broadcast at run time when the lookup is
-small, sort-merge with skew splitting otherwise) and re-assembled per document in position order. Per-document
-groups are bounded by the document's own length.
+When a lookup is a *table*, a vocabulary proven small is applied in the row as a hash set. A larger vocabulary or a
+lemma table goes through the exploded path: rows are partitioned by document key, tokens exploded with their
+position, left-joined to the lookup (broadcast below a counted size, sort-merge with skew splitting otherwise) and
+re-assembled per document in position order. Per-document groups are bounded by the document's own length.
 
 The run rules (collapse of repeated kept punctuation and of repeated emoji) are two "previous element"
-predicates, computed with shifted arrays:
+predicates, evaluated by reading the element before each position:
 
 * kept punctuation at i is dropped iff the original token at i-1 is the same mark;
 * out-of-vocabulary emoji are removed from the sequence first; an emoji is then dropped iff the element before
@@ -42,37 +42,30 @@ def apply_run_rules(df: DataFrame, arr_col: str, out_col: str, keep_kind: bool =
 
     ``keep_kind=True`` returns ARRAY<STRUCT<kind, out>> instead.
 
-    Each step is its own projection so that every lambda reads a materialised array.
+    Each step is its own projection, so a lambda that reads the previous element (``element_at(arr, i)`` for
+    0-based position ``i``) reads a materialised array column.
     """
     a = F.col(arr_col)
-    prev_t = tx.shifted(F.transform(a, lambda x: x["t"]), "string")
-    step1 = F.zip_with(
-        a,
-        prev_t,
-        lambda x, p: F.struct(
-            x["kind"].alias("kind"),
-            F.when(
-                (x["kind"] == "punct") & x["out"].isNotNull() & F.coalesce(p == x["t"], F.lit(False)), F.lit(None)
-            )
-            .otherwise(x["out"])
-            .alias("out"),
-        ),
-    )
+    step1 = F.transform(a, lambda x, i: F.struct(
+        x["kind"].alias("kind"),
+        F.when((x["kind"] == "punct") & x["out"].isNotNull()
+               & F.coalesce(F.when(i > 0, F.element_at(a, i)["t"]) == x["t"], F.lit(False)), F.lit(None))
+        .otherwise(x["out"]).alias("out"),
+    ))
     df = df.withColumn(out_col, step1)
     # Out-of-vocabulary emoji vanish without touching the emoji run.
     df = df.withColumn(out_col, F.filter(F.col(out_col), lambda x: ~((x["kind"] == "emoji") & x["out"].isNull())))
     b = F.col(out_col)
-    prev_e = tx.shifted(F.transform(b, lambda x: F.when(x["kind"] == "emoji", x["out"])), "string")
-    step2 = F.zip_with(
-        b,
-        prev_e,
-        lambda x, pe: F.struct(
-            x["kind"].alias("kind"),
-            F.when((x["kind"] == "emoji") & F.coalesce(x["out"] == pe, F.lit(False)), F.lit(None))
-            .otherwise(x["out"])
-            .alias("out"),
-        ),
-    )
+
+    def prev_alias(i):
+        prev = F.element_at(b, i)
+        return F.when(i > 0, F.when(prev["kind"] == "emoji", prev["out"]))
+
+    step2 = F.transform(b, lambda x, i: F.struct(
+        x["kind"].alias("kind"),
+        F.when((x["kind"] == "emoji") & F.coalesce(prev_alias(i) == x["out"], F.lit(False)), F.lit(None))
+        .otherwise(x["out"]).alias("out"),
+    ))
     df = df.withColumn(out_col, step2)
     kept = F.filter(F.col(out_col), lambda x: x["out"].isNotNull())
     return df.withColumn(out_col, kept if keep_kind else F.transform(kept, lambda x: x["out"]))
