@@ -266,6 +266,7 @@ def accepted_items(requests: DataFrame, responses: DataFrame, validation: DataFr
 
 def domain_rejects(long_df: DataFrame, spec: DataFrame, key_cols: list[str]) -> DataFrame:
     """Long form (keys, label, y) rows whose value lies outside the label domain."""
+    # The label spec has one row per label category.
     j = long_df.join(F.broadcast(spec.select("label", "min_value", "max_value")), "label")
     return j.where(~F.col("y").between(F.col("min_value"), F.col("max_value"))).select(*key_cols, "label", "y")
 

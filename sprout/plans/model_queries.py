@@ -143,6 +143,7 @@ def _targets_long(spark, sf_dir):
     pw = ex.groupBy("l").agg(
         ((F.count(F.lit(1)) - F.sum("y")) / (F.sum("y") + F.lit(tr.EPS))).alias("w"))
     names = F.array(*[F.lit(x) for x in LABELS])
+    # pw has one row per label position (len(LABELS) rows by construction).
     return ex.join(F.broadcast(pw), "l").withColumn("label", F.element_at(names, F.col("l") + 1))
 
 
