@@ -110,11 +110,7 @@ def _member_of(values: list[str]):
     return lambda t: t.isin(*values)
 
 
-def lexicon_counts_inrow(tokens: Column, lexicon: list[tuple[str, str, int]]) -> list[Column]:
-    """Same counts as ``lexicon_counts`` for a small, fixed lexicon, computed inside the row (no shuffle): one
-    hash-set pass keeps the matching tokens, then each category counts its terms in that short array."""
-    terms = sorted({t for t, _, _ in lexicon})
-    matched = F.filter(tokens, lambda t: t.isin(*terms))
+def _category_counts(matched: Column, lexicon: list[tuple[str, str, int]]) -> list[Column]:
     cols = []
     for name in fixed.REQUIRED_LABELS:
         for sign, prefix in ((1, "pos"), (-1, "neg")):
@@ -127,6 +123,22 @@ def lexicon_counts_inrow(tokens: Column, lexicon: list[tuple[str, str, int]]) ->
     return cols
 
 
+def lexicon_counts_inrow(tokens: Column, lexicon: list[tuple[str, str, int]]) -> list[Column]:
+    """Same counts as ``lexicon_counts`` for a small, fixed lexicon, computed inside the row (no shuffle): one
+    hash-set pass keeps the matching tokens, then each category counts its terms in that short array."""
+    terms = sorted({t for t, _, _ in lexicon})
+    return _category_counts(F.filter(tokens, lambda t: t.isin(*terms)), lexicon)
+
+
+def add_lexicon_counts(df: DataFrame, tokens_col: str, lexicon: list[tuple[str, str, int]],
+                       keep_cols: list[str]) -> DataFrame:
+    """``lexicon_counts_inrow`` as two projections: the matching tokens are materialised once, then every
+    category counts in that short array."""
+    terms = sorted({t for t, _, _ in lexicon})
+    m = df.select(*keep_cols, F.filter(tokens_col, lambda t: t.isin(*terms)).alias("__matched"))
+    return m.select(*keep_cols, *_category_counts(F.col("__matched"), lexicon))
+
+
 LEXICON_INROW_MAX = 50_000
 
 
@@ -140,7 +152,7 @@ def lexicon_label(tokens_df: DataFrame, key_col: str, tokens_col: str, lexicon:
     rows = lexicon.select("term", "label", "polarity").limit(max_inrow_terms + 1).collect()
     if len(rows) <= max_inrow_terms:
         entries = [(r["term"], r["label"], int(r["polarity"])) for r in rows]
-        counts = tokens_df.select(key_col, *lexicon_counts_inrow(F.col(tokens_col), entries))
+        counts = add_lexicon_counts(tokens_df, tokens_col, entries, [key_col])
     else:
         counts = lexicon_counts(tokens_df, key_col, tokens_col, lexicon, max_broadcast_rows)
     cols = []

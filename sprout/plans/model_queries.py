@@ -440,9 +440,9 @@ def score_texts(df, keys, text_col="text", lexicon=None):
     the same function serves batch and Structured Streaming."""
     from sprout.operators import labeling as lb
 
-    toks = clean_tokens(df, text_col, "tokens")
-    counts = lb.lexicon_counts_inrow(F.col("tokens"), lexicon or lb.LEXICON)
-    out = toks.select(*keys, F.array_join("tokens", " ").alias("cleaned_text"), *counts)
+    toks = clean_tokens(df, text_col, "tokens").select(*keys, "tokens",
+                                                      F.array_join("tokens", " ").alias("cleaned_text"))
+    out = lb.add_lexicon_counts(toks, "tokens", lexicon or lb.LEXICON, [*keys, "cleaned_text"])
     return out.select(*keys, "cleaned_text", sc.probs_from_logits(sc.lexicon_logits()).alias("p"))
 
 
