@@ -98,8 +98,15 @@ EMOJI_RANGES: list[tuple[int, int]] = [
     (0x2600, 0x26FF),
 ]
 
-# Unicode white space class (Spark's trim strips only U+0020).
-UNICODE_WS = r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+# Unicode white space (inclusive code point ranges; Spark's plain trim strips only U+0020).
+UNICODE_WS_RANGES: list[tuple[int, int]] = [
+    (0x9, 0xD), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
+    (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000),
+]
+# The same set as a regex class (for SQL oracles) and as the characters themselves (for trim).
+UNICODE_WS = "[" + "".join(f"\\x{{{lo:X}}}" if lo == hi else f"\\x{{{lo:X}}}-\\x{{{hi:X}}}"
+                          for lo, hi in UNICODE_WS_RANGES) + "]"
+UNICODE_WS_CHARS = "".join(chr(cp) for lo, hi in UNICODE_WS_RANGES for cp in range(lo, hi + 1))
 
 
 def _emoji_class() -> str:
