@@ -86,8 +86,10 @@ def _vocab_terms(vocab: DataFrame, max_terms: int) -> tuple[DataFrame, list[str]
     shared_dir(vocab.sparkSession)
     v = vocab.select(F.col(vocab.columns[0]).cast("string").alias("__term")).where(F.col("__term").isNotNull())
     v = v.distinct().checkpoint(eager=True)
-    rows = v.limit(max_terms + 1).collect()
-    return v, ([r[0] for r in rows] if len(rows) <= max_terms else None)
+    # Count first (cheap on the checkpoint); terms reach the driver only when there are at most max_terms.
+    if v.count() > max_terms:
+        return v, None
+    return v, [r[0] for r in v.collect()]
 
 
 def _bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
