@@ -168,3 +168,15 @@ def test_daily_wellness_and_growth(spark):
     assert got[(2, "2024-01-01")] == pytest.approx(0.25 * 0.2)
     g = {(r["user_id"], str(r["day"])): r["growth"] for r in sc.growth_index(daily).collect()}
     assert g[(1, "2024-01-03")] == pytest.approx((0.2625 - 0.2) / 2)
+
+
+def test_json_record_out(spark):
+    import json
+
+    df = spark.createDataFrame([("hi", "hi", [0.25, 0.75])], "text string, cleaned_text string, p array<double>")
+    rec = sc.score_record(df, "p", ["a", "b"])
+    full = json.loads(sc.to_json_record(rec, ["text", "labels_on", "top5"]).first()["json"])
+    assert full == {"text": "hi", "labels_on": ["b"], "top5": [{"label": "b", "prob": 0.75}, {"label": "a", "prob": 0.25}]}
+    line = rec.withColumn("reflection", sc.compact_line(F.col("p"), ["a", "b"]))
+    compact = json.loads(sc.to_json_record(line, [], compact=True).first()["json"])
+    assert compact == {"reflection": "b: 0.750, a: 0.250", "cleaned": "hi"}
