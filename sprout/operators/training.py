@@ -84,21 +84,26 @@ def with_vector(df: DataFrame, arr_col: str, out_col: str = "features") -> DataF
 
 
 def fit_logreg_heads(df: DataFrame, features_col: str, label_cols: list[str], reg_params=(0.0, 0.01, 0.1),
-                     val_col: str | None = None, max_iter: int = 50):
+                     val_col: str | None = None, max_iter: int = 50, parallelism: int = 4):
     """F9 + F13: one weighted ``LogisticRegression`` per label (weight = pos_weight when y = 1, else 1). With
     a validation column, every ``reg_param`` is fitted on train rows and the one with the lowest weighted
-    validation loss is kept (best model always kept). Returns ({label: model}, history DataFrame rows)."""
+    validation loss is kept (best model always kept). Returns ({label: model}, history DataFrame rows).
+
+    Each fit is a distributed job; up to ``parallelism`` labels are fitted at the same time from driver threads
+    (as Spark ML's tuning classes do), which keeps the cluster busy when one fit's jobs are small."""
+    from concurrent.futures import ThreadPoolExecutor
+
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.functions import vector_to_array
 
     spark = df.sparkSession
     weights = {r["label"]: r["pos_weight"] for r in pos_weight(df, label_cols).collect()}  # one row per label
-    models, hist = {}, []
     train = df.where(~F.col(val_col)) if val_col else df
     val = df.where(F.col(val_col)) if val_col else None
-    for lab in label_cols:
+
+    def fit_one(lab):
         wcol = F.when(F.col(lab) == 1, F.lit(float(weights[lab]))).otherwise(F.lit(1.0))
-        best = None
+        best, hist = None, []
         for rp in reg_params:
             lr = LogisticRegression(featuresCol=features_col, labelCol="__y", weightCol="__w", regParam=rp,
                                     maxIter=max_iter)
@@ -116,7 +121,12 @@ def fit_logreg_heads(df: DataFrame, features_col: str, label_cols: list[str], re
             vloss = pv.agg(F.avg(loss_col)).first()[0]
             if best is None or vloss < best[0]:
                 best = (vloss, rp, m)
-        models[lab] = best[2]
+        return lab, best[2], hist
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        results = list(pool.map(fit_one, label_cols))
+    models = {lab: m for lab, m, _ in results}
+    hist = [h for _, _, hs in results for h in hs]
     history = spark.createDataFrame(hist, "label string, reg_param double, iteration int, loss double")
     return models, history
 
