@@ -43,6 +43,14 @@ def q_history(spark, sf_dir):
     return hist
 
 
+def _per_label(fit_one, parallelism: int = 4):
+    """Run one distributed fit per class, up to ``parallelism`` at a time from driver threads."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return list(pool.map(fit_one, CLASSES))
+
+
 def _auc(pred, label_col):
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
 
@@ -54,14 +62,15 @@ def q_fit_gbt(spark, sf_dir):
     from pyspark.ml.classification import GBTClassifier
 
     df = _emb_frame(spark, sf_dir)
-    rows = []
-    for lab in CLASSES:
+
+    def fit_one(lab):
         d = df.withColumn("y", F.col(lab).cast("double"))
         gbt = GBTClassifier(featuresCol="features", labelCol="y", maxIter=10, maxDepth=3, seed=42,
                             validationIndicatorCol="is_val", validationTol=0.01)
         m = gbt.fit(d)
-        rows.append((lab, int(m.getNumTrees), float(_auc(m.transform(d.where("is_val")), "y"))))
-    return spark.createDataFrame(rows, "label string, n_trees int, val_auc double")
+        return lab, int(m.getNumTrees), float(_auc(m.transform(d.where("is_val")), "y"))
+
+    return spark.createDataFrame(_per_label(fit_one), "label string, n_trees int, val_auc double")
 
 
 def q_fit_rf(spark, sf_dir):
@@ -69,14 +78,15 @@ def q_fit_rf(spark, sf_dir):
     from pyspark.ml.classification import RandomForestClassifier
 
     df = _emb_frame(spark, sf_dir)
-    rows = []
-    for lab in CLASSES:
+
+    def fit_one(lab):
         d = df.withColumn("y", F.col(lab).cast("double"))
         m = RandomForestClassifier(featuresCol="features", labelCol="y", numTrees=10, maxDepth=4, seed=42).fit(
             d.where(~F.col("is_val")))
-        rows.append((lab, float(_auc(m.transform(d.where(~F.col("is_val"))), "y")),
-                     float(_auc(m.transform(d.where("is_val")), "y"))))
-    return spark.createDataFrame(rows, "label string, train_auc double, val_auc double")
+        return (lab, float(_auc(m.transform(d.where(~F.col("is_val"))), "y")),
+                float(_auc(m.transform(d.where("is_val")), "y")))
+
+    return spark.createDataFrame(_per_label(fit_one), "label string, train_auc double, val_auc double")
 
 
 def q_w2v_features(spark, sf_dir):
