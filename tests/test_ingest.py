@@ -148,3 +148,14 @@ def test_preprocess_dataset_job(spark, tmp_path):
     assert df.columns == ["cleaned_text", "mental_wellness"]
     assert sorted(tuple(r) for r in df.collect()) == [("he not well", 0), ("i not sleep !", -1)]
     assert rd.latest_file(spark, str(tmp_path)).endswith("processed_train.parquet")
+
+
+def test_dedupe_hot_text_across_partitions(spark):
+    rows = [("same", (i * 37) % 3001, i) for i in range(1000)] + [(f"t{i % 500}", i, i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "text string, pos int, y int").repartition(6)
+    out = {r["text"]: (r["pos"], r["y"]) for r in hz.dedupe_keep_first(df, "text", ["pos"]).collect()}
+    brute = {}
+    for t, p, y in rows:
+        if t not in brute or p < brute[t][0]:
+            brute[t] = (p, y)
+    assert out == brute
