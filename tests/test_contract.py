@@ -13,6 +13,7 @@ sys.path.insert(0, os.path.join(ROOT, "scripts"))
 import __spark_entry__ as entry  # noqa: E402
 from check_oracle import rows_of  # noqa: E402
 
+from sprout.plans import registry  # noqa: E402
 from sprout.plans.tables import TABLES  # noqa: E402
 
 
@@ -36,14 +37,15 @@ def test_entry_runs(spark, sf_small):
 
 
 def test_oracles_name_queries():
-    q, o = entry.queries(), entry.oracle_sql()
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    q, o = registry.queries(), registry.oracle_sql()
     assert set(o) <= set(q)
     rows_only = set(q) - set(o)
     assert rows_only == {"fit_logreg_heads", "history", "fit_gbt", "fit_rf", "w2v_features", "model_roundtrip",
                          "train_and_score"}
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_query_matches_oracle(spark, sf_small, duck, name):
     sp = entry.queries()[name](spark, sf_small).toPandas()
     od = duck.sql(entry.oracle_sql()[name]).df()
