@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sprout.llm import exact_dedup, mixing, quality_rules
+from sprout.llm import exact_dedup, mixing, ngram_join, quality_rules
 from sprout.llm import queries as llm
 from sprout.llm.common import documents, materialise
 
@@ -24,6 +24,10 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.keep_one(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
@@ -32,7 +36,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return llm.bpe_digests(docs, with_ids=True)
 
 
-STAGES = [("quality rules", rules), ("exact dedup", exact), ("mixing", mixed), ("bpe", tokens)]
+STAGES = [("quality rules", rules), ("exact dedup", exact), ("near dedup", near), ("mixing", mixed), ("bpe", tokens)]
 
 # The last stage, BPE, has no SQL; tests hold the rows of run() against a brute-force version.
 ORACLE_SQL = None

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sprout.llm import bpe, exact_dedup, mixing, quality_rules, secrets
+from sprout.llm import bpe, exact_dedup, mixing, ngram_join, quality_rules, secrets
 from sprout.llm.common import documents
 
 BPE_FILE = "byte_bpe_50k.json"
@@ -54,6 +54,30 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(documents(spark, sf_dir))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_classes(documents(spark, sf_dir))
+
+
+OP6_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+u AS (SELECT doc_id, len(ws) AS n, unnest(ws) AS a, generate_subscripts(ws, 1) AS i FROM w),
+g AS (SELECT doc_id, n, i, a, lead(a, 1) OVER o AS b, lead(a, 2) OVER o AS c, lead(a, 3) OVER o AS d, lead(a, 4) OVER o AS e
+      FROM u WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+s AS (SELECT DISTINCT doc_id, concat_ws(' ', a, b, c, d, e) AS shingle FROM g WHERE e IS NOT NULL OR (n < 5 AND i = 1)),
+z AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+f AS (SELECT shingle FROM s GROUP BY shingle HAVING count(*) > 1),
+h AS (SELECT s.* FROM s JOIN f USING (shingle)),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o FROM h x JOIN h y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL),
+l AS (SELECT p.a, p.b FROM p JOIN z x ON x.doc_id = p.a JOIN z y ON y.doc_id = p.b WHERE 100 * o >= 75 * (x.n + y.n - o)),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS b FROM r GROUP BY a)
+SELECT w.doc_id, coalesce(z.n, 0)::BIGINT AS n_shingles, least(w.doc_id, coalesce(c.b, w.doc_id)) AS component_id
+FROM w LEFT JOIN z ON z.doc_id = w.doc_id LEFT JOIN c ON c.a = w.doc_id
+"""
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.ledger(documents(spark, sf_dir))
     rows = quality_rules.apply_policy(rows, quality_rules.BASE, "base_kept")
@@ -66,9 +90,11 @@ OP7_SQL = """
 WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
 w AS (SELECT doc_id, x, regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+') AS ws,
         list_filter(string_split(x, chr(10)), lambda s: regexp_matches(s, '[^\\x20\\x09-\\x0D]')) AS ls FROM t),
-tri AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS c
-        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
-rep AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM tri, (SELECT unnest([0, 1, 2]) AS k) WHERE c > 1 GROUP BY doc_id),
+u AS (SELECT doc_id, unnest(ws) AS a, generate_subscripts(ws, 1) AS i FROM w),
+g AS (SELECT doc_id, i, a, lead(a, 1) OVER o AS b, lead(a, 2) OVER o AS c FROM u WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+tri AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM g WHERE c IS NOT NULL),
+inside AS (SELECT DISTINCT doc_id, i + k AS i FROM tri, (SELECT unnest([0, 1, 2]) AS k) WHERE n > 1),
+rep AS (SELECT doc_id, count(*) AS n_repeat_words FROM inside GROUP BY doc_id),
 m AS (
   SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(x, '[\\x20\\x09-\\x0D]+', '', 'g'))::BIGINT AS word_chars,
     (length(x) - length(regexp_replace(x, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
@@ -105,6 +131,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_bpe": op2_bpe,
+    "op6_ngram_join": op6_ngram_join,
     "op7_quality_rules": op7_quality_rules,
     "op9_secrets": op9_secrets,
     "op10_exact_dedup": op10_exact_dedup,
@@ -112,6 +139,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_mixing": OP1_SQL,
+    "op6_ngram_join": OP6_SQL,
     "op7_quality_rules": OP7_SQL,
     "op10_exact_dedup": OP10_SQL,
 }
