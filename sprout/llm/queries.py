@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sprout.llm import bpe, exact_dedup, mixing, ngram_join, quality_rules, secrets
+from sprout.llm import bpe, ctw, exact_dedup, mixing, ngram_join, quality_rules, secrets
 from sprout.llm.common import documents
 
 BPE_FILE = "byte_bpe_50k.json"
@@ -108,6 +108,11 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
             ).replace("BASE", str(quality_rules.mask(quality_rules.BASE))).replace("WEB", str(quality_rules.mask(quality_rules.DEFAULT)))
 
 
+def op8_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score_documents(documents(spark, sf_dir)).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = secrets.findings(docs, secrets.update(docs))
@@ -133,6 +138,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op6_ngram_join": op6_ngram_join,
     "op7_quality_rules": op7_quality_rules,
+    "op8_ctw": op8_ctw,
     "op9_secrets": op9_secrets,
     "op10_exact_dedup": op10_exact_dedup,
 }
