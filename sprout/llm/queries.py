@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sprout.llm import bpe, ctw, exact_dedup, mixing, ngram_join, quality_rules, secrets
+from sprout.llm import bpe, ctw, exact_dedup, language, mixing, ngram_join, quality_model, quality_rules, secrets
 from sprout.llm.common import documents
 
 BPE_FILE = "byte_bpe_50k.json"
@@ -54,6 +54,15 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(documents(spark, sf_dir))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.label_documents(documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score", "n_switches")
+
+
+def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return quality_model.score_documents(documents(spark, sf_dir), labels)
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_classes(documents(spark, sf_dir))
 
@@ -136,6 +145,8 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_bpe": op2_bpe,
+    "op4_language": op4_language,
+    "op5_quality_model": op5_quality_model,
     "op6_ngram_join": op6_ngram_join,
     "op7_quality_rules": op7_quality_rules,
     "op8_ctw": op8_ctw,
