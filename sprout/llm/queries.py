@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sprout.llm import bpe, ctw, exact_dedup, language, mixing, ngram_join, quality_model, quality_rules, secrets
+from sprout.llm import bpe, ctw, exact_dedup, language, mixing, ngram_join, quality_model, quality_rules, secrets, suffix_dedup
 from sprout.llm.common import documents
 
 BPE_FILE = "byte_bpe_50k.json"
@@ -54,6 +54,14 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(documents(spark, sf_dir))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def joined(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s[0].cast("string"), s[1].cast("string"))), ",")
+
+    return suffix_dedup.repeats(documents(spark, sf_dir)).select(
+        "doc_id", "repeat_words", joined("spans").alias("spans"), joined("cut").alias("cut"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.label_documents(documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score", "n_switches")
 
@@ -145,6 +153,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_bpe": op2_bpe,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_language": op4_language,
     "op5_quality_model": op5_quality_model,
     "op6_ngram_join": op6_ngram_join,

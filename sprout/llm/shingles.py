@@ -36,12 +36,21 @@ def word_codes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_codes.__getitem__, words), np.uint64, len(words))
 
 
+def _rolled_sum(codes: np.ndarray, n: int) -> tuple[np.ndarray, np.uint64]:
+    """The polynomial of every run of n words, and the factor that moves a run n places up; doubles the length."""
+    if n == 1:
+        return codes, _ODD
+    half, up = _rolled_sum(codes, n // 2)
+    total, up = half[:-(n // 2)] * up + half[n // 2:], up * up
+    if n % 2:
+        total, up = total[:-1] * _ODD + codes[n - 1:], up * _ODD
+    return total, up
+
+
 def rolled(codes: np.ndarray, n: int) -> np.ndarray:
     """A 64-bit code of every run of n consecutive words."""
-    total = np.zeros(len(codes) - n + 1, np.uint64)
-    for k in range(n):
-        total = total * _ODD + codes[k:len(codes) - n + 1 + k]
-    return spread_bits(total + np.uint64(n))
+    with np.errstate(over="ignore"):
+        return spread_bits(_rolled_sum(codes, n)[0] + np.uint64(n))
 
 
 def spread_bits(x: np.ndarray) -> np.ndarray:
