@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from sprout.functions import fixed
 from sprout.functions import text as tx
-
+from sprout.session import broadcast_below
 
 
 def _classified(tokens: Column, stop: list[str], lemmas: dict[str, str] | None, keep_numbers: bool) -> Column:
@@ -75,7 +75,6 @@ def apply_run_rules(df: DataFrame, arr_col: str, out_col: str, keep_kind: bool =
 # tested inside the row; a lookup table joined to exploded tokens is broadcast. Larger tables are joined by
 # shuffle (sort-merge, with AQE splitting skewed terms).
 VOCAB_INROW_MAX = 50_000
-BROADCAST_MAX_ROWS = 2_000_000
 
 
 def _vocab_terms(vocab: DataFrame, max_terms: int) -> tuple[DataFrame, list[str] | None]:
@@ -92,11 +91,6 @@ def _vocab_terms(vocab: DataFrame, max_terms: int) -> tuple[DataFrame, list[str]
     return v, [r[0] for r in v.collect()]
 
 
-def _bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only when a count proves the table small; otherwise the planner's choice."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def _term_list_sql(terms: list[str]) -> str:
     return ",".join(tx._sql_str(t) for t in terms)
 
@@ -125,10 +119,10 @@ def clean_tokens(
     vocab_inrow_max: int = VOCAB_INROW_MAX,
     squash_punct: bool = False,
 ) -> DataFrame:
-    """Add ``out_col`` = cleaned token array. Input columns are kept (the join path leaves out ``text_col``).
+    """Add ``out_col`` = cleaned token array. Every input row and column is kept, whichever path is taken.
 
     ``lemma_table(form, lemma)`` and ``vocab(term)`` are DataFrames; ``lemmas`` is a small dict (in-row literal
-    map). ``stop`` defaults to the engine stop set; ``squash_punct`` first turns '!!!' into '!' and '....' into
+    map). ``key_col`` is accepted for older callers and not needed. ``stop`` defaults to the engine stop set; ``squash_punct`` first turns '!!!' into '!' and '....' into
     '...' inside the text (T19, off by default). A vocabulary of at most ``vocab_inrow_max`` terms is applied
     inside the row (no shuffle); a larger one, or a lemma table, goes through the exploded join path.
     """
@@ -158,19 +152,17 @@ def _clean_tokens_joined(df, text_col, out_col, stop, lemmas, lemma_table, vocab
     smaller than one of exploded tokens); explode, broadcast lookups and the per-document re-assembly then run in
     that same stage, because the aggregate's key is already the partitioning key. A per-document group is
     bounded by the document's own length."""
-    spark = df.sparkSession
     cols = df.columns
-    key = key_col or "__doc_key"
-    base = df if key_col else df.withColumn(key, F.monotonically_increasing_id())
-    rest = [c for c in cols if c != text_col and c != key]
-    n = max(base.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    part = base.repartition(n, key)
-    ex = part.select(key, *rest, F.posexplode_outer(tx.tokenize(F.col(text_col), squash_punct)).alias("pos", "t"))
+    key = "__row"
+    part = df.withColumn(key, F.monotonically_increasing_id()).repartition(key)
+    ex = part.select("*", F.posexplode_outer(tx.tokenize(F.col(text_col), squash_punct)).alias("pos", "t"))
+    # A row's own columns ride on its first token only.
+    ex = ex.withColumns({c: F.when(F.coalesce(F.col("pos"), F.lit(0)) == 0, F.col(c)) for c in cols})
     ex = ex.withColumn("kind", tx.token_kind(F.col("t"), keep_numbers))
     if lemma_table is not None:
         lt = lemma_table.select(F.lower("form").alias("__form"), F.lower("lemma").alias("__lemma"))
-        lt = _bounded_broadcast(lt.dropDuplicates(["__form"]), BROADCAST_MAX_ROWS)
-        ex = ex.join(lt, F.lower(F.col("t")) == F.col("__form"), "left")
+        lt = broadcast_below(lt.groupBy("__form").agg(F.min("__lemma").alias("__lemma")), 128)  # of several, the first by name
+        ex = ex.join(lt, _spread_nulls(F.lower(F.col("t")), F.col("kind") == "word") == F.col("__form"), "left")
         lem = F.coalesce(F.col("__lemma"), F.lower(F.col("t")))
     else:
         lem = tx.lemma_of(F.col("t"), lemmas)
@@ -182,13 +174,13 @@ def _clean_tokens_joined(df, text_col, out_col, stop, lemmas, lemma_table, vocab
     if terms is not None:
         ex = ex.withColumn("out", F.expr(_in_vocab_sql("out", "kind", terms)))
     elif vocab_df is not None:
-        v = _bounded_broadcast(vocab_df, BROADCAST_MAX_ROWS)
-        ex = ex.join(v, F.col("out") == F.col("__term"), "left")
+        v = broadcast_below(vocab_df, 96)
         needs_vocab = F.col("kind").isin("emoji", "word")
+        ex = ex.join(v, _spread_nulls(F.col("out"), needs_vocab) == F.col("__term"), "left")
         ex = ex.withColumn("out", F.when(needs_vocab & F.col("__term").isNull(), F.lit(None)).otherwise(F.col("out")))
     grouped = ex.groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct("pos", "t", "kind", "out"))).alias("__arr"),
-        *[F.first(c).alias(c) for c in rest],
+        *[F.first(c, ignorenulls=True).alias(c) for c in cols],
     )
     grouped = grouped.withColumn(
         "__arr",
@@ -198,7 +190,13 @@ def _clean_tokens_joined(df, text_col, out_col, stop, lemmas, lemma_table, vocab
         ),
     )
     out = apply_run_rules(grouped, "__arr", out_col, keep_kind).drop("__arr")
-    return out.select(*[c for c in cols if c != text_col], out_col)
+    return out.select(*cols, out_col)
+
+
+def _spread_nulls(term: Column, wanted: Column) -> Column:
+    """The term where a lookup is wanted; elsewhere a key that no table holds, one per row and place, so the
+    tokens without a lookup don't meet in one partition."""
+    return F.when(wanted & term.isNotNull(), term).otherwise(F.concat_ws("\u0000", F.lit(""), F.col("__row"), F.col("pos")))
 
 
 def clean(

@@ -30,7 +30,7 @@ def split_exact(df: DataFrame, id_col: str, frac: float = 0.2, seed: int = 42, o
     h = seeded_hash(id_col, seed)
     tagged = df.withColumn("__h", h).withColumn("__b", hex_prefix_int(F.col("__h"), HASH_PREFIX_CHARS))
     counts = tagged.groupBy("__b").agg(F.count(F.lit(1)).alias("__c"))
-    w = Window.partitionBy(F.lit(0)).orderBy("__b")
+    w = Window.partitionBy(F.lit(0)).orderBy("__b")  # one task, over at most 2^20 counts whatever N is
     cum = counts.select(
         "__b", "__c",
         (F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, -1))).alias("__before"),
@@ -77,14 +77,12 @@ def hash_buckets(df: DataFrame, id_col: str, k: int = 10, seed: int = 42, out_co
 
 def shuffle_batches(df: DataFrame, id_col: str, shards: int, batch_size: int = 16, seed: int = 42) -> DataFrame:
     """reproducible shuffled mini-batches. shard = md5 prefix mod ``shards``; inside a shard rows are ordered
-    by the hash; ``batch_id`` = position // batch_size. One window partition per shard (about N / shards rows)."""
+    by the hash; ``batch_id`` = position // batch_size. Positions come from the range-partitioned index, so a shard
+    may be larger than a task."""
     h = seeded_hash(id_col, seed)
     tagged = df.withColumn("__h", h).withColumn("shard", (hex_prefix_int(F.col("__h"), 8) % shards).cast("int"))
-    w = Window.partitionBy("shard").orderBy("__h", id_col)
-    pos = F.row_number().over(w) - 1
     return (
-        tagged.repartition(shards, "shard")
-        .withColumn("__p", pos)
+        consecutive_index(tagged, ["shard"], ["__h", id_col], "__p")
         .withColumn("batch_id", F.floor(F.col("__p") / batch_size).cast("bigint"))
         .withColumn("pos_in_batch", (F.col("__p") % batch_size).cast("int"))
         .drop("__h", "__p")
@@ -140,13 +138,27 @@ def chunk_spans(n_tokens: Column, max_len: int = 128, overlap: int = 32) -> Colu
 def mean_pool(df: DataFrame, group_col: str, vec_col: str, mask_col: str | None = None) -> DataFrame:
     """masked mean of vectors per group, sum(v * m) / max(sum(m), 1e-6), long form (group, dim, mean).
 
-    Vectors are exploded by dimension and summed with a partial aggregate: a group holding a third of all rows
-    is combined inside each map task before the shuffle.
+    Whole vectors are summed per group (one buffer per group and map task, combined before the shuffle); only
+    the means are exploded. A group whose rows are all masked out has means of 0.
     """
-    m = F.col(mask_col).cast("double") if mask_col else F.lit(1.0)
-    ex = df.select(group_col, m.alias("__m"), F.posexplode(vec_col).alias("dim", "__x"))
-    g = ex.groupBy(group_col, "dim").agg(
-        F.sum(F.col("__x") * F.col("__m")).alias("__s"), F.sum("__m").alias("__ms")
-    )
-    return g.select(group_col, F.col("dim").cast("int").alias("dim"),
-                    F.round(F.col("__s") / F.greatest(F.col("__ms"), F.lit(1e-6)), 6).alias("mean_value"))
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    m = F.coalesce(F.col(mask_col).cast("double"), F.lit(0.0)) if mask_col else F.lit(1.0)
+    rows = df.select(group_col, m.alias("__m"), F.col(vec_col).cast("array<double>").alias("__v"))
+    seen = rows.where(F.col("__m") > 0).withColumn("__v", array_to_vector("__v"))
+    means = seen.groupBy(group_col).agg(vector_to_array(Summarizer.mean(F.col("__v"), F.col("__m"))).alias("__mean"))
+    if mask_col:
+        masked = rows.groupBy(group_col).agg(F.max("__m").alias("__most"), F.max(F.size("__v")).alias("__dim"))
+        zeros = F.array_repeat(F.lit(0.0), F.col("__dim")).alias("__mean")
+        means = means.unionByName(masked.where("__most <= 0").select(group_col, zeros))
+    return (means.select(group_col, F.posexplode("__mean").alias("dim", "__x"))
+            .select(group_col, F.col("dim").cast("int").alias("dim"), F.round("__x", 6).alias("mean_value")))
+
+
+def chunk_rows(df: DataFrame, tokens_col: str, max_len: int = 128, overlap: int = 32) -> DataFrame:
+    """one row per chunk with its tokens and every other column of its row (labels, keys) repeated."""
+    others = [c for c in df.columns if c != tokens_col]
+    ex = df.select(*others, tokens_col, F.explode(chunk_spans(F.size(tokens_col), max_len, overlap)).alias("__c"))
+    return ex.select(*others, F.col("__c.chunk_idx").alias("chunk_idx"), F.col("__c.start").alias("start"),
+                     F.slice(F.col(tokens_col), F.col("__c.start") + 1, F.greatest(F.col("__c.length"), F.lit(0))).alias("chunk_tokens"))

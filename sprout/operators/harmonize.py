@@ -30,43 +30,72 @@ def label_rejected(c: Column | str) -> Column:
     return (F.length(s) > 0) & F.coalesce(~ok, F.lit(True))
 
 
-def strip_headers(df: DataFrame) -> DataFrame:
-    """H1: strip white space around column names."""
-    return df.toDF(*[c.strip() for c in df.columns])
+def header_plan(columns: list[str], wanted: list[str] | None, text_col: str = "text",
+                meta_cols: tuple[str, ...] = ()) -> dict[str, int | None]:
+    """H1-H3, H5 for one header: output column -> place of the input column that fills it, or None for a default.
 
-
-def resolve_text(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """H2: case-insensitive ``text`` column, renamed; first candidate wins; error if none."""
-    cands = [c for c in df.columns if c.lower() == text_col]
-    if not cands:
-        raise ValueError(f"'{text_col}' column not found")
-    if cands[0] != text_col:
-        df = df.withColumnRenamed(cands[0], text_col)
-    return df
+    Names count without white space at their ends. The text is the first column called ``text_col`` in any case;
+    other columns that differ from it only by case are dropped. Without ``wanted`` every other column is wanted, in
+    order; of repeated names the first one counts.
+    """
+    names = [c.strip() for c in columns]
+    texts = [i for i, c in enumerate(names) if c.casefold() == text_col.casefold()]
+    if not texts:
+        raise ValueError(f"none of the columns {columns} is the text column {text_col!r}")
+    place: dict[str, int] = {}
+    for i, c in enumerate(names):
+        if i not in texts and c not in meta_cols:
+            place.setdefault(c, i)
+    labels = [c for c in wanted if c != text_col] if wanted is not None else list(place)
+    plan: dict[str, int | None] = {text_col: texts[0]}
+    plan.update({c: place.get(c) for c in labels})
+    plan.update({c: names.index(c) for c in meta_cols if c in names})
+    return plan
+
+
+def align(df: DataFrame, plan: dict[str, int | None], text_col: str = "text", meta_cols: tuple[str, ...] = ()) -> DataFrame:
+    """H4 in one projection over a ``header_plan``: labels become TINYINT, missing ones 0. Columns are taken by place,
+    so equal or similar names in the input don't clash."""
+    own = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+    def filled(name: str, at: int | None) -> Column:
+        if name == text_col or name in meta_cols:
+            return F.col(f"c{at}")
+        return F.lit(0).cast("tinyint") if at is None else coerce_label(F.col(f"c{at}"))
+
+    return own.select(*[filled(c, at).alias(c) for c, at in plan.items()])
 
 
 def align_union(frames: list[DataFrame], text_col: str = "text",
                 meta_cols: tuple[str, ...] = ("_file_rank", "_pos")) -> DataFrame:
-    """H1-H5: canonical column order = first frame; missing labels -> 0; extra columns dropped; labels coerced
-    to TINYINT; frames concatenated by name. ``meta_cols`` ride along untouched."""
-    canonical = None
-    out = []
+    """H1-H5: the first frame's columns, in its order, for all frames; rows one below the other."""
+    wanted = [c for c in header_plan(frames[0].columns, None, text_col, meta_cols) if c not in meta_cols]
+    aligned = [align(f, header_plan(f.columns, wanted, text_col, meta_cols), text_col, meta_cols) for f in frames]
+    out = aligned[0]
+    for more in aligned[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def rejected_labels(frames: list[DataFrame], text_col: str = "text",
+                    meta_cols: tuple[str, ...] = ("_file_rank", "_pos")) -> DataFrame:
+    """Rejects of ``align_union``: (meta columns, label, value) of every label value that was turned into 0 for not
+    being a number in range."""
+    wanted = [c for c in header_plan(frames[0].columns, None, text_col, meta_cols) if c not in meta_cols]
+    parts = []
     for df in frames:
-        df = resolve_text(strip_headers(df), text_col)
-        data_cols = [c for c in df.columns if c not in meta_cols]
-        if canonical is None:
-            canonical = data_cols
-        labels = [c for c in canonical if c != text_col]
-        cols = [F.col(f"`{text_col}`").alias(text_col)]
-        cols += [
-            (coerce_label(F.col(f"`{c}`")) if c in data_cols else F.lit(0).cast("tinyint")).alias(c) for c in labels
-        ]
-        cols += [F.col(m) for m in meta_cols if m in df.columns]
-        out.append(df.select(*cols))
-    res = out[0]
-    for df in out[1:]:
-        res = res.unionByName(df)
-    return res
+        plan = header_plan(df.columns, wanted, text_col, meta_cols)
+        own = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+        values = [F.struct(F.lit(c).alias("label"), F.col(f"c{at}").cast("string").alias("value"))
+                  for c, at in plan.items() if at is not None and c != text_col and c not in meta_cols]
+        if values:
+            meta = [F.col(f"c{at}").alias(c) for c, at in plan.items() if c in meta_cols]
+            long = own.select(*meta, F.explode(F.array(*values)).alias("v")).select(*[c for c in plan if c in meta_cols], "v.label", "v.value")
+            parts.append(long.where(label_rejected("value")))
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def label_columns(df: DataFrame, text_col: str = "text") -> list[str]:
@@ -94,7 +123,9 @@ def dedupe_keep_first(df: DataFrame, key_col: str, order_cols: list[str]) -> Dat
     """
     others = [c for c in df.columns if c != key_col]
     order = F.struct(*[F.col(c) for c in order_cols])
-    agg = df.groupBy(key_col).agg(F.min_by(F.struct(*[F.col(c) for c in others]), order).alias("__first"))
+    # Sorting compares the digests; whole texts are compared only where these are equal.
+    digest = F.sha2(F.col(key_col).cast("string"), 256).alias("__digest")
+    agg = df.groupBy(digest, key_col).agg(F.min_by(F.struct(*[F.col(c) for c in others]), order).alias("__first"))
     return agg.select(key_col, *[F.col("__first")[c].alias(c) for c in others]).select(*df.columns)
 
 

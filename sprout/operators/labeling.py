@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from sprout.functions import fixed
 from sprout.operators.ordering import consecutive_index
+from sprout.session import BROADCAST_BYTES, broadcast_below
 
 BATCH_SIZE = 20
 
@@ -57,9 +58,11 @@ def lexicon_df(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(LEXICON, "term string, label string, polarity int")
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast hint only behind a measured size bound; larger tables are left to the planner (sort-merge)."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+def signed_lexicon(lexicon: DataFrame) -> DataFrame:
+    """One meaning for every path: polarity is its sign, entries without a term or with polarity 0 or null say nothing,
+    and an entry repeated with one sign counts once."""
+    return (lexicon.select("term", "label", F.signum("polarity").cast("int").alias("polarity"))
+            .where(F.col("term").isNotNull() & (F.col("polarity") != 0)).distinct())
 
 
 # ---------------------------------------------------------------------------------------------------------------
@@ -87,23 +90,24 @@ def build_requests(batched: DataFrame, group_col: str, text_col: str = "text") -
 # L3: labellers
 # ---------------------------------------------------------------------------------------------------------------
 def lexicon_counts(tokens_df: DataFrame, key_cols: list[str] | str, tokens_col: str, lexicon: DataFrame,
-                   max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Tokens JOIN lexicon -> per key ``pos_<label>`` / ``neg_<label>`` hit counts for every category.
+                   max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Tokens JOIN lexicon -> per input row its key and ``pos_<label>`` / ``neg_<label>`` hit counts for every category.
 
-    Tokens are exploded with ``explode_outer`` and aggregated per key with a partial aggregate, so every key
-    appears (zero counts when nothing matches) without a join back, and a key holding a third of all tokens is
-    combined inside each map task before the shuffle. The lexicon is broadcast only below a counted size.
+    Tokens are exploded with ``explode_outer`` and aggregated per row (an id of its own, so rows that repeat a key stay
+    apart) with a partial aggregate, so every row appears (zero counts when nothing matches) without a join
+    back. The lexicon is broadcast only below a counted size.
     """
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
-    lex = broadcast_if_small(lexicon.select("term", "label", "polarity"), max_broadcast_rows)
-    ex = tokens_df.select(*keys, F.explode_outer(tokens_col).alias("term"))
+    lex = broadcast_below(signed_lexicon(lexicon), 128, max_broadcast_bytes)
+    ex = (tokens_df.select(F.monotonically_increasing_id().alias("__row"), *keys, tokens_col)
+          .select("__row", *keys, F.explode_outer(tokens_col).alias("term")))
     hits = ex.join(lex, "term", "left")
     aggs = []
     for name in fixed.REQUIRED_LABELS:
         is_l = F.col("label") == name
         aggs.append(F.count(F.when(is_l & (F.col("polarity") > 0), 1)).cast("int").alias(f"pos_{name}"))
         aggs.append(F.count(F.when(is_l & (F.col("polarity") < 0), 1)).cast("int").alias(f"neg_{name}"))
-    return hits.groupBy(*keys).agg(*aggs)
+    return hits.groupBy("__row", *keys).agg(*aggs).drop("__row")
 
 
 def _member_of(values: list[str]):
@@ -114,7 +118,7 @@ def _category_counts(matched: Column, lexicon: list[tuple[str, str, int]]) -> li
     cols = []
     for name in fixed.REQUIRED_LABELS:
         for sign, prefix in ((1, "pos"), (-1, "neg")):
-            mine = sorted({t for t, lab, p in lexicon if lab == name and (p > 0) == (sign > 0)})
+            mine = sorted({t for t, lab, p in lexicon if lab == name and p * sign > 0})
             if mine:
                 c = F.size(F.filter(matched, _member_of(mine)))
             else:
@@ -143,18 +147,20 @@ LEXICON_INROW_MAX = 50_000
 
 
 def lexicon_label(tokens_df: DataFrame, key_col: str, tokens_col: str, lexicon: DataFrame,
-                  max_broadcast_rows: int = 1_000_000, max_inrow_terms: int = LEXICON_INROW_MAX) -> DataFrame:
+                  max_broadcast_bytes: int = BROADCAST_BYTES, max_inrow_terms: int = LEXICON_INROW_MAX) -> DataFrame:
     """L3 (built-in, declarative): per label sign(positive hits - negative hits), clipped to the label domain;
-    then L8 (neutral = 1 when every category is 0). Output: key + one TINYINT column per label.
+    then L8 (neutral = 1 when every category is 0). Output: key + one TINYINT column per label, one row per input row.
 
     A lexicon of at most ``max_inrow_terms`` entries (proven by one bounded collect) is matched inside each row,
-    with no explode and no shuffle; a larger one is joined to the exploded tokens (``lexicon_counts``)."""
-    rows = lexicon.select("term", "label", "polarity").limit(max_inrow_terms + 1).collect()
+    with no explode and no shuffle; a larger one is joined to the exploded tokens (``lexicon_counts``). Both give the
+    same rows and values (``signed_lexicon``)."""
+    lexicon = signed_lexicon(lexicon)
+    rows = lexicon.limit(max_inrow_terms + 1).collect()
     if len(rows) <= max_inrow_terms:
         entries = [(r["term"], r["label"], int(r["polarity"])) for r in rows]
         counts = add_lexicon_counts(tokens_df, tokens_col, entries, [key_col])
     else:
-        counts = lexicon_counts(tokens_df, key_col, tokens_col, lexicon, max_broadcast_rows)
+        counts = lexicon_counts(tokens_df, key_col, tokens_col, lexicon, max_broadcast_bytes)
     cols = []
     for name, lo, hi in fixed.LABEL_SPEC:
         if name == "neutral":
@@ -175,7 +181,9 @@ def label_batches(requests: DataFrame, labeler: Callable[[list[dict]], list[dict
     """L3 (pluggable): apply a user callable ``records -> items`` to every batch with ``mapInPandas``.
 
     Concurrency = number of partitions (``partitions`` bounds the calls in flight, e.g. an API rate limit).
-    The callable's answer is returned as raw JSON (``{"items": [...]}``) for L4-L9 validation.
+    The callable's answer is returned as raw JSON (``{"items": [...]}``) for L4-L9 validation. If it raises, the batch
+    gets no response and ``error`` says why; the other batches go on (``validate_responses`` calls such a batch
+    ``labeler_error``).
     """
     import json
 
@@ -185,14 +193,20 @@ def label_batches(requests: DataFrame, labeler: Callable[[list[dict]], list[dict
 
     def run(batches: Iterator):
         for pdf in batches:
-            responses = []
+            responses, errors = [], []
             for recs in pdf["records"]:
                 records = [{"id": int(r["id"]), "text": r["text"]} for r in recs]
-                responses.append(json.dumps({"items": labeler(records)}, ensure_ascii=False))
-            yield pdf[[group_col, "batch_id"]].assign(response=responses)
+                try:
+                    responses.append(json.dumps({"items": labeler(records)}, ensure_ascii=False))
+                    errors.append(None)
+                except Exception as e:  # noqa: BLE001 - user code: the batch is rejected, the run goes on
+                    responses.append(None)
+                    errors.append(f"{type(e).__name__}: {e}")
+            yield pdf[[group_col, "batch_id"]].assign(response=responses, error=errors)
 
     schema = T.StructType([
-        src.schema[group_col], T.StructField("batch_id", T.LongType()), T.StructField("response", T.StringType())
+        src.schema[group_col], T.StructField("batch_id", T.LongType()), T.StructField("response", T.StringType()),
+        T.StructField("error", T.StringType()),
     ])
     return src.mapInPandas(run, schema)
 
@@ -208,27 +222,31 @@ def validate_responses(requests: DataFrame, responses: DataFrame, group_col: str
     """L4-L9 per batch: parse ``{"items": [...]}`` (missing key -> []), item count == record count, every
     required category present in every item, values inside their domain, text copied verbatim.
 
-    Returns one row per batch with ``status`` ('ok' or the first failed check) and the counts behind it.
+    Returns one row per batch with ``status`` ('ok' or the first failed check) and the counts behind it. A null item
+    lacks every required label; a label whose value is null, or no integer, is out of its domain. A batch whose
+    labeller raised (``error`` in the responses) is ``labeler_error``.
     """
     spec = spec or fixed.LABEL_SPEC
     required = [n for n, _, _ in spec if n != "neutral"]
     parsed = responses.withColumn(
         "items", F.coalesce(F.from_json("response", RESPONSE_SCHEMA)["items"], F.array().cast("array<map<string,string>>"))
     )
-    j = requests.select(group_col, "batch_id", "records").join(parsed.select(group_col, "batch_id", "items"),
-                                                                 [group_col, "batch_id"], "left")
+    error = F.col("error") if "error" in responses.columns else F.lit(None).cast("string")
+    parsed = parsed.select(F.col(group_col).alias("__g"), F.col("batch_id").alias("__b"), "items", error.alias("__error"))
+    j = requests.select(group_col, "batch_id", "records").join(
+        parsed, F.col(group_col).eqNullSafe(F.col("__g")) & (F.col("batch_id") == F.col("__b")), "left")
     req_arr = F.array(*[F.lit(n) for n in required])
     missing = F.aggregate(
-        F.col("items"), F.lit(0), lambda acc, it: acc + F.size(F.array_except(req_arr, F.map_keys(it)))
+        F.col("items"), F.lit(0),
+        lambda acc, it: acc + F.when(it.isNull(), F.lit(len(required)))
+        .otherwise(F.size(F.array_except(req_arr, F.map_keys(it))))
     )
 
     def bad_value(it):
+        # A label that is there must hold an integer of its domain; one that isn't there is counted as missing.
         checks = [
-            F.coalesce(
-                ~(F.element_at(it, F.lit(n)).try_cast("int").between(lo, hi))
-                | (F.element_at(it, F.lit(n)).try_cast("int").isNull() & F.element_at(it, F.lit(n)).isNotNull()),
-                F.lit(False),
-            ).cast("int")
+            (F.coalesce(F.array_contains(F.map_keys(it), n), F.lit(False))
+             & ~F.coalesce(F.element_at(it, F.lit(n)).try_cast("int").between(lo, hi), F.lit(False))).cast("int")
             for n, lo, hi in spec
         ]
         total = checks[0]
@@ -239,33 +257,35 @@ def validate_responses(requests: DataFrame, responses: DataFrame, group_col: str
     out_of_domain = F.aggregate(F.col("items"), F.lit(0), lambda acc, it: acc + bad_value(it))
     verbatim = F.aggregate(
         F.zip_with("records", "items", lambda r, it: F.when(it.isNull() | r.isNull(), 0)
-                   .when(r["text"] == F.element_at(it, F.lit("text")), 0).otherwise(1)),
+                   .when(F.coalesce(r["text"] == F.element_at(it, F.lit("text")), F.lit(False)), 0).otherwise(1)),
         F.lit(0), lambda acc, x: acc + x,
     )
     res = j.select(
         group_col, "batch_id",
         F.size("records").cast("int").alias("n_records"),
         F.coalesce(F.size("items"), F.lit(0)).cast("int").alias("n_items"),
-        missing.cast("int").alias("n_missing"),
-        out_of_domain.cast("int").alias("n_out_of_domain"),
-        verbatim.cast("int").alias("n_text_changed"),
+        F.coalesce(missing, F.lit(0)).cast("int").alias("n_missing"),
+        F.coalesce(out_of_domain, F.lit(0)).cast("int").alias("n_out_of_domain"),
+        F.coalesce(verbatim, F.lit(0)).cast("int").alias("n_text_changed"), "__error",
     )
     status = (
-        F.when(F.col("n_items") != F.col("n_records"), F.lit("count_mismatch"))
+        F.when(F.col("__error").isNotNull(), F.lit("labeler_error"))
+        .when(F.col("n_items") != F.col("n_records"), F.lit("count_mismatch"))
         .when(F.col("n_missing") > 0, F.lit("missing_columns"))
         .when(F.col("n_out_of_domain") > 0, F.lit("out_of_domain"))
         .when(F.col("n_text_changed") > 0, F.lit("text_changed"))
         .otherwise(F.lit("ok"))
     )
-    return res.withColumn("status", status)
+    return res.withColumn("status", status).drop("__error")
 
 
 def accepted_items(requests: DataFrame, responses: DataFrame, validation: DataFrame, group_col: str = "source",
                    labels: list[str] | None = None) -> DataFrame:
     """Good batches only, one row per item: (group, batch_id, id, text, <label> TINYINT...)."""
     labels = labels or fixed.LABELS
-    ok = validation.where(F.col("status") == "ok").select(group_col, "batch_id")
-    parsed = responses.join(ok, [group_col, "batch_id"], "left_semi").withColumn(
+    ok = validation.where(F.col("status") == "ok").select(F.col(group_col).alias("__g"), F.col("batch_id").alias("__b"))
+    same = F.col(group_col).eqNullSafe(F.col("__g")) & (F.col("batch_id") == F.col("__b"))
+    parsed = responses.join(ok, same, "left_semi").withColumn(
         "items", F.from_json("response", RESPONSE_SCHEMA)["items"]
     )
     ex = parsed.select(group_col, "batch_id", F.posexplode("items").alias("id", "item"))
@@ -304,6 +324,19 @@ def to_long(df: DataFrame, key_cols: list[str], label_cols: list[str], value_nam
     return df.unpivot(key_cols, label_cols, "label", value_name)
 
 
+def agreeing_rows(a_long: DataFrame, b_long: DataFrame, key_cols: list[str]) -> DataFrame:
+    """The keys whose labels the second labeller gives alike, every one of them, with their labels (long form).
+
+    A label that either side lacks, or has as null, is no agreement.
+    """
+    a = a_long.select(*key_cols, "label", F.col("y").alias("ya"))
+    b = b_long.select(*key_cols, "label", F.col("y").alias("yb"))
+    both = a.join(b, [*key_cols, "label"], "left")
+    same = F.coalesce(F.col("ya") == F.col("yb"), F.lit(False))
+    keep = both.groupBy(*key_cols).agg(F.min(same.cast("int")).alias("__same")).where("__same = 1").select(*key_cols)
+    return a_long.join(keep, key_cols, "left_semi")
+
+
 def label_agreement(a_long: DataFrame, b_long: DataFrame, key_cols: list[str]) -> DataFrame:
     """Per label agreement rate and Cohen's kappa of two binary label sets (keys, label, y)."""
     j = a_long.withColumnRenamed("y", "ya").join(b_long.withColumnRenamed("y", "yb"), [*key_cols, "label"])

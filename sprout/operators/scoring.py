@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sprout.functions import fixed
+from sprout.functions.text import unicode_trim
 
 
 def _arr_sql(values: list[float]) -> str:
@@ -34,7 +35,9 @@ def linear_logits(vec: Column, weights: list[list[float]], bias: list[float]) ->
     for w, b in zip(weights, bias):
         dot = F.aggregate(F.zip_with(vec, F.expr(_arr_sql(w)), lambda x, y: x * y), F.lit(0.0), lambda a, v: a + v)
         outs.append(dot + F.lit(float(b)))
-    return F.array(*outs)
+    dim = len(weights[0])
+    fault = F.raise_error(F.concat(F.lit(f"the head takes vectors of {dim}, not of "), F.size(vec).cast("string")))
+    return F.when(vec.isNull() | (F.size(vec) == dim), F.array(*outs)).otherwise(fault)
 
 
 def lexicon_logits(slope: float = 1.5, offset: float = -1.0) -> Column:
@@ -147,9 +150,10 @@ def to_json_record(df: DataFrame, cols: list[str], compact: bool = False) -> Dat
 
 def from_json_requests(df: DataFrame, value_col: str = "value") -> DataFrame:
     """S13 in: {"text": "..."} -> text (missing / blank text -> error "Missing 'text'")."""
-    t = F.get_json_object(F.col(value_col), "$.text")
-    blank = F.coalesce(F.length(F.trim(t)), F.lit(0)) == 0
-    return df.select(F.trim(t).alias("text"), F.when(blank, F.lit("Missing 'text'")).alias("error"))
+    t = unicode_trim(F.get_json_object(F.col(value_col), "$.text"))
+    blank = F.coalesce(F.length(t), F.lit(0)) == 0
+    keep = [F.col(c) for c in df.columns if c != value_col]
+    return df.select(*keep, t.alias("text"), F.when(blank, F.lit("Missing 'text'")).alias("error"))
 
 
 # ---------------------------------------------------------------------------------------------------------------
@@ -161,16 +165,22 @@ def round_micro(x: Column) -> Column:
 
 
 def daily_inputs(events: DataFrame, type_to_label: dict[str, str], user_col: str = "user_id", ts_col: str = "ts",
-                 type_col: str = "event_type", value_col: str = "value", scale: int = 100,
-                 full: float = 500.0) -> DataFrame:
+                 type_col: str = "event_type", value_col: str = "value", scale: int = 100) -> DataFrame:
     """Event -> (user, ts, day, __label, __u): the label an event type stands for and its value as exact
-    integer units (value * scale, capped at full * scale)."""
-    units = F.least(F.round(F.col(value_col) * scale).cast("bigint"), F.lit(int(full * scale)))
+    integer units (value * scale). An event type without a label raises; take such rows off first with
+    ``unmapped_events``."""
+    units = F.round(F.col(value_col) * scale).cast("bigint")
     lab = F.element_at(F.create_map(*[x for kv in type_to_label.items() for x in map(F.lit, kv)]), F.col(type_col))
+    lab = F.coalesce(lab, F.raise_error(F.concat(F.lit("event type without a label: "), F.coalesce(F.col(type_col), F.lit("null")))))
     return events.select(user_col, F.col(ts_col).alias("ts"), F.to_date(ts_col).alias("day"),
                          lab.alias("__label"), units.alias("__u"))
 
 
+def unmapped_events(events: DataFrame, type_to_label: dict[str, str], type_col: str = "event_type") -> DataFrame:
+    """Rejects of ``daily_inputs``: events whose type stands for no label."""
+    return events.where(~F.coalesce(F.col(type_col).isin(*type_to_label), F.lit(False)))
+
+
 def daily_aggs(weights: list[tuple[str, float]] | None = None) -> list[Column]:
     """Conditional integer sums and counts per weighted label (mergeable, order-free partial aggregates)."""
     weights = weights or fixed.SCORE_WEIGHTS
@@ -195,7 +205,7 @@ def daily_score(weights: list[tuple[str, float]] | None = None, scale: int = 100
 
 def daily_wellness(events: DataFrame, type_to_label: dict[str, str], weights: list[tuple[str, float]] | None = None,
                    user_col: str = "user_id", **kw) -> DataFrame:
-    """I11 per (user, day): p of an event = min(value / 500, 1); the probability of a label that day is the mean
+    """I11 per (user, day): p of an event = value / ``full``, as given; the probability of a label that day is the mean
     p of its events; score = sum over labels of p * weight (labels without events contribute 0).
 
     Values are summed as exact integers, so the score does not depend on summation order or partitioning. One

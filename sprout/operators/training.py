@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EPS = 1e-8
@@ -31,7 +31,7 @@ def pos_weight(df: DataFrame, label_cols: list[str], cap: float | None = None) -
     return stacked.select(
         F.col("s.label").alias("label"), F.col("n").cast("bigint").alias("n"),
         F.col("s.pos").cast("bigint").alias("pos"),
-        F.when(bad, F.raise_error(F.lit("labels must be 0/1 for training"))).otherwise(F.round(w, 6)).alias("pos_weight"),
+        F.when(bad, F.raise_error(F.lit("labels must be 0/1 for training"))).otherwise(w).alias("pos_weight"),
     )
 
 
@@ -131,32 +131,26 @@ def fit_logreg_heads(df: DataFrame, features_col: str, label_cols: list[str], re
     return models, history
 
 
-def save_heads(models: dict, path: str, config: dict) -> None:
+def save_heads(spark: SparkSession, models: dict, path: str, config: dict) -> None:
     """Every head with ``MLWritable.save`` plus a one-row JSON config (label order, thresholds,
     max_len), all under ``path`` (a shared folder)."""
     import json
 
     for lab, m in models.items():
         m.write().overwrite().save(f"{path}/heads/{lab}")
-    from pyspark.sql import SparkSession
-
-    s = SparkSession.getActiveSession()
     labels = list(models)
     cfg = {"model_name": config.get("model_name", "sprout-logreg"), "num_labels": len(labels),
            "label_cols": labels, "thresholds": config.get("thresholds") or [0.5] * len(labels),
            "max_len": int(config.get("max_len", 128))}
-    s.createDataFrame([(json.dumps(cfg),)], "value string").write.mode("overwrite").text(f"{path}/config")
+    spark.createDataFrame([(json.dumps(cfg),)], "value string").write.mode("overwrite").text(f"{path}/config")
 
 
-def load_heads(path: str):
+def load_heads(spark: SparkSession, path: str):
     """Inverse of ``save_heads``: ({label: LogisticRegressionModel}, config dict with defaults)."""
     import json
 
     from pyspark.ml.classification import LogisticRegressionModel
-    from pyspark.sql import SparkSession
-
-    s = SparkSession.getActiveSession()
-    cfg = json.loads(s.read.text(f"{path}/config").first()[0])
+    cfg = json.loads(spark.read.text(f"{path}/config").first()[0])
     cfg.setdefault("thresholds", [0.5] * len(cfg["label_cols"]))
     cfg.setdefault("max_len", 128)
     models = {lab: LogisticRegressionModel.load(f"{path}/heads/{lab}") for lab in cfg["label_cols"]}

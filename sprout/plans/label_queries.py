@@ -212,7 +212,7 @@ def o_polarity_expand():
 FAULT_SQL = (
     "CASE substr(md5(concat(source, ':', CAST(batch_id AS STRING))), 1, 1) "
     "WHEN '0' THEN 'drop' WHEN '1' THEN 'drop' WHEN '2' THEN 'missing' WHEN '3' THEN 'domain' "
-    "WHEN '4' THEN 'text' ELSE 'none' END"
+    "WHEN '4' THEN 'text' WHEN '5' THEN 'null_item' WHEN '6' THEN 'null_label' WHEN '7' THEN 'raise' ELSE 'none' END"
 )
 
 
@@ -232,6 +232,10 @@ def _responses(spark, sf_dir):
                            F.create_map(F.lit("intellectual_wellness"), F.lit("-1"))))
         .when((F.col("fault") == "text") & first,
               F.map_concat(F.map_filter(m, lambda k, v: k != "text"), F.create_map(F.lit("text"), F.upper("text"))))
+        .when((F.col("fault") == "null_item") & first, F.lit(None))
+        .when((F.col("fault") == "null_label") & first,
+              F.map_concat(F.map_filter(m, lambda k, v: k != "mental_wellness"),
+                           F.create_map(F.lit("mental_wellness"), F.lit(None).cast("string"))))
         .otherwise(m)
     )
     grouped = items.groupBy("source", "batch_id", "fault").agg(
@@ -242,7 +246,9 @@ def _responses(spark, sf_dir):
     )
     arr = F.transform("arr", lambda x: x["item"])
     arr = F.when(F.col("fault") == "drop", F.slice(arr, 1, F.size(arr) - 1)).otherwise(arr)
-    resp = grouped.select("source", "batch_id", F.to_json(F.struct(arr.alias("items"))).alias("response"))
+    raised = F.col("fault") == "raise"
+    resp = grouped.select("source", "batch_id", F.when(~raised, F.to_json(F.struct(arr.alias("items")))).alias("response"),
+                          F.when(raised, F.lit("RuntimeError: no answer")).alias("error"))
     return req, resp
 
 
@@ -258,11 +264,12 @@ def o_validate_responses():
         "GROUP BY source, rn // 20), "
         f"f AS (SELECT *, {FAULT_SQL.replace('AS STRING', 'AS VARCHAR')} AS fault FROM g), "
         "v AS (SELECT source, batch_id, n AS n_records, "
-        "CAST(n - CASE WHEN fault = 'drop' THEN 1 ELSE 0 END AS INTEGER) AS n_items, "
-        "CAST(CASE WHEN fault = 'missing' THEN 1 ELSE 0 END AS INTEGER) AS n_missing, "
-        "CAST(CASE WHEN fault = 'domain' THEN 1 ELSE 0 END AS INTEGER) AS n_out_of_domain, "
-        "CAST(CASE WHEN fault = 'text' THEN 1 ELSE 0 END AS INTEGER) AS n_text_changed FROM f) "
-        "SELECT *, CASE WHEN n_items <> n_records THEN 'count_mismatch' WHEN n_missing > 0 THEN 'missing_columns' "
+        "CAST(n - CASE fault WHEN 'drop' THEN 1 WHEN 'raise' THEN n ELSE 0 END AS INTEGER) AS n_items, "
+        f"CAST(CASE fault WHEN 'missing' THEN 1 WHEN 'null_item' THEN {len(fixed.REQUIRED_LABELS)} ELSE 0 END AS INTEGER) "
+        "AS n_missing, "
+        "CAST(CASE WHEN fault IN ('domain', 'null_label') THEN 1 ELSE 0 END AS INTEGER) AS n_out_of_domain, "
+        "CAST(CASE WHEN fault = 'text' THEN 1 ELSE 0 END AS INTEGER) AS n_text_changed, fault FROM f) "
+        "SELECT * EXCLUDE (fault), CASE WHEN fault = 'raise' THEN 'labeler_error' WHEN n_items <> n_records THEN 'count_mismatch' WHEN n_missing > 0 THEN 'missing_columns' "
         "WHEN n_out_of_domain > 0 THEN 'out_of_domain' WHEN n_text_changed > 0 THEN 'text_changed' ELSE 'ok' END "
         "AS status FROM v"
     )
@@ -319,15 +326,19 @@ def o_label_agreement():
 
 
 # --- H14 ---------------------------------------------------------------------------------------------------------
+BLANKED_SQL = ("CASE (conv_id + turn) % 6 WHEN 0 THEN ' \t\n' WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN '\u3000' "
+               "ELSE text END")
+
+
 def q_reject_empty(spark, sf_dir):
-    conv = table(spark, sf_dir, "conversations").where(F.col("role") == "user")
+    conv = table(spark, sf_dir, "conversations").withColumn("text", F.expr(BLANKED_SQL))
     return hz.reject_empty(conv.select("conv_id", "turn", "text")).select("conv_id", "turn", "error")
 
 
 def o_reject_empty():
     return (
-        f"SELECT conv_id, turn, CASE WHEN length({_trim_sql('coalesce(text, ' + chr(39) * 2 + ')')}) = 0 "
-        "THEN 'Missing ''text''' END AS error FROM conversations WHERE role = 'user'"
+        f"SELECT conv_id, turn, CASE WHEN length({_trim_sql('coalesce(' + BLANKED_SQL + ', ' + chr(39) * 2 + ')')}) = 0 "
+        "THEN 'Missing ''text''' END AS error FROM conversations"
     )
 
 

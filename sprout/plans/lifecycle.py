@@ -84,7 +84,7 @@ def train_from_processed(spark: SparkSession, path: str, model_dir: str, text_co
     labels = [c for c in df.columns if c != text_col]
     df = df.select(F.coalesce(F.col(text_col), F.lit("")).alias(text_col),
                    *[F.col(c).cast("double").alias(c) for c in labels])
-    df = df.withColumn("__id", F.md5(F.concat_ws("\u001f", text_col, *[F.col(c).cast("string") for c in labels])))
+    df = df.withColumn("__id", F.monotonically_increasing_id())  # a row's own, fixed by the checkpoint below
     shared_dir(spark)
     # Materialise the prepared rows before the split: the split reads them several times, and on a plain scan
     # the optimizer does not re-derive every label alias inside the split's filters.
@@ -94,7 +94,7 @@ def train_from_processed(spark: SparkSession, path: str, model_dir: str, text_co
     data = feat_model.transform(df).select("__id", "__val", "features", *labels).checkpoint(eager=True)
     models, _ = tr.fit_logreg_heads(data, "features", labels, reg_params, val_col="__val", max_iter=max_iter)
     cfg = {"thresholds": thresholds or [0.5] * len(labels), "max_len": 128}
-    tr.save_heads(models, model_dir, cfg)
+    tr.save_heads(spark, models, model_dir, cfg)
     feat_model.write().overwrite().save(f"{model_dir}/features")
     scored = _apply_heads(feat_model.transform(df.where(F.col("__val"))), models, labels)
     long_df = scored.select(F.explode(F.arrays_zip(
@@ -125,11 +125,11 @@ def _apply_heads(df: DataFrame, models: dict, labels: list[str]) -> DataFrame:
 # ---------------------------------------------------------------------------------------------------------------
 # 3.3 Score
 # ---------------------------------------------------------------------------------------------------------------
-def load_model(model_dir: str):
+def load_model(spark: SparkSession, model_dir: str):
     """(feature model, heads, config) saved by ``train_from_processed``."""
     from pyspark.ml import PipelineModel
 
-    models, cfg = tr.load_heads(model_dir)
+    models, cfg = tr.load_heads(spark, model_dir)
     return PipelineModel.load(f"{model_dir}/features"), models, cfg
 
 

@@ -11,7 +11,7 @@ from sprout.operators import training as tr
 from sprout.operators.cleaning import clean as cl_clean
 from sprout.operators.cleaning import clean_tokens
 from sprout.plans.tables import table
-from sprout.session import scratch_path
+from sprout.session import scratch_path, shared_dir
 
 QUERIES = {}
 ORACLES = {}
@@ -20,13 +20,14 @@ CLASSES = [f"c{k}" for k in range(10)]
 
 
 def _emb_frame(spark, sf_dir):
-    """embeddings -> features vector, one 0/1 column per class, exact 80/20 split flag (cached: fitted ~L times)."""
+    """embeddings -> features vector, one 0/1 column per class, exact 80/20 split flag (checkpointed: fitted ~L times)."""
     e = table(spark, sf_dir, "embeddings")
     df = tr.with_vector(e, "embedding").select(
         "vec_id", "features", *[(F.col("label") == k).cast("int").alias(c) for k, c in enumerate(CLASSES)]
     )
     df = fe.split_exact(df, "vec_id", 0.2, 42).withColumn("is_val", F.col("split") == "val")
-    return df.cache()
+    shared_dir(spark)
+    return df.checkpoint(eager=True)
 
 
 def q_fit_logreg_heads(spark, sf_dir):
@@ -96,8 +97,12 @@ def q_w2v_features(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    toks = clean_tokens(docs, "text", "tokens").select("doc_id", "tokens").cache()
-    w2v = Word2Vec(vectorSize=16, minCount=2, maxIter=1, seed=42, inputCol="tokens", outputCol="vec").fit(toks)
+    shared_dir(spark)
+    toks = clean_tokens(docs, "text", "tokens").select("doc_id", "tokens").checkpoint(eager=True)
+    # Trained in as many partitions as the tokens have (Spark's default is one task for the whole corpus); the driver
+    # holds the vocabulary of words seen twice or more and its vectors (words x 16 numbers).
+    w2v = Word2Vec(vectorSize=16, minCount=2, maxIter=1, seed=42, numPartitions=toks.rdd.getNumPartitions(),
+                   inputCol="tokens", outputCol="vec").fit(toks)
     return w2v.transform(toks).select("doc_id", vector_to_array("vec").alias("doc_vector"))
 
 
@@ -108,8 +113,8 @@ def q_model_roundtrip(spark, sf_dir):
     df = _emb_frame(spark, sf_dir)
     models, _ = tr.fit_logreg_heads(df, "features", CLASSES, reg_params=(0.0,), max_iter=20)
     path = scratch_path(spark, "heads")
-    tr.save_heads(models, path, {"max_len": 128})
-    loaded, cfg = tr.load_heads(path)
+    tr.save_heads(spark, models, path, {"max_len": 128})
+    loaded, cfg = tr.load_heads(spark, path)
     out = None
     for lab in cfg["label_cols"]:
         p = loaded[lab].transform(df).select("vec_id", F.lit(lab).alias("label"),
@@ -121,20 +126,20 @@ def q_model_roundtrip(spark, sf_dir):
 def q_train_and_score(spark, sf_dir):
     """Whole lifecycle on the driver tables: weak labels for every document (L3, with the wellness sentences),
     cleaned and written as a processed file (T*, S8), heads trained from it (F1, F2, F8, F9, F13, S14) and
-    every user turn of ``conversations`` scored with the saved model (I9)."""
+    every turn of ``conversations`` scored with the saved model (I9)."""
     from sprout.plans import lifecycle as lc
     from sprout.plans.label_queries import _lexicon_wide
     from sprout.plans.tables import documents_with_wellness
     from sprout.sources import sinks
 
     docs = documents_with_wellness(spark, sf_dir).select("doc_id", "text")
-    labels = _lexicon_wide(spark, sf_dir).drop("neutral")
+    labels = _lexicon_wide(spark, sf_dir)
     processed = cl_clean(docs.join(labels, "doc_id"), "text", "cleaned_text").drop("doc_id")
     out_dir = scratch_path(spark, "train")
     sinks.write_dataset(processed, f"{out_dir}/processed_documents.parquet")
     lc.train_from_processed(spark, out_dir, f"{out_dir}/model", reg_params=(0.01,), max_iter=15)
-    turns = table(spark, sf_dir, "conversations").where(F.col("role") == "user").select("conv_id", "turn", "text")
-    scored = lc.score(turns, lc.load_model(f"{out_dir}/model"), "text", ["conv_id", "turn"])
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    scored = lc.score(turns, lc.load_model(spark, f"{out_dir}/model"), "text", ["conv_id", "turn"])
     return scored.select("conv_id", "turn", F.array_join("labels_on", ",").alias("labels_on"),
                          F.col("top5")[0]["label"].alias("top_label"), F.round("wellness", 6).alias("wellness"))
 

@@ -122,7 +122,8 @@ def o_above_threshold_long():
 
 # --- F1, F10, F14 ------------------------------------------------------------------------------------------------
 def q_pos_weight(spark, sf_dir):
-    return tr.pos_weight(table(spark, sf_dir, "labels"), ["quality", "toxic"])
+    w = tr.pos_weight(table(spark, sf_dir, "labels"), ["quality", "toxic"])
+    return w.withColumn("pos_weight", F.round("pos_weight", 6))
 
 
 def o_pos_weight():
@@ -140,8 +141,10 @@ def _targets_long(spark, sf_dir):
     logits = sc.linear_logits(F.col("embedding"), W, B)
     ex = e.select("vec_id", F.col("label").alias("cls"), F.posexplode(logits).alias("l", "logit"))
     ex = ex.withColumn("y", ((F.col("l") % 10) == F.col("cls")).cast("double"))
-    pw = ex.groupBy("l").agg(
-        ((F.count(F.lit(1)) - F.sum("y")) / (F.sum("y") + F.lit(tr.EPS))).alias("w"))
+    # Class weights need the class counts alone: a scan of the label column, no logits.
+    labels = e.select("label", F.explode(F.sequence(F.lit(0), F.lit(len(LABELS) - 1))).alias("l"))
+    pos = F.sum(((F.col("l") % 10) == F.col("label")).cast("double"))
+    pw = labels.groupBy("l").agg(((F.count(F.lit(1)) - pos) / (pos + F.lit(tr.EPS))).alias("w"))
     names = F.array(*[F.lit(x) for x in LABELS])
     # pw has one row per label position (len(LABELS) rows by construction).
     return ex.join(F.broadcast(pw), "l").withColumn("label", F.element_at(names, F.col("l") + 1))
@@ -157,9 +160,18 @@ def _targets_sql():
 
 
 def q_bce_loss(spark, sf_dir):
-    t = _targets_long(spark, sf_dir)
-    t = t.withColumn("loss", tr.weighted_bce(F.col("logit"), F.col("y"), F.col("w")))
-    return t.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("loss"), 6).alias("loss"))
+    """One pass: the mean loss of a label is (w * positive part + negative part) / n, and w follows from n and the
+    positives, so the weight needs no scan of its own."""
+    e = table(spark, sf_dir, "embeddings")
+    ex = e.select(F.col("label").alias("cls"), F.posexplode(sc.linear_logits(F.col("embedding"), W, B)).alias("l", "z"))
+    y = ((F.col("l") % 10) == F.col("cls")).cast("double")
+    sums = ex.groupBy("l").agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("pos"),
+                               F.sum(y * tr.softplus(-F.col("z"))).alias("on"),
+                               F.sum((F.lit(1.0) - y) * tr.softplus(F.col("z"))).alias("off"))
+    w = (F.col("n") - F.col("pos")) / (F.col("pos") + F.lit(tr.EPS))
+    names = F.array(*[F.lit(x) for x in LABELS])
+    return sums.select(F.element_at(names, F.col("l") + 1).alias("label"), "n",
+                       F.round((w * F.col("on") + F.col("off")) / F.col("n"), 6).alias("loss"))
 
 
 def o_bce_loss():
@@ -291,14 +303,14 @@ def o_truncate_tokens():
 
 
 def q_pad_stats(spark, sf_dir):
-    d = _doc_tokens(spark, sf_dir).select("doc_id", F.least(F.size("tokens"), F.lit(MAX_LEN)).alias("len"))
+    d = _doc_tokens(spark, sf_dir).select("doc_id", F.size("tokens").alias("len"))
     return fe.pad_stats(d, "doc_id", "len", BATCH)
 
 
 def o_pad_stats():
     return (
         f"WITH {_emitted_ranked_sql()}, b AS (SELECT (row_number() OVER (ORDER BY k) - 1) // {BATCH} AS batch_id, "
-        f"least(n, {MAX_LEN}) AS len FROM n), g AS (SELECT batch_id, count(*) AS n_rows, max(len) AS max_len, "
+        "n AS len FROM n), g AS (SELECT batch_id, count(*) AS n_rows, max(len) AS max_len, "
         "sum(len) AS real FROM b GROUP BY batch_id) SELECT CAST(batch_id AS BIGINT) AS batch_id, n_rows, "
         "CAST(max_len AS INTEGER) AS max_len, CAST(real AS BIGINT) AS real_tokens, "
         "CAST(n_rows * max_len - real AS BIGINT) AS pad_tokens, round(CASE WHEN n_rows * max_len > 0 THEN "
@@ -354,7 +366,7 @@ def _daily_sql():
     )
     return (
         f"ev AS (SELECT user_id, CAST(ts AS DATE) AS day, CASE event_type {cases} END AS lab, "
-        "least(CAST(round(value * 100) AS BIGINT), 50000) AS u FROM events), "
+        "CAST(round(value * 100) AS BIGINT) AS u FROM events), "
         f"d AS (SELECT user_id, day, floor(({terms}) * CAST(1000000 AS DOUBLE) + CAST(0.5 AS DOUBLE)) "
         "/ CAST(1000000 AS DOUBLE) AS score FROM ev GROUP BY user_id, day)"
     )
@@ -430,9 +442,8 @@ ORACLES.update({
 
 
 # --- I9 / I10 / S13: text records ---------------------------------------------------------------------------------
-def _user_turns(spark, sf_dir):
-    conv = table(spark, sf_dir, "conversations").where(F.col("role") == "user")
-    return conv.select("conv_id", "turn", "text")
+def _turns(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
 
 
 def score_texts(df, keys, text_col="text", lexicon=None):
@@ -447,7 +458,7 @@ def score_texts(df, keys, text_col="text", lexicon=None):
 
 
 def q_score_records(spark, sf_dir):
-    rec = score_texts(_user_turns(spark, sf_dir), ["conv_id", "turn"])
+    rec = score_texts(_turns(spark, sf_dir), ["conv_id", "turn"])
     p = F.col("p")
     return rec.select(
         "conv_id", "turn", "cleaned_text",
@@ -458,10 +469,10 @@ def q_score_records(spark, sf_dir):
     )
 
 
-def o_score_records():
+def _record_ctes(src):
+    """CTEs of the scored turns of ``src`` (conv_id, turn, text): src, cleaned, pr (long), agg, top, wide."""
     from sprout.operators import labeling as lb
 
-    src = "(SELECT * FROM conversations WHERE role = 'user')"
     ctes = ot.token_rows_sql(src, "conv_id * 1000 + turn", "text")
     lex = ", ".join(f"({ot.q(t)}, {ot.q(lab)}, {p})" for t, lab, p in lb.LEXICON)
     # (expanded label index, name, category, sign: 1 = positive hits, -1 = negative hits, 0 = neutral)
@@ -494,6 +505,12 @@ def o_score_records():
         "top AS (SELECT k, name AS top_label FROM (SELECT k, name, row_number() OVER (PARTITION BY k "
         "ORDER BY p DESC, l) AS rk FROM pr) WHERE rk = 1),\n"
         f"wide AS (SELECT k, {pcols} FROM pr GROUP BY k)\n"
+    ), wexpr
+
+
+def o_score_records():
+    ctes, wexpr = _record_ctes("conversations")
+    return ctes + (
         "SELECT CAST(src.k // 1000 AS BIGINT) AS conv_id, CAST(src.k % 1000 AS BIGINT) AS turn, c.cleaned_text, "
         "a.labels_on, t.top_label, a.line, "
         f"floor(({wexpr}) * CAST(1000000 AS DOUBLE) + CAST(0.5 AS DOUBLE)) / CAST(1000000 AS DOUBLE) AS wellness "
@@ -511,36 +528,67 @@ def _path(sf_dir, name):
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+def _parts(spark, df, key, n=3):
+    """The rows of ``df`` as ``n`` tables of rising ``key``, in order (what a folder receives over time)."""
+    cuts = df.approxQuantile(key, [k / n for k in range(1, n)], 0.01)
+    edges = [None, *cuts, None]
+    for lo, hi in zip(edges, edges[1:]):
+        part = df
+        if lo is not None:
+            part = part.where(F.col(key) > lo)
+        if hi is not None:
+            part = part.where(F.col(key) <= hi)
+        yield part
+
+
+def _in_runs(spark, df, key, job):
+    """Feed a stream part by part: after each part has come to the input folder, ``job(source, target)`` is run again
+    on the same target, so it has to go on where its last run stopped."""
+    from sprout.session import scratch_path
+    from sprout.streaming import jobs
+
+    folder, target = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
+    target = target if "://" in target else f"file://{target}"
+    for part in _parts(spark, df, key):
+        part.write.mode("append").parquet(folder)
+        job(jobs.file_stream(spark, folder), target)
+    return target
+
+
 def q_stream_ingest(spark, sf_dir):
     from sprout.streaming import jobs
 
-    src = jobs.file_stream(spark, _path(sf_dir, "documents")).select("doc_id", "text")
-    target = jobs.stream_ingest(spark, src.withColumn("ord", F.col("doc_id")), "doc_id", "ord")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("ord", F.col("doc_id"))
+    target = _in_runs(spark, docs, "doc_id", lambda src, to: jobs.stream_ingest(spark, src, "doc_id", "ord", target=to))
     return spark.read.parquet(target).select("doc_id", "text")
 
 
 def q_stream_score(spark, sf_dir):
     from sprout.streaming import jobs
 
-    src = jobs.file_stream(spark, _path(sf_dir, "conversations")).where(F.col("role") == "user")
-    rec = score_texts(src.select("conv_id", "turn", "text"), ["conv_id", "turn"])
     p = F.col("p")
-    scored = rec.select(
-        "conv_id", "turn", "cleaned_text",
-        F.array_join(sc.labels_at_or_above(p, LABELS, [0.5] * len(LABELS)), ",").alias("labels_on"),
-        sc.top_k(p, LABELS, 5)[0]["label"].alias("top_label"),
-        sc.compact_line(p, LABELS).alias("line"),
-        sc.round_micro(sc.wellness(p, LABELS)).alias("wellness"),
-    )
-    return spark.read.parquet(jobs.stream_score(spark, scored))
+
+    def job(src, to):
+        rec = score_texts(src.select("conv_id", "turn", "text"), ["conv_id", "turn"])
+        scored = rec.select(
+            "conv_id", "turn", "cleaned_text",
+            F.array_join(sc.labels_at_or_above(p, LABELS, [0.5] * len(LABELS)), ",").alias("labels_on"),
+            sc.top_k(p, LABELS, 5)[0]["label"].alias("top_label"),
+            sc.compact_line(p, LABELS).alias("line"),
+            sc.round_micro(sc.wellness(p, LABELS)).alias("wellness"),
+        )
+        jobs.stream_score(spark, scored, to)
+
+    return spark.read.parquet(_in_runs(spark, table(spark, sf_dir, "conversations"), "conv_id", job))
 
 
 def q_stream_daily(spark, sf_dir):
     from sprout.streaming import jobs
 
-    src = jobs.file_stream(spark, _path(sf_dir, "events"))
-    target = jobs.stream_daily(spark, src, EVENT_LABELS)
-    out = jobs.latest_versions(spark, target, ["user_id", "day"])
+    # By event id, so every part brings rows of days that earlier parts held already.
+    target = _in_runs(spark, table(spark, sf_dir, "events"), "event_id",
+                      lambda src, to: jobs.stream_daily(spark, src, EVENT_LABELS, target=to))
+    out = jobs.read_daily(spark, target)
     return out.select("user_id", F.col("day").cast("string").alias("day"), "score")
 
 

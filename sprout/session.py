@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings the engine relies on; applied only when building a new session.
 DEFAULT_CONF = {
@@ -52,6 +53,14 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+BROADCAST_BYTES = 32 << 20
+
+
+def broadcast_below(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only if the counted rows times ``row_bytes`` stay below ``limit``; else the planner's choice."""
+    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder (one per call, never reused)."""
     base = shared_dir(spark)

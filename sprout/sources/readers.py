@@ -20,7 +20,7 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     par = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= par:
+    if df.rdd.getNumPartitions() >= par:  # the planned splits of a scan; no job is run for them
         return df
     return df.repartition(par, key) if key else df.repartition(par)
 
@@ -35,12 +35,19 @@ def read_dataset(spark: SparkSession, path: str, schema: T.StructType | str | No
         return r.option("inferSchema", True).csv(path)
     if ext in (".parquet", ".pq"):
         return spark.read.parquet(path)
-    raise ValueError(f"Unsupported input file type: {ext or '(none)'} (use .csv or .parquet)")
+    raise ValueError(f"cannot read {path!r}: its suffix must be .csv, .parquet or .pq")
 
 
-def read_csv_strings(spark: SparkSession, paths: list[str] | str, columns: list[str] | None = None) -> DataFrame:
+def _csv_reader(spark: SparkSession, multi_line: bool):
+    """Header, doubled quotes. ``multi_line`` lets a quoted field hold line ends, but then one file is one task; turn it
+    off for large files without such fields, which are then split."""
+    return spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+
+
+def read_csv_strings(spark: SparkSession, paths: list[str] | str, columns: list[str] | None = None,
+                     multi_line: bool = True) -> DataFrame:
     """CSV with every column a string and no NA parsing: an empty field stays ''."""
-    r = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    r = _csv_reader(spark, multi_line)
     if columns is not None:
         r = r.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     df = r.csv(paths)
@@ -73,7 +80,8 @@ def list_files(spark: SparkSession, folder: str, suffix: str) -> list[tuple[str,
     return sorted(out, key=lambda x: os.path.basename(x[0]))
 
 
-def read_label_files(spark: SparkSession, folder: str, exclude: str | None = None) -> list[DataFrame]:
+def read_label_files(spark: SparkSession, folder: str, exclude: str | None = None,
+                     multi_line: bool = True) -> list[DataFrame]:
     """Every ``*.csv`` of a folder sorted by name (minus ``exclude``), read as strings.
 
     Files are grouped by header so the plan holds one scan per distinct header, not one per file. Each frame
@@ -83,21 +91,25 @@ def read_label_files(spark: SparkSession, folder: str, exclude: str | None = Non
     files = [f for f, _ in list_files(spark, folder, ".csv") if os.path.basename(f) != exclude]
     if not files:
         raise ValueError(f"No CSV files found in {folder}")
-    rank = {os.path.basename(f): i for i, f in enumerate(files)}
+    rank = {f: i for i, f in enumerate(files)}
     groups: dict[str, list[str]] = {}
     for f in files:
         groups.setdefault(_first_line(spark, f), []).append(f)
-    ranks = spark.createDataFrame(list(rank.items()), "_file_name string, _file_rank int")
+    # Spark names a file by its path with URI escapes (a space is %20); the table holds the same form.
+    escaped = [(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f).toUri().getRawPath(), i) for f, i in rank.items()]
+    ranks = spark.createDataFrame(escaped, "_path string, _file_rank int")
     frames = []
-    for _, paths in sorted(groups.items(), key=lambda kv: min(rank[os.path.basename(p)] for p in kv[1])):
-        df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(paths)
+    for _, paths in sorted(groups.items(), key=lambda kv: min(rank[p] for p in kv[1])):
+        df = _csv_reader(spark, multi_line).csv(paths)
         df = df.select(
             *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns],
-            F.col("_metadata.file_name").alias("_file_name"),
+            F.regexp_replace(F.col("_metadata.file_path"), F.lit("^[a-z0-9]+:(//[^/]*)?(?=/)"), F.lit("")).alias("_path"),
             F.monotonically_increasing_id().alias("_pos"),
         )
-        # File list is bounded by the folder listing held on the driver above.
-        df = df.join(F.broadcast(ranks), "_file_name").drop("_file_name")
+        # File list is bounded by the folder listing held on the driver above. A file without a rank is an error.
+        df = df.join(F.broadcast(ranks), "_path", "left")
+        no_rank = F.raise_error(F.concat(F.lit("file without a rank: "), F.col("_path")))
+        df = df.withColumn("_file_rank", F.coalesce("_file_rank", no_rank.cast("int"))).drop("_path")
         frames.append(df)
     return frames
 

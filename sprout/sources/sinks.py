@@ -31,12 +31,30 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "o
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).option("escape", '"').csv(path)
+        # Texts are written as they are, with the white space at their ends.
+        (w.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).csv(path))
     else:
         w.parquet(path)
     return path
 
 
+def write_named_files(df: DataFrame, folder: str, stem: str, fmt: str = "csv") -> list[str]:
+    """One file per partition of ``df``, called ``<stem><n>.<fmt>`` inside ``folder``, numbered in partition order."""
+    spark = df.sparkSession
+    folder = folder.rstrip("/")
+    parts = write_dataset(df, f"{folder}/_{stem.strip()}", fmt)
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for n, (path, _) in enumerate(rd.list_files(spark, parts, f".{fmt}")):
+        named = f"{folder}/{stem}{n:05d}.{fmt}"
+        if not fs.rename(jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(named)):
+            raise OSError(f"cannot move {path} to {named}")
+        out.append(named)
+    return out
+
+
 def combine_folder(spark: SparkSession, folder: str, out_name: str = "combined_wellness.csv",
                    text_col: str = "text") -> str:
     """S5 + H1-H8 + S9: every ``*.csv`` label file of ``folder`` (except the output) -> one de-duplicated CSV

@@ -1,11 +1,13 @@
 """Structured Streaming jobs (W1-W3): incremental ingestion with keep-first dedupe, stream scoring, per-user
-daily score with a watermark. Each writes to a sink under the shared checkpoint folder with its own
-checkpoint, so a restarted query resumes where it stopped (``trigger(availableNow=True)`` drains what is
-there and stops)."""
+daily score.
 
-from __future__ import annotations
+Each job writes to one target and keeps its checkpoint with it (``<target>/_checkpoint`` unless named), so calling a job
+again on the same target goes on where the last call stopped: batch ids continue, files read already are not read
+again, and a batch that was cut off rewrites its own folder. ``trigger(availableNow=True)`` drains what is there
+and stops. Paths go through Hadoop's file systems, so a target may be any URI that Spark can write.
+"""
 
-import os
+from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,78 +17,87 @@ from sprout.operators import scoring as sc
 from sprout.session import scratch_path
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of a path or URI."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
+
+
 def file_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Parquet file source (schema taken from the data once; a folder or a single file)."""
     schema = spark.read.parquet(path).schema
     r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    if os.path.isfile(path):
-        return r.option("pathGlobFilter", os.path.basename(path)).parquet(os.path.dirname(path))
+    fs, p = _hadoop(spark, path)
+    if fs.getFileStatus(p).isFile():
+        return r.option("pathGlobFilter", p.getName()).parquet(p.getParent().toString())
     return r.parquet(path)
 
 
-def _run(writer, name: str, spark: SparkSession) -> None:
-    q = writer.option("checkpointLocation", scratch_path(spark, f"{name}-ckpt")).trigger(availableNow=True).start()
-    q.awaitTermination()
+def _run(writer, target: str, checkpoint: str | None) -> None:
+    where = checkpoint or f"{target.rstrip('/')}/_checkpoint"
+    writer.option("checkpointLocation", where).trigger(availableNow=True).start().awaitTermination()
 
 
 def stream_ingest(spark: SparkSession, source: DataFrame, key_col: str, order_col: str, text_col: str = "text",
-                  target: str | None = None) -> str:
+                  target: str | None = None, checkpoint: str | None = None) -> str:
     """Keep-first de-duplicated ingestion. Each micro-batch is trimmed, de-duplicated inside itself (first
     by ``order_col``) and anti-joined with what earlier batches wrote; the batch lands in its own
     ``batch=<id>`` folder with overwrite, so a replayed batch rewrites itself instead of duplicating rows.
-    No streaming state is kept (``dropDuplicates`` without event time would grow forever)."""
+
+    Rows are written with ``text_key``, a sha256 of the text; the anti-join reads that column alone of the earlier
+    batches. No streaming state is kept (``dropDuplicates`` without event time would grow forever)."""
     target = target or scratch_path(spark, "ingest")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        cleaned = hz.dedupe_keep_first(hz.trim_nonempty(batch.select(key_col, order_col, text_col), text_col),
+        columns = list(dict.fromkeys([key_col, order_col, text_col]))
+        cleaned = hz.dedupe_keep_first(hz.trim_nonempty(batch.select(*columns), text_col),
                                        text_col, [order_col])
-        if batch_id > 0 and os.path.exists(target):
-            done = spark.read.parquet(target).where(F.col("batch") < batch_id).select(text_col)
-            cleaned = cleaned.join(done, text_col, "left_anti")
-        cleaned.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        cleaned = cleaned.withColumn("text_key", F.sha2(text_col, 256))
+        if batch_id > 0:
+            done = spark.read.parquet(target).where(F.col("batch") < batch_id).select("text_key")
+            cleaned = cleaned.join(done, "text_key", "left_anti")
+        cleaned.select(*columns, "text_key").write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
-    _run(source.writeStream.foreachBatch(write_batch), "ingest", spark)
+    _run(source.writeStream.foreachBatch(write_batch), target, checkpoint)
     return target
 
 
-def stream_score(spark: SparkSession, scored: DataFrame, target: str | None = None) -> str:
+def stream_score(spark: SparkSession, scored: DataFrame, target: str | None = None, checkpoint: str | None = None) -> str:
     """Stateless scoring stream into a parquet sink (file sink + checkpoint = exactly-once output)."""
     target = target or scratch_path(spark, "scored")
-    _run(scored.writeStream.format("parquet").option("path", target).outputMode("append"), "score", spark)
+    _run(scored.writeStream.format("parquet").option("path", target).outputMode("append"), target, checkpoint)
     return target
 
 
 def stream_daily(spark: SparkSession, events: DataFrame, type_to_label: dict[str, str], user_col: str = "user_id",
-                 watermark: str = "1 day", target: str | None = None) -> str:
-    """Per-user daily score. Event time is the naive timestamp read as UTC; one-day tumbling windows with a
-    watermark, so finished days leave the state store. Update mode emits the changed (user, day) aggregates per
-    micro-batch; each batch lands in ``batch=<id>``; readers keep the latest version of each key."""
+                 target: str | None = None, checkpoint: str | None = None) -> str:
+    """Per-user daily score. Every micro-batch writes its integer sums and counts per (user, day) to
+    ``batch=<id>``; ``read_daily`` adds them up.
+
+    Sums of whole numbers can be added in any order, so a row counts whenever it comes: no watermark, no state, and
+    a backfill of old days is merged like any other batch. Event types without a label go to ``rejects/batch=<id>``."""
     target = target or scratch_path(spark, "daily")
-    ev = sc.daily_inputs(events, type_to_label, user_col)
-    ev = ev.withColumn("__et", F.timestamp_seconds(F.unix_timestamp(F.col("ts"))))
-    agg = (
-        ev.withWatermark("__et", watermark)
-        .groupBy(F.window("__et", "1 day").alias("w"), user_col)
-        .agg(*sc.daily_aggs())
-    )
-    out = agg.select(
-        user_col,
-        F.date_from_unix_date(F.floor(F.unix_seconds(F.col("w.start")) / 86400).cast("int")).alias("day"),
-        sc.daily_score().alias("score"),
-    )
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        known = sc.daily_inputs(batch.where(F.col("event_type").isin(*type_to_label)), type_to_label, user_col)
+        parts = known.groupBy(user_col, "day").agg(*sc.daily_aggs())
+        parts.write.mode("overwrite").parquet(f"{target}/daily/batch={batch_id}")
+        sc.unmapped_events(batch, type_to_label).write.mode("overwrite").parquet(f"{target}/rejects/batch={batch_id}")
 
-    _run(out.writeStream.outputMode("update").foreachBatch(write_batch), "daily", spark)
+    _run(events.writeStream.foreachBatch(write_batch), target, checkpoint)
     return target
 
 
-def latest_versions(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Latest row per key over ``batch=<id>`` folders (max_by on the batch id, a partial aggregate)."""
-    df = spark.read.parquet(path)
-    others = [c for c in df.columns if c not in keys and c != "batch"]
-    g = df.groupBy(*keys).agg(F.max_by(F.struct(*others), F.col("batch")).alias("__v"))
-    return g.select(*keys, *[F.col("__v")[c].alias(c) for c in others])
+def read_daily(spark: SparkSession, target: str, user_col: str = "user_id") -> DataFrame:
+    """(user, day, score) from the partial sums of all batches of ``stream_daily``."""
+    parts = spark.read.parquet(f"{target}/daily")
+    sums = [c for c in parts.columns if c.startswith(("__s", "__c"))]
+    whole = parts.groupBy(user_col, "day").agg(*[F.sum(c).alias(c) for c in sums])
+    return whole.select(user_col, "day", sc.daily_score().alias("score"))

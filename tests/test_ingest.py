@@ -38,7 +38,7 @@ def test_header_alignment(spark):
 def test_missing_text_column_is_an_error(spark):
     df = spark.createDataFrame([("a",)], "body string")
     with pytest.raises(ValueError):
-        hz.resolve_text(df)
+        hz.align_union([df])
 
 
 def test_combine_keeps_first(spark, tmp_path):

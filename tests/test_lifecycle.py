@@ -51,7 +51,7 @@ def test_train_from_processed(trained):
 
 def test_score_with_saved_model(spark, trained):
     out, _, _, _ = trained
-    model = lc.load_model(f"{out}/model")
+    model = lc.load_model(spark, f"{out}/model")
     df = spark.createDataFrame([(1, "I slept well and feel great"), (2, "   "), (3, None)], "id int, text string")
     rows = {r["id"]: r for r in lc.score(df, model, "text", ["id"]).collect()}
     assert rows[1]["error"] is None and rows[2]["error"] == rows[3]["error"] == "Missing 'text'"

@@ -164,10 +164,10 @@ def test_daily_wellness_and_growth(spark):
     daily = sc.daily_wellness(ev, m)
     got = {(r["user_id"], str(r["day"])): r["score"] for r in daily.collect()}
     assert got[(1, "2024-01-01")] == pytest.approx(0.35 * 0.75)
-    assert got[(1, "2024-01-03")] == pytest.approx(-0.2)
+    assert got[(1, "2024-01-03")] == pytest.approx(-0.4)  # the given value counts, uncut
     assert got[(2, "2024-01-01")] == pytest.approx(0.25 * 0.2)
     g = {(r["user_id"], str(r["day"])): r["growth"] for r in sc.growth_index(daily).collect()}
-    assert g[(1, "2024-01-03")] == pytest.approx((0.2625 - 0.2) / 2)
+    assert g[(1, "2024-01-03")] == pytest.approx((0.2625 - 0.4) / 2)
 
 
 def test_json_record_out(spark):
