@@ -100,6 +100,28 @@ def token_kind(t: Column, keep_numbers: bool = True) -> Column:
     return kind.otherwise(F.lit("other"))
 
 
+def token_struct(t: Column, stop: list[str], lemmas: dict[str, str] | None, keep_numbers: bool = True) -> Column:
+    """STRUCT<t, kind, out> of a token by one walk through the tests of ``token_kind``, each branch emitting its own
+    ``token_out``."""
+    low, lem = F.lower(t), lemma_of(t, lemmas)
+
+    def as_struct(kind: str, out: Column) -> Column:
+        return F.struct(t.alias("t"), F.lit(kind).alias("kind"), out.cast("string").alias("out"))
+
+    word = as_struct("word", F.when(~lem.isin(*stop), lem))
+    if keep_numbers:
+        word = F.when(low.isin(*fixed.NUMBER_WORDS), as_struct("num", low)).otherwise(word)
+    found = (
+        F.when(t.rlike(WORD_RE), word)
+        .when(t.rlike(EMOJI_RE), as_struct("emoji", emoji_alias(t)))
+        .when(t.rlike(PUNCT_RE) | (t == F.lit("...")), as_struct("punct", F.when(t.isin(*fixed.KEPT_PUNCT), t)))
+        .when(low.isin(*fixed.NEGATION_FORMS), as_struct("neg", F.lit("not")))
+    )
+    if keep_numbers:
+        found = found.when(t.rlike(NUMBER_RE) | t.rlike(ORDINAL_RE), as_struct("num", low))
+    return found.otherwise(as_struct("other", F.lit(None)))
+
+
 def lemma_of(t: Column, lemmas: dict[str, str] | None) -> Column:
     """Lower-cased lemma from a small literal map (default: the lower form)."""
     low = F.lower(t)

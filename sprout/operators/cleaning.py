@@ -23,52 +23,50 @@ from pyspark.sql import functions as F
 
 from sprout.functions import fixed
 from sprout.functions import text as tx
-from sprout.session import broadcast_below
+from sprout.session import broadcast_below, scratch_path
 
 
 def _classified(tokens: Column, stop: list[str], lemmas: dict[str, str] | None, keep_numbers: bool) -> Column:
-    """ARRAY<STRING> tokens -> ARRAY<STRUCT<t, kind, out>> (out = what the token would emit)."""
-    kinds = F.transform(tokens, lambda t: F.struct(t.alias("t"), tx.token_kind(t, keep_numbers).alias("kind")))
-    return F.transform(
-        kinds,
-        lambda x: F.struct(
-            x["t"].alias("t"), x["kind"].alias("kind"), tx.token_out(x["t"], x["kind"], stop, lemmas).alias("out")
-        ),
-    )
+    """ARRAY<STRING> tokens -> ARRAY<STRUCT<t, kind, out>> (out = what the token would emit), one pass."""
+    return F.transform(tokens, lambda t: tx.token_struct(t, stop, lemmas, keep_numbers))
 
 
 def apply_run_rules(df: DataFrame, arr_col: str, out_col: str, keep_kind: bool = False) -> DataFrame:
     """ARRAY<STRUCT<t, kind, out>> -> ARRAY<STRING> of emitted tokens, applying both run-collapse rules.
 
-    ``keep_kind=True`` returns ARRAY<STRUCT<kind, out>> instead.
+    ``keep_kind=True`` returns ARRAY<STRUCT<t, kind, out>> of them instead.
 
     Each step is its own projection, so a lambda that reads the previous element (``element_at(arr, i)`` for
-    0-based position ``i``) reads a materialised array column.
+    0-based position ``i``) reads a materialised array column. Rows without an emoji and without kept punctuation,
+    found by one look at the kinds, have no runs and skip the steps.
     """
-    a = F.col(arr_col)
-    step1 = F.transform(a, lambda x, i: F.struct(
-        x["kind"].alias("kind"),
-        F.when((x["kind"] == "punct") & x["out"].isNotNull()
-               & F.coalesce(F.when(i > 0, F.element_at(a, i)["t"]) == x["t"], F.lit(False)), F.lit(None))
-        .otherwise(x["out"]).alias("out"),
-    ))
-    df = df.withColumn(out_col, step1)
-    # Out-of-vocabulary emoji vanish without touching the emoji run.
-    df = df.withColumn(out_col, F.filter(F.col(out_col), lambda x: ~((x["kind"] == "emoji") & x["out"].isNull())))
+    runs = "__has_runs"
+    a, has_runs = F.col(arr_col), F.col(runs)
+
+    def changed(x, out):
+        return F.struct(x["t"].alias("t"), x["kind"].alias("kind"), out.alias("out"))
+
+    df = df.withColumn(runs, F.exists(a, lambda x: (x["kind"] == "emoji") | ((x["kind"] == "punct") & x["out"].isNotNull())))
+    step1 = F.transform(a, lambda x, i: changed(
+        x, F.when((x["kind"] == "punct") & x["out"].isNotNull()
+                  & F.coalesce(F.when(i > 0, F.element_at(a, i)["t"]) == x["t"], F.lit(False)), F.lit(None))
+        .otherwise(x["out"])))
+    df = df.withColumn(out_col, F.when(has_runs, step1).otherwise(a))
     b = F.col(out_col)
+    # Out-of-vocabulary emoji vanish without touching the emoji run.
+    seen = F.filter(b, lambda x: ~((x["kind"] == "emoji") & x["out"].isNull()))
+    df = df.withColumn(out_col, F.when(has_runs, seen).otherwise(b))
 
     def prev_alias(i):
         prev = F.element_at(b, i)
         return F.when(i > 0, F.when(prev["kind"] == "emoji", prev["out"]))
 
-    step2 = F.transform(b, lambda x, i: F.struct(
-        x["kind"].alias("kind"),
-        F.when((x["kind"] == "emoji") & F.coalesce(prev_alias(i) == x["out"], F.lit(False)), F.lit(None))
-        .otherwise(x["out"]).alias("out"),
-    ))
-    df = df.withColumn(out_col, step2)
+    step2 = F.transform(b, lambda x, i: changed(
+        x, F.when((x["kind"] == "emoji") & F.coalesce(prev_alias(i) == x["out"], F.lit(False)), F.lit(None))
+        .otherwise(x["out"])))
+    df = df.withColumn(out_col, F.when(has_runs, step2).otherwise(b))
     kept = F.filter(F.col(out_col), lambda x: x["out"].isNotNull())
-    return df.withColumn(out_col, kept if keep_kind else F.transform(kept, lambda x: x["out"]))
+    return df.withColumn(out_col, kept if keep_kind else F.transform(kept, lambda x: x["out"])).drop(runs)
 
 
 # Lookup sizes (rows) up to which a table is used without a shuffle: a vocabulary becomes an in-plan hash set
@@ -220,6 +218,51 @@ def clean(
     return toks.select(*keep, joined.alias(out_col))
 
 
+def clean_by_corpus_vocab(df: DataFrame, text_col: str = "text", out_col: str = "cleaned_text", min_df: int = 2, *,
+                          keep_cols: list[str] | None = None, keep_numbers: bool = True, stop: list[str] | None = None,
+                          lemmas: dict[str, str] | None = None, vocab_inrow_max: int = VOCAB_INROW_MAX) -> DataFrame:
+    """``clean`` with the ``corpus_vocab`` of the same rows as vocabulary. Tokens are made and classified once and written to the
+    shared folder; the vocabulary is counted from them and applied to them."""
+    stop = fixed.stop_words() if stop is None else list(stop)
+    keep = [c for c in df.columns if c != text_col] if keep_cols is None else list(keep_cols)
+    arr = _classified(tx.tokenize(F.col(text_col)), stop, lemmas, keep_numbers)
+    path = scratch_path(df.sparkSession, "classified")
+    df.select(*keep, arr.alias("__arr")).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
+    vocab_df, terms = _vocab_terms(_doc_freq(rows, F.col("__arr"), min_df).select("term"), vocab_inrow_max)
+    if terms is not None:
+        body = _in_vocab_sql("x.out", "x.kind", terms)
+        rows = rows.withColumn("__arr", F.expr(f"transform(__arr, x -> named_struct('t', x.t, 'kind', x.kind, 'out', {body}))"))
+    else:
+        rows = _vocab_joined(rows, "__arr", vocab_df)
+    out = apply_run_rules(rows, "__arr", "__tokens")
+    return out.select(*keep, F.array_join("__tokens", " ").alias(out_col))
+
+
+def _vocab_joined(rows: DataFrame, arr_col: str, vocab_df: DataFrame) -> DataFrame:
+    """Classified tokens whose words and emoji outside a vocabulary table emit nothing; every row and column is kept."""
+    cols = [c for c in rows.columns if c != arr_col]
+    part = rows.withColumn("__row", F.monotonically_increasing_id()).repartition("__row")
+    ex = part.select("__row", *cols, F.posexplode_outer(arr_col).alias("pos", "x"))
+    ex = ex.withColumns({c: F.when(F.coalesce(F.col("pos"), F.lit(0)) == 0, F.col(c)) for c in cols})
+    wanted = F.col("x.kind").isin("emoji", "word") & F.col("x.out").isNotNull()
+    ex = ex.join(broadcast_below(vocab_df, 96), _spread_nulls(F.col("x.out"), wanted) == F.col("__term"), "left")
+    out = F.when(wanted & F.col("__term").isNull(), F.lit(None).cast("string")).otherwise(F.col("x.out"))
+    ex = ex.select("__row", *cols, F.struct("pos", F.col("x.t").alias("t"), F.col("x.kind").alias("kind"), out.alias("out")).alias("y"))
+    whole = ex.groupBy("__row").agg(F.sort_array(F.collect_list("y")).alias(arr_col), *[F.first(c, ignorenulls=True).alias(c) for c in cols])
+    tokens = F.filter(arr_col, lambda y: y["pos"].isNotNull())
+    return whole.withColumn(arr_col, F.transform(tokens, lambda y: F.struct(y["t"].alias("t"), y["kind"].alias("kind"), y["out"].alias("out")))
+                            ).select(*rows.columns)
+
+
+def _doc_freq(rows: DataFrame, arr: Column, min_df: int) -> DataFrame:
+    """(term, doc_freq) of the words and emoji that classified tokens emit, from ``min_df`` documents on."""
+    emitted = F.filter(arr, lambda x: x["kind"].isin("emoji", "word") & x["out"].isNotNull())
+    terms = F.array_distinct(F.transform(emitted, lambda x: x["out"]))
+    return (rows.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
+            .where(F.col("doc_freq") >= min_df))
+
+
 def corpus_vocab(df: DataFrame, text_col: str = "text", min_df: int = 2, *, keep_numbers: bool = True,
                  stop: list[str] | None = None, lemmas: dict[str, str] | None = None) -> DataFrame:
     """Vocabulary ``(term, doc_freq)`` from the corpus itself: emitted word lemmas and emoji aliases that occur
@@ -230,14 +273,4 @@ def corpus_vocab(df: DataFrame, text_col: str = "text", min_df: int = 2, *, keep
     """
     stop = fixed.stop_words() if stop is None else list(stop)
     arr = _classified(tx.tokenize(F.col(text_col)), stop, lemmas, keep_numbers)
-    terms = F.array_distinct(
-        F.transform(
-            F.filter(arr, lambda x: x["kind"].isin("emoji", "word") & x["out"].isNotNull()), lambda x: x["out"]
-        )
-    )
-    return (
-        df.select(F.explode(terms).alias("term"))
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("doc_freq"))
-        .where(F.col("doc_freq") >= min_df)
-    )
+    return _doc_freq(df, arr, min_df)

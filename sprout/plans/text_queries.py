@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sprout.functions import fixed
 from sprout.functions import text as tx
-from sprout.operators.cleaning import clean, clean_tokens, corpus_vocab
+from sprout.operators.cleaning import clean, clean_by_corpus_vocab, clean_tokens
 from sprout.plans import oracle_text as ot
 from sprout.plans.tables import RULES_TEXT_SQL, documents_with_rules, table
 
@@ -87,9 +87,7 @@ def o_punct_squash():
 
 
 def q_vocab_filter(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
-    vocab = corpus_vocab(docs, "text", min_df=2).select("term")
-    return clean(docs, key_col="doc_id", vocab=vocab)
+    return clean_by_corpus_vocab(_docs(spark, sf_dir), "text", min_df=2)
 
 
 def o_vocab_filter():
