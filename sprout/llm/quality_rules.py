@@ -34,7 +34,7 @@ RULES = {
     "short_words": "word_chars < 2 * n_words",
     "long_words": "word_chars > 16 * n_words",
     "symbols": "100 * n_symbols > 20 * n_words",
-    "dup_lines": "100 * n_dup_lines > 30 * n_lines",
+    "dup_lines": "100 * n_dup_lines > 50 * n_lines",
     "shouting": "100 * n_exclaim > 30 * n_words",
 }
 POLICIES = {
