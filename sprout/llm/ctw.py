@@ -257,7 +257,7 @@ def fit_model(training: DataFrame, contexts: int = CONTEXTS) -> Model:
     least = threshold(counts.select(at_depths.alias("c"), "n").groupBy("c.depth", "c.key").agg(F.sum("n").alias("n")), contexts)
     groups = counts.withColumn("last", F.shiftright("code", 8).bitwiseAND(F.lit(0xFF))).groupBy("last")
 
-    def summary(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def summary(key, rows):
         t = Tree(rows["code"].to_numpy(), rows["n"].to_numpy(), least)
         return pd.DataFrame({"counts": [t.counts.tobytes()], "rare": [t.rare.tobytes()], "log": [t.log.tobytes()]})
 
@@ -269,7 +269,7 @@ def fit_model(training: DataFrame, contexts: int = CONTEXTS) -> Model:
     root, rest = Node(total + rare), Node(rare)
     weight = weighted(root.block, log + rest.block)[1]
 
-    def table(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def table(key, rows):
         t = Tree(rows["code"].to_numpy(), rows["n"].to_numpy(), least)
         return pd.DataFrame(list(t.rows(root, weight)), columns=["depth", "key", "logs"])
 

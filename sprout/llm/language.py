@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sprout.llm.common import crc_mod, pick
+from sprout.llm.shingles import spread_bits
 
 BUCKETS = 1 << 16
 LANGUAGES = 64
@@ -36,6 +37,7 @@ CHAIN, SEGMENT = 48, 12      # words of a training chain; mean words of its segm
 EPOCHS, CHAINS = 4, 128      # passes; chains in a step
 RATE, DECAY = 0.3, 1e-5
 SEED = 7
+AFFIX, GRAM = 5, 3           # bytes of the longest affix and of an n-gram, word borders included
 WORDS_KEPT = 1 << 17
 CELLS = 1 << 19              # word places worked on together in prediction
 UNKNOWN = "und"
@@ -43,17 +45,41 @@ UNKNOWN = "und"
 _EDGES = b".,;:!?'\"()[]{}#*$%&|<>=+-_/\\0123456789"
 
 
-def word_features(word: bytes) -> list[int]:
-    """Buckets of a lower-cased word; none for a word without letters."""
-    core = word.strip(_EDGES)
-    if not core:
-        return []
-    crc, w = zlib.crc32, b"^" + core + b"$"
-    out = [crc(core, 1)]
-    out += [crc(w[:k], 2) for k in range(2, 6)]
-    out += [crc(w[-k:], 3) for k in range(2, 6)]
-    out += [crc(w[i:i + 3], 4) for i in range(len(w) - 2)]
-    return [x % BUCKETS for x in out]
+def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the features of lower-cased words, word after word, and the number of each word's; none for a word
+    without letters. Codes of byte groups are made for all words at once."""
+    cores = [w.strip(_EDGES) for w in words]
+    raw = np.frombuffer(b"".join([b"^" + c + b"$" for c in cores]) + b"\0" * AFFIX, np.uint8).astype(np.uint64)
+    size = np.fromiter(map(len, cores), np.int64, len(cores)) + 2
+    start = np.cumsum(size) - size
+    filled = np.flatnonzero(size > 2)
+    owners, codes = [filled], [np.fromiter((zlib.crc32(cores[i]) for i in filled.tolist()), np.uint64, len(filled))]
+    marks = [np.full(len(filled), 1)]
+
+    def group(owner, at, n, mark):
+        code = np.zeros(len(at), np.uint64)
+        for k in range(n):
+            code = code << np.uint64(8) | raw[at + k]
+        owners.append(owner)
+        codes.append(code)
+        marks.append(np.full(len(at), mark))
+
+    for n in range(2, AFFIX + 1):  # the border byte is one of them
+        long = filled[size[filled] >= n]
+        group(long, start[long], n, 8 + n)
+        group(long, start[long] + size[long] - n, n, 16 + n)
+    inner = size[filled] - GRAM + 1
+    owner = np.repeat(filled, inner)
+    group(owner, np.repeat(start[filled] - (np.cumsum(inner) - inner), inner) + np.arange(len(owner)), GRAM, 2)
+    owner, code = np.concatenate(owners), np.concatenate(codes) + (np.concatenate(marks).astype(np.uint64) << np.uint64(48))
+    order = np.argsort(owner, kind="stable")
+    return (spread_bits(code) % np.uint64(BUCKETS)).astype(np.int64)[order], np.bincount(owner, minlength=len(words))
+
+
+def rows_of(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of several runs, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
 def words_of(text: str) -> list[bytes]:
@@ -66,19 +92,22 @@ class Scorer:
     def __init__(self, weights: np.ndarray):
         self.weights = weights
         self.at: dict[bytes, int] = {}
-        self.rows: list[np.ndarray] = []
+        self.table = np.zeros((0, weights.shape[1]))
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        at, fresh = self.at, set(words).difference(self.at)
-        if fresh and len(at) + len(fresh) > WORDS_KEPT:
-            self.at, self.rows, fresh = {}, [], set(words)
-            at = self.at
-        for word in fresh:
-            at[word] = len(self.rows)
-            self.rows.append(self.weights[word_features(word)].sum(0))
-        used = np.fromiter(map(at.__getitem__, words), np.int64, len(words))
-        kinds, place = np.unique(used, return_inverse=True)
-        return np.array([self.rows[k] for k in kinds]).reshape(len(kinds), -1)[place]
+        known = self.at
+        fresh = [w for w in dict.fromkeys(words) if w not in known]
+        if len(known) + len(fresh) > WORDS_KEPT:
+            self.table = self.table[:0]
+            known.clear()
+            fresh = list(dict.fromkeys(words))
+        if fresh:
+            known.update(zip(fresh, range(len(known), len(known) + len(fresh)), strict=True))
+            bucket, sizes = features(fresh)
+            owner = np.repeat(np.arange(len(fresh)), sizes)
+            scores = [np.bincount(owner, self.weights[bucket, k], len(fresh)) for k in range(self.weights.shape[1])]
+            self.table = np.concatenate([self.table, np.column_stack(scores)])
+        return self.table[np.fromiter(map(known.__getitem__, words), np.int64, len(words))]
 
 
 def posteriors(scores: np.ndarray, lengths: np.ndarray, start: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -142,7 +171,8 @@ def fit(texts: list[str], languages: list[str]) -> Model:
         return model
     split = [words_of(t) for t in texts]
     kinds = {w: i for i, w in enumerate(dict.fromkeys(w for words in split for w in words))}
-    features = [np.array(word_features(w), np.int64) for w in kinds]
+    buckets, sizes = features(list(kinds))
+    starts = np.cumsum(sizes) - sizes
     seen = np.full((BUCKETS, k), 1e-2, np.float32)
     seen_steps = np.full((k, k), 1e-2)
     for _ in range(EPOCHS):
@@ -155,9 +185,8 @@ def fit(texts: list[str], languages: list[str]) -> Model:
             chain = np.repeat(np.arange(len(part)), lengths)
             time = np.concatenate([np.arange(n) for n in lengths])
             used, at = np.unique(word, return_inverse=True)
-            sizes = np.array([len(features[u]) for u in used])
-            bucket = np.concatenate([features[u] for u in used])
-            owner = np.repeat(np.arange(len(used)), sizes)
+            bucket = buckets[rows_of(starts[used], sizes[used])]
+            owner = np.repeat(np.arange(len(used)), sizes[used])
             kind_scores = np.zeros((len(used), k))
             np.add.at(kind_scores, owner, model.weights[bucket])
             scores = np.zeros((lengths.max(), len(part), k))
