@@ -11,16 +11,19 @@ j common codes lie within the first n - a(n) + j codes of each (j up to a(n)). H
 2. *Prefixes*: by order of code, documents of which fewer than j(a(n)) prefix codes occur in another prefix go.
 3. *Whole sets*: of those left, documents of which fewer than a(n) codes occur in another set go. The rest, mostly true
    near copies, are written with their sets.
-4. The order is refined: codes that very many of these prefixes hold come last (any global order is right; this one keeps
-   common passages out of prefixes).
+4. The order is refined: a code that more than ``HOT_CODES`` of these sets hold comes behind all others, later the more hold it
+   (by powers of two; any global order is right, this one keeps common passages out of prefixes).
 5. *First links*: each code's smallest document is its centre; every document is held against the centre that it shares most
    prefix codes with. The links merge most groups, in as many comparisons as documents.
-6. *Other pairs*: documents of different components that share enough prefix codes are held against each other. Pairs inside a
-   component need no comparison, for they cannot change it; so a group of very many near copies does not cost all its pairs.
+6. *Other pairs*, only between components, as no link inside one can change it. A pair that shares no hot prefix code shares j
+   others or more: such pairs are made from the codes, which at most ``HOT_CODES`` documents each hold, and compared. Pairs
+   that share a hot prefix code lie in one clump (documents connected by hot codes): its sets are dealt into tries of about
+   ``GROUP_CODES`` codes, and all its documents outside its largest component query each of them. No pairs are emitted there.
 
-A comparison is a prefix-tree join: the documents held against one query form a trie of ordered sets, walked once; a node
-adds the overlap of its run of codes for all sets below it, and a subtree goes when the overlap so far plus what can remain
-(of the query, of the longest set below) is under the least overlap that any set below needs.
+A comparison is a prefix-tree join: sets with a common beginning share a path of the trie. A query descends all paths, level by
+level; a node adds the overlap of its run of codes for all sets below it, and a subtree goes when the overlap so far plus
+what can remain (of the query, of the longest set below) is under the least overlap that any set below needs, or when
+all its sets are in the query's component.
 
 Null ids: such rows take part in no link and get no component; each is returned. Rows that repeat an id count as one
 document (its largest n_shingles, all its links). Texts without words, empty or null, have an empty set and no links: their
@@ -38,12 +41,13 @@ from pyspark.sql import functions as F
 
 from sprout.llm.common import SPACE_CLASS, materialise, numbered, pick, restored, sized_side, text_or_empty
 from sprout.llm.components import components
-from sprout.llm.shingles import shared_hits, shingle_codes
+from sprout.llm.shingles import CHUNK, shared_hits, shingle_codes
 
 NUM, DEN = 75, 100
-HOT_CODES = 64          # a code in more prefixes than this comes last in the order
+HOT_CODES = 16          # a code in more of the written sets than this is hot
 HOT_BYTES = 16 << 20    # bound of the table of such codes; the threshold doubles until it holds
 GROUP_CODES = 1 << 20   # codes of the sets that one trie holds, about
+CODE_BITS = 58          # of an order key; the bits above hold a hot code's class
 
 
 def least_shared(n):
@@ -88,112 +92,182 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["doc", "size", "codes"])
 
 
-def _ordered(codes: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    """A set as order keys, ascending: codes, with the hot ones moved behind all others."""
-    keys = codes.astype(np.uint64)
-    if len(hot):
-        at = np.minimum(np.searchsorted(hot, codes), len(hot) - 1)
-        keys = np.sort(keys + (hot[at] == codes).astype(np.uint64) * np.uint64(1 << 63))
-    return keys
+class HotCodes:
+    """Sorted hot codes and their classes: the powers of two in the numbers of their sets."""
+
+    def __init__(self, counts: list[tuple[int, int]]):
+        pairs = sorted(counts)
+        self.codes = np.array([c for c, _ in pairs], np.int64)
+        self.classes = np.array([n.bit_length() - 1 for _, n in pairs], np.uint64)
+
+
+def _ordered(codes: np.ndarray, hot: HotCodes) -> np.ndarray:
+    """A set as ascending order keys: class (0 for codes that aren't hot), then code."""
+    keys = codes.astype(np.uint64) >> np.uint64(63 - CODE_BITS)
+    if len(hot.codes):
+        at = np.minimum(np.searchsorted(hot.codes, codes), len(hot.codes) - 1)
+        keys |= np.where(hot.codes[at] == codes, hot.classes[at], np.uint64(0)) << np.uint64(CODE_BITS)
+    return np.unique(keys)
+
+
+def _code_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sets to (code, number of sets), combined over chunks of sets."""
+    def combined():
+        codes, n = np.unique(np.concatenate(held), return_counts=True)
+        batch = pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n.astype(np.int64))], names=["code", "n"])
+        return [batch.slice(i, 1 << 16) for i in range(0, len(codes), 1 << 16)]
+
+    held, total = [], 0
+    for batch in batches:
+        for raw in batch.column("codes").to_pylist():
+            held.append(np.frombuffer(raw, np.int64))
+            total += len(held[-1])
+            if total >= CHUNK:
+                yield from combined()
+                held, total = [], 0
+    if held:
+        yield from combined()
 
 
 def _prefix_rows(hot):
-    """Sets to (code, doc, size), one row per prefix code in the refined order."""
+    """Sets to (code, doc, size), one row per order key of the prefix in the refined order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = hot.value if hot is not None else np.empty(0, np.int64)
         for batch in batches:
             for doc, size, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                keys = _ordered(np.frombuffer(raw, np.int64), own)[:prefix_length(size)].view(np.int64)
+                keys = _ordered(np.frombuffer(raw, np.int64), hot.value)[:prefix_length(size)].view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), doc)), pa.array(np.full(len(keys), size))],
                                                  names=["code", "doc", "size"])
     return run
 
 
-def trie_matches(query: np.ndarray, sets: list[np.ndarray]) -> list[int]:
-    """Places of the sets that link to the query; all are ascending order keys."""
-    order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
-    own = [sets[i] for i in order]
-    sizes = np.array([len(s) for s in own])
-    found, nodes = [], [(0, len(own), 0, 0)]
-    while nodes:
-        lo, hi, depth, overlap = nodes.pop()
-        first, last = own[lo], own[hi - 1]
-        reach = min(len(first), len(last))
-        apart = np.flatnonzero(first[depth:reach] != last[depth:reach]) if lo < hi - 1 else ()
-        end = depth + int(apart[0]) if len(apart) else reach
-        run = first[depth:end]
-        if len(run):
-            at = np.searchsorted(query, run)
-            overlap += int(np.count_nonzero(query[np.minimum(at, len(query) - 1)] == run))
-        left = len(query) - (int(np.searchsorted(query, first[end - 1], "right")) if end else 0)
-        here = sizes[lo:hi]
-        if overlap + min(left, int(here.max()) - end) < least_overlap(len(query), int(here.min())):
-            continue
-        while lo < hi and len(own[lo]) == end:  # sets that end here sort first
-            if overlap >= least_overlap(len(query), end):
-                found.append(order[lo])
-            lo += 1
-        while lo < hi:  # one child per next key
-            step = own[lo][end]
-            a, b = lo + 1, hi
-            while a < b:
-                mid = (a + b) // 2
-                a, b = (mid + 1, b) if own[mid][end] == step else (a, mid)
-            nodes.append((lo, a, end, overlap))
-            lo = a
-    return found
+class Trie:
+    """Sets (ascending order keys) as a prefix tree with runs of keys on its nodes, laid out level by level."""
+
+    def __init__(self, sets: list[np.ndarray], groups: list[int]):
+        order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
+        own = [sets[i] for i in order]
+        size, group = np.array([len(x) for x in own]), np.array(groups)[order]
+        self.levels, level = [], [(0, len(own), 0, 0)]
+        while level:
+            runs, rows, ends, below = [], [], [], []
+            for place, (lo, hi, depth, parent) in enumerate(level):
+                first, last = own[lo], own[hi - 1]
+                reach = min(len(first), len(last))
+                apart = np.flatnonzero(first[depth:reach] != last[depth:reach]) if lo < hi - 1 else ()
+                end = depth + int(apart[0]) if len(apart) else reach
+                here = group[lo:hi]
+                runs.append(first[depth:end])
+                rows.append((parent, end, size[lo:hi].min(), size[lo:hi].max(), here[0] if (here == here[0]).all() else -1))
+                while lo < hi and len(own[lo]) == end:  # sets that end here sort first
+                    ends.append((place, order[lo], end))
+                    lo += 1
+                while lo < hi:  # one child per next key
+                    a, b = lo + 1, hi
+                    while a < b:
+                        mid = (a + b) // 2
+                        a, b = (mid + 1, b) if own[mid][end] == own[lo][end] else (a, mid)
+                    below.append((lo, a, end, place))
+                    lo = a
+            starts = np.concatenate([[0], np.cumsum([len(r) for r in runs])])
+            last = np.array([r[-1] if len(r) else 0 for r in runs], np.uint64)
+            self.levels.append((np.concatenate(runs), starts, last, *np.array(rows, np.int64).T, np.array(ends, np.int64).reshape(-1, 3)))
+            level = below
+
+    def matches(self, query: np.ndarray, group: int = -2) -> list[int]:
+        """Places of the sets that link to the query, but for sets under a node whose sets are all of the given group."""
+        found: list[int] = []
+        overlap = np.zeros(1, np.int64)          # of all nodes of the level above
+        alive = np.ones(1, bool)
+        for codes, starts, last, parent, end, least, most, only, ends in self.levels:
+            at = np.flatnonzero(alive[parent] & (only != group))
+            if not len(at):
+                break
+            sizes = starts[at + 1] - starts[at]
+            total = int(sizes.sum())
+            gathered = codes[np.arange(total) + np.repeat(starts[at] - (np.cumsum(sizes) - sizes), sizes)]
+            place = np.searchsorted(query, gathered)
+            hit = np.concatenate([[0], np.cumsum(query[np.minimum(place, len(query) - 1)] == gathered)])
+            edge = np.cumsum(sizes)
+            now = overlap[parent[at]] + hit[edge] - hit[edge - sizes]
+            left = np.where(sizes > 0, len(query) - np.searchsorted(query, last[at], "right"), len(query))
+            fine = now + np.minimum(left, most[at] - end[at]) >= least_overlap(len(query), least[at])
+            overlap, alive = np.zeros(len(parent), np.int64), np.zeros(len(parent), bool)
+            overlap[at], alive[at] = now, fine
+            if len(ends):
+                done = alive[ends[:, 0]] & (overlap[ends[:, 0]] >= least_overlap(len(query), ends[:, 2]))
+                found += ends[done, 1].tolist()
+        return found
 
 
 def _joined(hot):
-    """Rows (centre, part, role, doc, codes) sorted by the first three to links (a, b); role 0 is the query."""
+    """Rows (centre, part, role, doc, component, codes) sorted by the first three, sets (role 0) before queries (role 1), to
+    links (a, b): for each query one per component that it links to."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = hot.value if hot is not None else np.empty(0, np.int64)
-        group, queries, docs, sets = None, [], [], []
-
-        def links():
-            pairs = [(group[0], docs[i]) for q in queries for i in trie_matches(q, sets)] if sets else []
-            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in range(2)], names=["a", "b"])
-
+        group, trie, number, docs, sets, kinds = None, None, {}, [], [], []
         for batch in batches:
-            for centre, part, role, doc, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            links = []
+            for centre, part, role, doc, component, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (centre, part) != group:
-                    if group is not None:
-                        yield links()
-                    group, queries, docs, sets = (centre, part), [], [], []
-                keys = _ordered(np.frombuffer(raw, np.int64), own)
+                    group, trie, docs, sets, kinds = (centre, part), None, [], [], []
+                keys = _ordered(np.frombuffer(raw, np.int64), hot.value)
                 if role == 0:
-                    queries.append(keys)
-                else:
                     docs.append(doc)
                     sets.append(keys)
-        if group is not None:
-            yield links()
+                    kinds.append(component)
+                elif sets:
+                    if trie is None:
+                        number = {c: i for i, c in enumerate(dict.fromkeys(kinds))}
+                        trie = Trie(sets, [number[c] for c in kinds])
+                    hits = trie.matches(keys, number.get(component, -2))
+                    links += [(doc, docs[i]) for i in {kinds[i]: i for i in hits if kinds[i] != component}.values()]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in range(2)], names=["a", "b"])
     return run
 
 
 def compare(pairs: DataFrame, sets: DataFrame, hot) -> DataFrame:
     """pairs(centre, doc), distinct, to the links (a, b) among them. A centre with many sets is dealt out in parts."""
-    size = sets.groupBy("doc").agg(F.max("size").alias("size"))
-    load = (pairs.join(size, "doc").groupBy("centre")
+    load = (pairs.join(sets.select("doc", "size"), "doc").groupBy("centre")
             .agg(F.ceil(F.sum("size") / F.lit(GROUP_CODES)).alias("parts")))
-    dealt = materialise(pairs.join(load, "centre")
-                        .withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts"))).select("centre", "part", "doc"), "pairs")
-    members = dealt.join(sets, "doc").select("centre", "part", F.lit(1).alias("role"), "doc", "codes")
+    dealt = materialise(pairs.join(load, "centre").withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")))
+                        .select("centre", "part", "doc"), "pairs")
+    members = dealt.join(sets, "doc").select("centre", "part", F.lit(0).alias("role"), "doc", F.col("doc").alias("component"), "codes")
     asked = (dealt.select("centre", "part").distinct().join(sets.withColumnRenamed("doc", "centre"), "centre")
-             .select("centre", "part", F.lit(0).alias("role"), F.col("centre").alias("doc"), "codes"))
-    return (members.unionByName(asked).repartition("centre", "part").sortWithinPartitions("centre", "part", "role")
-            .mapInArrow(_joined(hot), "a long, b long"))
+             .select("centre", "part", F.lit(1).alias("role"), F.col("centre").alias("doc"), F.col("centre").alias("component"), "codes"))
+    return _held(members.unionByName(asked), hot)
+
+
+def _held(rows: DataFrame, hot) -> DataFrame:
+    return (rows.repartition("centre", "part").sortWithinPartitions("centre", "part", "role").mapInArrow(_joined(hot), "a long, b long"))
+
+
+def compare_clumps(placed: DataFrame, sets: DataFrame, hot) -> DataFrame:
+    """placed(code, doc, size, component) over hot codes to links (a, b) between different components of a clump."""
+    lead = materialise(placed.groupBy("code").agg(F.min("doc").alias("b")), "leads")
+    clump = components(placed.select("code", F.col("doc").alias("a")).join(lead, "code").select("a", "b"))
+    docs = materialise(placed.select("doc", "component").distinct()
+                       .join(clump.select("doc", F.col("component").alias("centre")), "doc"), "clumps")
+    main = (docs.groupBy("centre", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("centre")
+            .agg(F.max(F.struct("n", "component")).alias("m")).select("centre", F.col("m.component").alias("main")))
+    load = (docs.join(sets.select("doc", "size"), "doc").groupBy("centre")
+            .agg(F.ceil(F.sum("size") / F.lit(GROUP_CODES)).alias("parts")))
+    about = materialise(main.join(load, "centre"), "clump-sizes")
+    dealt = docs.join(about, "centre").join(sets, "doc")
+    members = dealt.select("centre", F.pmod(F.xxhash64("doc"), F.col("parts")).alias("part"), F.lit(0).alias("role"), "doc", "component", "codes")
+    asked = (dealt.filter("component <> main")
+             .select("centre", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
+                     F.lit(1).alias("role"), "doc", "component", "codes"))
+    return _held(members.unionByName(asked), hot)
 
 
 def _hot_codes(sets: DataFrame):
-    """Broadcast variable with the sorted codes that come last, or None; its size is bounded by raising the threshold."""
-    prefixes = sets.select("doc", "size", "codes").mapInArrow(_prefix_rows(None), "code long, doc long, size long")
-    counts = materialise(prefixes.groupBy("code").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT_CODES), "hot-codes")
+    """Broadcast variable with the hot codes; its size is bounded by raising the threshold."""
+    counts = materialise(sets.mapInArrow(_code_counts, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+                         .filter(F.col("n") > HOT_CODES), "hot-codes")
     least = HOT_CODES
-    while counts.filter(F.col("n") > least).count() * 8 > HOT_BYTES:
+    while counts.filter(F.col("n") > least).count() * 9 > HOT_BYTES:
         least *= 2
-    hot = np.sort(np.array([r[0] for r in counts.filter(F.col("n") > least).select("code").toLocalIterator()], np.int64))
-    return sets.sparkSession.sparkContext.broadcast(hot) if len(hot) else None
+    table = HotCodes([(r["code"], r["n"]) for r in counts.filter(F.col("n") > least).toLocalIterator()])
+    return sets.sparkSession.sparkContext.broadcast(table)
 
 
 def _apart(a: str, b: str):
@@ -207,7 +281,7 @@ def links_and_sizes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     keyed = rows.withColumn("digest", F.unhex(F.sha2(F.col("text"), 256)))
     has_word = F.col("text").rlike(f"[^{SPACE_CLASS}]")
     ids = materialise(keyed.filter(has_word).select("doc", "digest"), "text-ids")
-    groups = ids.groupBy("digest").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    groups = materialise(ids.groupBy("digest").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "text-groups")
     copies = materialise(ids.join(groups.select("digest", "first"), "digest").filter("doc <> first").distinct(), "copies")
     single = keyed.join(sized_side(copies.select("doc", "digest"), 80), ["doc", "digest"], "left_anti").select("doc", "text")
 
@@ -230,19 +304,19 @@ def links_and_sizes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     links = materialise(compare(materialise(best, "centres"), sets, hot), "links")
 
     label = components(links)
-    placed = (prefixes.join(label, "doc", "left").withColumn("component", F.coalesce("component", "doc")))
-    placed = materialise(placed, "placed")
-    mixed = (placed.groupBy("code").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .filter("lo <> hi").select("code"))
+    placed = materialise(prefixes.join(label, "doc", "left").withColumn("component", F.coalesce("component", "doc")), "placed")
+    mixed = materialise(placed.groupBy("code").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                        .filter("lo <> hi").select("code"), "mixed")
     placed = materialise(placed.join(mixed, "code", "left_semi"), "placed")
-    kinds = placed.select("code", "component").distinct()
-    sides = (kinds.withColumnRenamed("component", "x").join(kinds.withColumnRenamed("component", "y"), "code").filter("x < y"))
-    left = placed.select("code", F.col("component").alias("x"), F.col("doc").alias("centre"), F.col("size").alias("n"))
-    right = placed.select("code", F.col("component").alias("y"), "doc", F.col("size").alias("m"))
-    pairs = (sides.join(left, ["code", "x"]).join(right, ["code", "y"]).filter(~_apart("n", "m"))
+    is_hot = F.shiftrightunsigned("code", CODE_BITS) > 0
+    clumped = materialise(compare_clumps(placed.filter(is_hot), sets, hot), "links")
+    rare = placed.filter(~is_hot)
+    left = rare.select("code", F.col("component").alias("x"), F.col("doc").alias("centre"), F.col("size").alias("n"))
+    right = rare.select("code", F.col("component").alias("y"), "doc", F.col("size").alias("m"))
+    pairs = (left.join(right, "code").filter((F.col("x") != F.col("y")) & (F.col("centre") < F.col("doc")) & ~_apart("n", "m"))
              .groupBy("centre", "doc").agg(F.count(F.lit(1)).alias("k"), F.min(F.least("n", "m")).alias("least"))
              .filter(F.col("k") >= 1 + F.floor(F.col("least") / 20)).select("centre", "doc"))
-    more = compare(materialise(pairs, "pairs"), sets, hot)
+    more = compare(materialise(pairs, "pairs"), sets, hot).unionByName(clumped)
     equal = copies.select(F.col("doc").alias("a"), F.col("first").alias("b"))
     every = materialise(links.unionByName(more).unionByName(equal), "links")
     n = (sizes.select("doc", "size").unionByName(
