@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +10,7 @@ from sprout.session import scratch_path
 # A word is a run of characters other than these white-space characters.
 SPACE_CLASS = "\\x20\\x09-\\x0D"
 WORD_PATTERN = f"[^{SPACE_CLASS}]+"
-SPACE_BYTES = b" \t\n\x0b\x0c\r"
+SPACE_BYTES = b" \t\n\x0b\x0c\r"  # the bytes that ``bytes.split()`` splits at
 
 # A side is broadcast only if this many bytes (rows x a stated row width) are not exceeded; beyond, it is shuffled.
 BROADCAST_BYTES = 32 << 20
@@ -72,11 +70,3 @@ def sized_side(df: DataFrame, row_bytes: int, limit: int | None = None) -> DataF
 def crc_mod(doc_id: str, m: int) -> Column:
     """crc32 of the id's decimal text, mod ``m``; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(m))
-
-
-def word_list(text: bytes) -> list[bytes]:
-    """``bytes.split()`` splits at exactly the white-space bytes of the word rule."""
-    return text.split()
-
-
-WORD_RE = re.compile(WORD_PATTERN)

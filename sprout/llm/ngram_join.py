@@ -63,11 +63,6 @@ def prefix_length(n):
     return n - least_shared(n) + extra(n)
 
 
-def least_hits(n):
-    """Shared prefix codes at least: a partner's size is a(n) or more."""
-    return extra(least_shared(n))
-
-
 def least_overlap(a, b):
     """Smallest overlap o of sets of a and b with DEN * o >= NUM * (a + b - o)."""
     return -(-NUM * (a + b) // (NUM + DEN))
@@ -288,6 +283,7 @@ def links_and_sizes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     sizes = materialise(shared_hits(single, _prefix_codes), "prefix-hits")
     size = F.col("size")
     shared = F.ceil(size * NUM / DEN)
+    # A partner's size is a(n) or more, so j of that many prefix codes at least are shared.
     some = materialise(sizes.filter((size > 0) & (F.col("hits") >= 1 + F.floor(shared / 20))).select("doc"), "some-shared")
     near = single.join(sized_side(some, 16), "doc", "left_semi")
     whole = materialise(shared_hits(near, _all_codes), "whole-hits")

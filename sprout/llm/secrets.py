@@ -17,7 +17,6 @@ equi-join on the address, whose hot keys Spark splits.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
@@ -114,7 +113,3 @@ def findings(docs: DataFrame, ledger: DataFrame, version: str = RULE_VERSION) ->
     """Findings joined back to every path: doc_id, blob and the ledger's columns."""
     own = ledger.filter(F.col("rule_version") == version)
     return paths(docs).drop("text").join(own, "blob")
-
-
-def base_digest(spans: str) -> str:
-    return hashlib.sha256(spans.encode()).hexdigest()
