@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sprout.functions import fixed
 from sprout.functions import text as tx
 from sprout.operators import features as fe
 from sprout.operators import harmonize as hz

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sprout.functions import fixed
-from sprout.functions.text import unicode_trim
 from sprout.operators import harmonize as hz
 from sprout.operators import labeling as lb
 from sprout.operators.cleaning import clean_tokens
