@@ -202,6 +202,13 @@ def _decoder(path: str):
     return run
 
 
+def _both(path: str):
+    """Encoding, then decoding, batch by batch in one worker, which then holds one vocabulary."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _decoder(path)(_encoder(path)(batches))
+    return run
+
+
 def _schema(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
@@ -216,3 +223,9 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """Adds ``decoded`` to rows of ``encode``."""
     rows = encoded.select("doc_id", "n_tokens", "token_ids")
     return rows.mapInArrow(_decoder(path), f"{_schema(rows)}, decoded string")
+
+
+def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
+    """``decode(encode(docs))`` in one pass: doc_id, n_tokens, token_ids, decoded."""
+    rows = pick(docs, doc_id="doc_id", text="text")
+    return rows.mapInArrow(_both(path), f"{_schema(rows.select('doc_id'))}, n_tokens long, token_ids binary, decoded string")

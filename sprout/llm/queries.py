@@ -44,7 +44,7 @@ FROM sized s JOIN rates r ON s.source IS NOT DISTINCT FROM r.source
 def bpe_digests(docs: DataFrame, with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row; the ids themselves too if asked for."""
     path = str(public_tokenizers.path(BPE_FILE))
-    both = bpe.decode(bpe.encode(docs, path), path)
+    both = bpe.encode_and_decode(docs, path)
     return both.select("doc_id", "n_tokens", F.sha2(F.col("token_ids"), 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
                        *(["token_ids"] if with_ids else []))
