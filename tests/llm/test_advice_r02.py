@@ -1,0 +1,56 @@
+"""Cases of the review's second round."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from test_text_models import build
+
+from sprout.llm import ctw
+
+
+def test_ctw_keeps_every_context(spark, monkeypatch):
+    """Scores equal those of the whole tree in one process, whatever is broadcast, though it has more than 2^15 contexts."""
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789.,;:-+éü漢 "
+    lessons = ["".join(rng.choice(letters) for _ in range(600)) for _ in range(25)] + ["the cat sat on the mat " * 9, ""]
+    texts = [*lessons[:3], "the cat " + lessons[4][:40], "ZZZ ~~~ not seen", "", "", "漢" * 30]
+    code, n = np.unique(np.concatenate([ctw.windows(t.encode()) for t in lessons]), return_counts=True)
+    assert sum(len(np.unique(code >> 8 & ctw.mask(d))) for d in range(1, ctw.DEPTH + 1)) > 1 << 15
+    whole = build(code, n, 1)
+    want = sorted((i, pytest.approx(whole.score(t.encode()), rel=1e-5)) for i, t in enumerate(texts))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    training = spark.createDataFrame([(t,) for t in lessons], "text string").repartition(3)
+    for kept, part in ((ctw.WINDOWS_KEPT, ctw.BRANCH), (50, 64)):
+        monkeypatch.setattr(ctw, "WINDOWS_KEPT", kept)
+        monkeypatch.setattr(ctw, "BRANCH", part)
+        got = ctw.scores(docs, training).select("doc_id", "score").orderBy("doc_id").collect()
+        assert [tuple(r) for r in got] == want
+
+
+def test_ctw_repeated_rows_and_one_count_of_windows(spark):
+    rows = spark.createDataFrame([(i % 7, f"text of number {i % 7} here") for i in range(21)] + [(None, None)], "doc_id long, text string")
+    got = ctw.score_documents(rows)
+    learned = ctw.crc_mod("doc_id", 5) != 1
+    docs = rows.withColumn("text", F.coalesce("text", F.lit("")))
+    want = ctw.scores(docs, docs.filter(learned))
+    assert got.count() == 22
+    by = lambda df: sorted((str(r["doc_id"]), round(r["score"], 9), round(r["bits_per_byte"], 9)) for r in df.collect())
+    assert by(got) == by(want)
+
+
+def test_ctw_kept_windows_are_found_and_others_not():
+    rng = np.random.default_rng(1)
+    code = np.unique(rng.integers(0, 1 << 48, 5000))
+    kept = ctw.Kept(code[::2], np.arange(len(code))[::2].astype(float))
+    got = kept(code)
+    assert (got[::2] == np.arange(len(code))[::2]).all() and np.isnan(got[1::2]).all()
+    assert np.isnan(ctw.Kept(code[:0], np.zeros(0))(code)).all()
+
+
+def test_ctw_nothing_to_score_or_to_learn_from(spark, odd, nothing):
+    assert ctw.score_documents(nothing).count() == 0
+    docs = odd.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = ctw.scores(docs, docs.select("text").limit(0)).collect()
+    assert len(rows) == docs.count() and all(r["train_tokens"] == 0 and r["bits_per_byte"] == pytest.approx(8) for r in rows)
