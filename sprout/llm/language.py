@@ -5,10 +5,11 @@ borders (3 bytes), and the whole word as its entry in the learned lexicon, all h
 weights join neighbouring words. Forward-backward gives every word its probability of each language, so runs of a foreign
 language inside a text keep their own labels; the text's language is the one with the highest mean, which is the score.
 
-*Training* maximises the likelihood of word labels by stochastic gradients (Adagrad), on a bounded sample: per language the
-``ROWS`` rows of smallest hash of the id among those with a text of at most ``BYTES`` bytes. Their words are labelled by
-their row's language and dealt into chains of segments from several rows, so that changes of language are seen. The model
-(BUCKETS x languages) is a few MB at most for up to ``LANGUAGES`` languages (the most frequent ones, then by name).
+*Training* maximises the likelihood of word labels by stochastic gradients (Adagrad), on a sample of every language that the
+rows have: per language the ``ROWS`` rows of smallest hash of the id among those with a text of at most ``BYTES`` bytes; where
+these are fewer, its longer texts fill up, each with ``PARTS`` segments from all over it, about ``BYTES`` bytes together. Their
+words are labelled by their row's language and dealt into chains of segments from several rows, so that changes of language are
+seen. The model (BUCKETS x languages) grows by 256 KB a language, the sample by 2.5 MB at most.
 
 *Prediction* takes all words of all texts; the chain is not cut. Texts of similar length are worked on together.
 
@@ -23,23 +24,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sprout.llm.common import crc_mod, pick
 from sprout.llm.shingles import spread_bits
 
 BUCKETS = 1 << 16
-LANGUAGES = 64
 ROWS = 160
 BYTES = 1 << 14
+PARTS = 16                   # segments of a longer text
 CHAIN, SEGMENT = 48, 12      # words of a training chain; mean words of its segments
 EPOCHS, CHAINS = 4, 128      # passes; chains in a step
 RATE, DECAY = 0.3, 1e-5
 SEED = 7
 AFFIX, GRAM = 5, 3           # bytes of the longest affix and of an n-gram, word borders included
-WORDS_KEPT = 1 << 17
-CELLS = 1 << 19              # word places worked on together in prediction
+WORDS_KEPT = 1 << 19         # numbers kept for words, one for each language
+CELLS = 1 << 21              # numbers of word places worked on together in prediction, one for each language
 UNKNOWN = "und"
 
 _EDGES = b".,;:!?'\"()[]{}#*$%&|<>=+-_/\\0123456789"
@@ -97,7 +98,7 @@ class Scorer:
     def __call__(self, words: list[bytes]) -> np.ndarray:
         known = self.at
         fresh = [w for w in dict.fromkeys(words) if w not in known]
-        if len(known) + len(fresh) > WORDS_KEPT:
+        if (len(known) + len(fresh)) * self.weights.shape[1] > WORDS_KEPT:
             self.table = self.table[:0]
             known.clear()
             fresh = list(dict.fromkeys(words))
@@ -229,7 +230,7 @@ class Labeller:
         split = {i: words_of(t) for i, t in enumerate(texts) if t and _has_letter(t)}
         order = sorted(split, key=lambda i: -len(split[i]))
         while order:
-            n = max(1, min(len(order), CELLS // len(split[order[0]])))
+            n = max(1, min(len(order), CELLS // (len(split[order[0]]) * len(self.model.languages))))
             part, order = order[:n], order[n:]
             lengths = np.array([len(split[i]) for i in part])
             chain = np.repeat(np.arange(n), lengths)
@@ -261,21 +262,39 @@ def _labelled(model):
     return run
 
 
+def segments(text: str, most_bytes: int) -> Column:
+    """PARTS segments at equal distances, the first and last one at the text's ends, without words cut by a segment's borders
+    (but for words longer than a segment); about ``most_bytes`` bytes together."""
+    chars = F.char_length(text)
+    size = F.greatest(F.lit(1), F.floor(chars * F.lit(most_bytes // PARTS) / F.octet_length(text)).cast("int"))
+
+    def segment(i):
+        start = F.floor(i * (chars - size) / F.lit(PARTS - 1)).cast("int")
+        part = F.substring(F.col(text), start + 1, size)
+        part = F.when(i == 0, part).otherwise(F.regexp_replace(part, "^\\S+\\s", ""))
+        return F.when(i == PARTS - 1, part).otherwise(F.regexp_replace(part, "\\s\\S+$", ""))
+
+    return F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), segment))
+
+
 def training_sample(docs: DataFrame, rows: int = ROWS, most_bytes: int = BYTES) -> list[tuple[str, str]]:
-    """(text, lang) of at most ``rows`` rows per language of docs(doc_id, text, lang), chosen by a hash of the id.
+    """(text, lang) of at most ``rows`` rows for every language of docs(doc_id, text, lang), chosen by a hash of the id, those of
+    at most ``most_bytes`` bytes first; longer ones are cut to segments.
 
     Rows are thinned to a few times that number by their hash before they are ranked, so a language that holds most
     rows is never sorted whole.
     """
-    usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.octet_length("text") <= most_bytes))
-    counts = usable.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(LANGUAGES).collect()
+    usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("long", F.octet_length("text") > most_bytes)
+    counts = usable.groupBy("lang").agg(F.count_if(~F.col("long")).alias("short"), F.count_if("long").alias("long")).collect()
     if not counts:
         return []
-    share = F.broadcast(docs.sparkSession.createDataFrame([(r["lang"], min(1.0, 4.0 * rows / r["count"])) for r in counts], "lang string, share double"))
+    shares = [(r["lang"], min(1.0, 4.0 * rows / max(r["short"], 1)), min(1.0, 4.0 * rows / max(r["long"], 1)) if r["short"] < rows else 0.0) for r in counts]
+    share = F.broadcast(docs.sparkSession.createDataFrame(shares, "lang string, of_short double, of_long double"))
     key = F.concat(F.lit("lang:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     draw = F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("long") / F.lit(float(2**52))
-    thin = usable.join(share, "lang").withColumn("draw", draw).filter("draw < share")
-    ranked = thin.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id", "text"))).filter(F.col("nth") <= rows)
+    thin = usable.join(share, "lang").withColumn("draw", draw).filter(F.col("draw") < F.when(F.col("long"), F.col("of_long")).otherwise(F.col("of_short")))
+    cut = thin.withColumn("text", F.when(F.col("long"), segments("text", most_bytes)).otherwise(F.col("text")))
+    ranked = cut.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("long", "draw", "doc_id", "text"))).filter(F.col("nth") <= rows)
     return [(r["text"], r["lang"]) for r in ranked.select("text", "lang", "nth").orderBy("lang", "nth").collect()]
 
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_text_models import build
 
-from sprout.llm import ctw
+from sprout.llm import ctw, language
 
 
 def test_ctw_keeps_every_context(spark, monkeypatch):
@@ -54,3 +54,33 @@ def test_ctw_nothing_to_score_or_to_learn_from(spark, odd, nothing):
     docs = odd.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = ctw.scores(docs, docs.select("text").limit(0)).collect()
     assert len(rows) == docs.count() and all(r["train_tokens"] == 0 and r["bits_per_byte"] == pytest.approx(8) for r in rows)
+
+
+def test_language_learns_every_language(spark):
+    """70 languages, one of which has texts of more than BYTES bytes only."""
+    rng = random.Random(6)
+    rows = []
+    for k in range(70):
+        own = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(4, 8))) for _ in range(30)]
+        rows += [(70 * i + k, " ".join(rng.choice(own) for _ in range(4000 if k == 69 else 40)), f"x{k:02}") for i in range(8)]
+    assert all(len(t) > language.BYTES for _, t, x in rows if x == "x69")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language.label_documents(docs).collect()}
+    assert set(got.values()) == {x for _, _, x in rows}
+    assert sum(got[i] == x for i, _, x in rows) > 0.97 * len(rows)
+
+
+def test_language_sample_of_long_texts(spark):
+    words = [f"w{i:06}" for i in range(20000)]
+    long = " ".join(words)
+    docs = spark.createDataFrame([(1, long, "a"), (2, "short one", "a"), (3, long, "b"), (4, "é" * 40000, "c"), (5, None, "d"), (6, "no", None)],
+                                 "doc_id long, text string, lang string")
+    got = language.training_sample(docs)
+    assert sorted(x for _, x in got) == ["a", "a", "b", "c"]
+    assert {t for t, x in got if x == "a"} > {"short one"}
+    part = next(t for t, x in got if x == "b")
+    kept = part.split()
+    assert set(kept) <= set(words) and len(part) <= language.BYTES + language.PARTS
+    assert {int(w[1:]) // 2000 for w in kept} == set(range(10)) and words[0] in kept and words[-1] in kept
+    assert len(next(t for t, x in got if x == "c").encode()) <= language.BYTES + language.PARTS
+    assert [t for t, _ in language.training_sample(docs.filter("lang = 'a'"), rows=1)] == ["short one"]
