@@ -529,7 +529,7 @@ def _path(sf_dir, name):
 
 
 def _parts(spark, df, key, n=3):
-    """The rows of ``df`` as ``n`` tables of rising ``key``, in order (what a folder receives over time)."""
+    """The rows of ``df`` as ``n`` tables of rising ``key``, in order (what a folder receives over time); null keys come first."""
     cuts = df.approxQuantile(key, [k / n for k in range(1, n)], 0.01)
     edges = [None, *cuts, None]
     for lo, hi in zip(edges, edges[1:]):
@@ -537,7 +537,8 @@ def _parts(spark, df, key, n=3):
         if lo is not None:
             part = part.where(F.col(key) > lo)
         if hi is not None:
-            part = part.where(F.col(key) <= hi)
+            below = F.col(key) <= hi
+            part = part.where(below | F.col(key).isNull() if lo is None else below)
         yield part
 
 

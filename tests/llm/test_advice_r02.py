@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from test_text_models import build
 
 from sprout.llm import ctw, language
+from sprout.plans import model_queries
 
 
 def test_ctw_keeps_every_context(spark, monkeypatch):
@@ -84,3 +85,9 @@ def test_language_sample_of_long_texts(spark):
     assert {int(w[1:]) // 2000 for w in kept} == set(range(10)) and words[0] in kept and words[-1] in kept
     assert len(next(t for t, x in got if x == "c").encode()) <= language.BYTES + language.PARTS
     assert [t for t, _ in language.training_sample(docs.filter("lang = 'a'"), rows=1)] == ["short one"]
+
+
+def test_stream_parts_keep_null_keys(spark):
+    df = spark.createDataFrame([(i if i % 5 else None, i) for i in range(60)], "k long, v long")
+    parts = [[r["v"] for r in p.collect()] for p in model_queries._parts(spark, df, "k")]
+    assert len(parts) == 3 and all(parts) and sorted(v for p in parts for v in p) == list(range(60))
