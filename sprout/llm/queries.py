@@ -6,10 +6,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sprout.llm import bpe, ctw, exact_dedup, language, mixing, ngram_join, quality_model, quality_rules, secrets, suffix_dedup
+from sprout.llm import (
+    bpe, ctw, exact_dedup, language, mixing, ngram_join, piece_bpe, quality_model, quality_rules, secrets, suffix_dedup, vector_codes,
+)
 from sprout.llm.common import documents
 
 BPE_FILE = "byte_bpe_50k.json"
+PIECE_FILE = "piece_bpe_32k.model"
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,6 +153,52 @@ g AS (SELECT doc_id, norm, count(*) OVER (PARTITION BY norm) AS group_size,
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g
 """
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = piece_bpe.encode(documents(spark, sf_dir), str(public_tokenizers.path(PIECE_FILE)), decoded=True)
+    ids = F.array_join(F.col("token_ids").cast("array<string>"), ",")
+    return both.select("doc_id", "n_tokens", F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = vector_codes.compress(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
+    return rows.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def vector_codes_sql() -> str:
+    """Rounds written out: c0 from the first rows, then a<i> (nearest entries) and c<i + 1> (floored means) by turns."""
+    def nearest(i: int) -> str:
+        return f"""
+a{i} AS MATERIALIZED (
+  SELECT rid, p, min({{'d': list_sum(list_transform(range(1, len(s) + 1), lambda i: (s[i] - c[i]) * (s[i] - c[i])))::BIGINT, 'e': e}}) AS m
+  FROM x JOIN c{i} USING (p) GROUP BY rid, p)"""
+
+    def means(i: int) -> str:
+        return f"""
+u{i} AS (SELECT p, m.e AS e, unnest(s) AS v, generate_subscripts(s, 1) AS i FROM a{i} JOIN x USING (rid, p)),
+t{i} AS (SELECT p, e, i, sum(v)::BIGINT AS v, count(*)::BIGINT AS n FROM u{i} GROUP BY p, e, i),
+l{i} AS (SELECT p, e, list((v - ((v % n) + n) % n) // n ORDER BY i) AS c FROM t{i} GROUP BY p, e),
+c{i + 1} AS MATERIALIZED (SELECT c{i}.p, c{i}.e, coalesce(l{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN l{i} ON c{i}.p = l{i}.p AND c{i}.e = l{i}.e)"""
+
+    last = vector_codes.ROUNDS
+    rounds = ",".join(nearest(i) + "," + means(i) for i in range(last))
+    return f"""
+WITH k AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding, lambda e: floor(e::DOUBLE * {vector_codes.SCALE})::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+x AS MATERIALIZED (SELECT rid, vec_id, p, v[p * (len(v) // {vector_codes.PARTS}) + 1:(p + 1) * (len(v) // {vector_codes.PARTS})] AS s
+  FROM k, (SELECT unnest(range({vector_codes.PARTS})) AS p)),
+c0 AS MATERIALIZED (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, s AS c FROM x
+  QUALIFY row_number() OVER (PARTITION BY p ORDER BY vec_id) <= {vector_codes.ENTRIES}),
+{rounds},
+{nearest(last)},
+r AS (SELECT rid, string_agg(printf('%02x', m.e), '' ORDER BY p) AS code, sum(m.d)::BIGINT AS error FROM a{last} GROUP BY rid),
+b AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c{last})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM k JOIN r USING (rid), b
+"""
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_bpe": op2_bpe,
@@ -161,6 +210,8 @@ QUERIES = {
     "op8_ctw": op8_ctw,
     "op9_secrets": op9_secrets,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_sentencepiece": op11_sentencepiece,
+    "op12_vector_codes": op12_vector_codes,
 }
 
 ORACLES = {
@@ -168,4 +219,5 @@ ORACLES = {
     "op6_ngram_join": OP6_SQL,
     "op7_quality_rules": OP7_SQL,
     "op10_exact_dedup": OP10_SQL,
+    "op12_vector_codes": vector_codes_sql(),
 }
