@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sprout.llm import (
-    bpe, ctw, exact_dedup, language, mixing, ngram_join, piece_bpe, quality_model, quality_rules, secrets, suffix_dedup, vector_codes,
+    bpe, conversations, ctw, exact_dedup, language, mixing, ngram_join, piece_bpe, quality_model, quality_rules, secrets, suffix_dedup, vector_codes,
 )
 from sprout.llm.common import documents
 
@@ -199,6 +199,11 @@ FROM k JOIN r USING (rid), b
 """
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")
+    return conversations.report(conversations.damage(turns))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_bpe": op2_bpe,
@@ -212,6 +217,7 @@ QUERIES = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_sentencepiece": op11_sentencepiece,
     "op12_vector_codes": op12_vector_codes,
+    "op13_conversations": op13_conversations,
 }
 
 ORACLES = {

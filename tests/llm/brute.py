@@ -3,7 +3,9 @@
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
+from functools import lru_cache
 
 SPACE = " \t\n\x0b\x0c\r"
 
@@ -131,3 +133,87 @@ def repeat_spans(docs, n=50):
                 if len(owners[tuple(w[k:k + n])]) > 1:
                     out[i].update(range(k, k + n))
     return dict(out)
+
+
+def vector_codes(rows, scale=4096, parts=8, entries=16, rounds=6):
+    """Rows (vec_id, vector, label) to [(vec_id, code, error, label_error)] and the codebooks, in Python's integers."""
+    rows = [(i, v, x) for i, v, x in rows if v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    if not rows:
+        return [], []
+    width = max(1, -(-max(len(v) for _, v, _ in rows) // parts))
+    own = []
+    for i, v, x in rows:
+        cells = [c.as_integer_ratio()[0] * scale // c.as_integer_ratio()[1] for c in map(float, v)] + [0] * (width * parts - len(v))
+        own.append((i, [cells[p * width:(p + 1) * width] for p in range(parts)], x, v))
+    first = sorted(own, key=lambda r: (r[0] is None, r[0] or 0, r[3]))[:entries]
+    books = [[r[1][p] for r in first] for p in range(parts)]
+
+    def nearest(cell, book):
+        return min((sum((a - b) ** 2 for a, b in zip(cell, e, strict=True)), k) for k, e in enumerate(book))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            mine = defaultdict(list)
+            for r in own:
+                mine[nearest(r[1][p], books[p])[1]].append(r[1][p])
+            books[p] = [[sum(c) // len(c) for c in zip(*mine[k], strict=True)] if mine[k] else e for k, e in enumerate(books[p])]
+    got = [[nearest(r[1][p], books[p]) for p in range(parts)] for r in own]
+    total = Counter()
+    for r, g in zip(own, got, strict=True):
+        total[r[2]] += sum(d for d, _ in g)
+    most = 1 << 63
+    short = {x for r, g in zip(own, got, strict=True) for x in [r[2]] if sum(d for d, _ in g) >= most}
+    return [(r[0], "".join(f"{k:02x}" for _, k in g), e if (e := sum(d for d, _ in g)) < most else None,
+             total[r[2]] if r[2] not in short and total[r[2]] < most else None) for r, g in zip(own, got, strict=True)], books
+
+
+def damaged_turns(rows):
+    out = []
+    for c, t, r, x in rows:
+        what = zlib.crc32(f"{' ' if c is None else c}:{' ' if t is None else t}".encode()) % 20
+        r, x = " " if r is None else r, " " if x is None else x
+        x = "" if what == 1 else re.sub("[.!?]", "", x) if what == 2 else x
+        out += [(c, t, "user" if what == 4 else r, x)] * (0 if what == 0 else 2 if what == 3 else 1)
+    return out
+
+
+def conversation_reports(rows):
+    """Rows (conv_id, turn, role, text) to {conv_id: report}, trying all edits."""
+    groups = {c: [] for c, *_ in rows}
+    for c, *turn in damaged_turns(rows):
+        groups[c].append(turn)
+    return {c: _conversation_report(sorted(g, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))) for c, g in groups.items()}
+
+
+def _conversation_report(turns):
+    numbers = {t for t, _, _ in turns if t is not None}
+    faults = []
+    for i, (_, r, x) in enumerate(turns):
+        end = x.strip(SPACE)
+        faults.append("blank" if not end else "repeat" if (r, x) in [(a, b) for _, a, b in turns[:i]] else "cut" if end[-1] not in ".!?" else "")
+    initials = [r[:1] for _, r, _ in turns]
+    full = {"u": "user", "a": "assistant"}
+
+    @lru_cache(None)
+    def best(i, last, inserted):
+        after = "a" if last == "u" else "u"
+        options = [(0, "", ())] if i == len(turns) and last in ("", "a") else []
+        if inserted < 3:
+            options.append(_and(best(i, after, inserted + 1), 2, "I", full[after] + ":"))
+        if i < len(turns):
+            _, r, x = turns[i]
+            options.append(_and(best(i + 1, last, 0), 3, "D"))
+            if faults[i] not in ("blank", "repeat"):
+                extra = faults[i] == "cut"
+                if r[:1] == after or (r[:1], last) == ("s", ""):
+                    options.append(_and(best(i + 1, r[:1], 0), extra, "K", f"{r}:{x}"))
+                options.append(_and(best(i + 1, after, 0), 2 + extra, "R", f"{full[after]}:{x}"))
+        return min(options, key=lambda o: o[:2]) if options else (math.inf, "", ())
+
+    cost, audit, lines = best(0, "", 0)
+    return (max(numbers) - min(numbers) + 1 - len(numbers) if numbers else 0, faults.count("blank"), faults.count("repeat"), faults.count("cut"),
+            sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:], strict=False)), cost, audit, sha("\n".join(lines)))
+
+
+def _and(rest, cost, edit, *line):
+    return rest[0] + cost, edit + rest[1], (*line, *rest[2])

@@ -24,7 +24,7 @@ from sprout.llm import mixing, quality_rules  # noqa: E402
 
 def test_all_registered():
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in llm.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in llm.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert {*llm.QUERIES, "pipeline"} <= names
     assert set(llm.ORACLES) <= set(llm.QUERIES)
 
@@ -33,7 +33,8 @@ def test_all_registered():
 def test_query_matches_sql(spark, sf_small, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf_small}/documents.parquet')")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf_small}/{table}.parquet')")
     got = rows_of(entry.queries()[name](spark, sf_small).toPandas())
     want = rows_of(con.sql(llm.ORACLES[name]).df())
     assert got == want
