@@ -21,6 +21,7 @@ import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -37,8 +38,8 @@ PIECES, TRAINER, NORMALIZER, DENORMALIZER = 1, 2, 3, 5
 TRAINER_MODEL_TYPE, TRAINER_SPACE_AS_SUFFIX, TRAINER_BYTE_FALLBACK, TRAINER_UNKNOWN_SURFACE = 3, 24, 35, 44
 NORMALIZER_CHARSMAP, NORMALIZER_DUMMY_PREFIX, NORMALIZER_REMOVE_SPACES, NORMALIZER_ESCAPE_SPACES = 2, 3, 4, 5
 
-PAIRS_KEPT = 1 << 18
-WORDS_KEPT = 1 << 17  # of the newer half
+PAIRS_KEPT = 1 << 20
+WORDS_KEPT = 1 << 18  # of the newer half
 WORD_CHARS_KEPT = 64
 
 
@@ -95,7 +96,7 @@ class PieceModel:
         self.names = names + sorted({c for p in pieces if len(p) > 1 for c in p} - set(pieces))
         self.out = [(i,) for i in range(len(names))] + [self.byte_ids(c) for c in self.names[len(names):]]
         self.length, self.size = [len(p) for p in self.names], len(names)
-        self.single = {p: i for p, i in pieces.items() if len(p) == 1}
+        self.single = {p: i for i, p in enumerate(self.names) if len(p) == 1 and (i >= len(names) or kinds[i] == NORMAL)}
         self._read_joins(pieces, len(names))
         self._read_cuts(pieces)
         self._read_offsets(kinds, trainer.get(TRAINER_UNKNOWN_SURFACE, " ⁇ ".encode()))
@@ -124,7 +125,8 @@ class PieceModel:
             if len(parts) == 1:
                 self.lasts[i] = ((-np.inf, name[-1]), *((r, last) for r, _, last in joins))
                 self.firsts[i] = ((-np.inf, name[0]), *((r, first) for r, first, _ in joins))
-                self.automaton.add_word(name, i)
+                if len(name) > 1:
+                    self.automaton.add_word(name, i)
         self.automaton.make_automaton()
 
     def _read_cuts(self, pieces: dict[str, int]) -> None:
@@ -182,23 +184,23 @@ class PieceModel:
         return got
 
     def _encode_stretch(self, word: str) -> tuple[int, ...]:
-        n = len(word)
+        n, single = len(word), self.single
         if n == 1:
-            got = self.single.get(word)
-            return self.byte_ids(word) if got is None else (got,)
+            got = single.get(word)
+            return self.byte_ids(word) if got is None else self.out[got]
         length, tokens, known = self.length, len(self.names), self.pairs.get
-        last = [-1] * (n + 1)
+        # where no longer piece fits, the prefix ends with its last character
+        last = [-1, *map(single.__getitem__, word)]
+        found = 0
         for end, token in self.automaton.iter(word):
-            end += 1
-            if last[end] < 0:
-                before = end - length[token]
+            if end != found:
+                before = end + 1 - length[token]
                 if before:
                     fits = known(last[before] * tokens + token)
-                    if fits is None:
-                        fits = self.compatible(last[before], token)
-                    if not fits:
+                    if not (self.compatible(last[before], token) if fits is None else fits):
                         continue
-                last[end] = token
+                found = end
+                last[end + 1] = token
         back = []
         while n:
             token = last[n]
@@ -212,11 +214,9 @@ class PieceModel:
         if not text:
             return np.zeros(0, np.int32)
         marked = text.replace(" ", SPACE_MARK)
-        ids: list[int] = []
-        for word in self.stretch.findall(SPACE_MARK + marked if self.dummy_prefix else marked):
-            got = self.words.get(word)
-            ids += self.encode_stretch(word) if got is None else got
-        return np.array(ids, np.int32)
+        words = self.stretch.findall(SPACE_MARK + marked if self.dummy_prefix else marked)
+        ids = [self.encode_stretch(w) if got is None else got for w, got in zip(words, map(self.words.get, words), strict=True)]
+        return np.fromiter(chain.from_iterable(ids), np.int32)
 
     def decode(self, ids: np.ndarray, block: int = 1 << 16) -> str:
         """Text of the ids: bytes gathered through the offset table block by block, without the space that encoding adds in front."""
