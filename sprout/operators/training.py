@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -134,24 +136,31 @@ def fit_logreg_heads(df: DataFrame, features_col: str, label_cols: list[str], re
 def save_heads(spark: SparkSession, models: dict, path: str, config: dict) -> None:
     """Every head with ``MLWritable.save`` plus a one-row JSON config (label order, thresholds,
     max_len), all under ``path`` (a shared folder)."""
-    import json
-
     for lab, m in models.items():
         m.write().overwrite().save(f"{path}/heads/{lab}")
-    labels = list(models)
+    save_config(spark, list(models), path, config)
+
+
+def save_config(spark: SparkSession, labels: list[str], path: str, config: dict) -> None:
+    """The one-row JSON config, defaults filled in."""
     cfg = {"model_name": config.get("model_name", "sprout-logreg"), "num_labels": len(labels),
            "label_cols": labels, "thresholds": config.get("thresholds") or [0.5] * len(labels),
            "max_len": int(config.get("max_len", 128))}
     spark.createDataFrame([(json.dumps(cfg),)], "value string").write.mode("overwrite").text(f"{path}/config")
 
 
-def load_heads(spark: SparkSession, path: str):
-    """Inverse of ``save_heads``: ({label: LogisticRegressionModel}, config dict with defaults)."""
-    import json
-
-    from pyspark.ml.classification import LogisticRegressionModel
+def load_config(spark: SparkSession, path: str) -> dict:
     cfg = json.loads(spark.read.text(f"{path}/config").first()[0])
+    cfg.setdefault("model_name", "sprout-logreg")
     cfg.setdefault("thresholds", [0.5] * len(cfg["label_cols"]))
     cfg.setdefault("max_len", 128)
+    return cfg
+
+
+def load_heads(spark: SparkSession, path: str):
+    """Inverse of ``save_heads``: ({label: LogisticRegressionModel}, config dict with defaults)."""
+    from pyspark.ml.classification import LogisticRegressionModel
+
+    cfg = load_config(spark, path)
     models = {lab: LogisticRegressionModel.load(f"{path}/heads/{lab}") for lab in cfg["label_cols"]}
     return models, cfg

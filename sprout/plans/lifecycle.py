@@ -16,6 +16,7 @@ from sprout.functions import text as tx
 from sprout.operators import cleaning as cl
 from sprout.operators import features as fe
 from sprout.operators import harmonize as hz
+from sprout.operators import joint_head as jh
 from sprout.operators import labeling as lb
 from sprout.operators import scoring as sc
 from sprout.operators import training as tr
@@ -24,6 +25,12 @@ from sprout.sources import readers as rd
 from sprout.sources import sinks
 
 NUM_FEATURES = 1 << 16
+MAX_LEN = 128
+
+
+def _model_input(text_col: str, max_len: int):
+    """what the model reads of a cleaned text, its first ``max_len`` words."""
+    return F.array_join(F.slice(F.split(F.col(text_col), " "), 1, max_len), " ")
 
 
 # ---------------------------------------------------------------------------------------------------------------
@@ -63,12 +70,14 @@ def _featurizer(text_col: str):
 
 def train_from_processed(spark: SparkSession, path: str, model_dir: str, text_col: str = "cleaned_text",
                          val_frac: float = 0.2, seed: int = 42, reg_params=(0.0, 0.01), max_iter: int = 30,
-                         thresholds: list[float] | None = None):
+                         thresholds: list[float] | None = None, joint: bool = False, max_len: int = MAX_LEN):
     """Processed file (or the newest ``processed_*`` in a folder) -> fitted heads saved under ``model_dir``.
 
     H11 label columns, L11 polarity expansion of ternary labels, F2 exact split, F1 class weights (inside the
     head fit), F8 hashed TF-IDF features, F9 + F13 one weighted logistic head per label with the validation
-    loss choosing the regularisation, F14 metrics on the validation rows, S14 / S15 save.
+    loss choosing the regularisation, F14 metrics on the validation rows, S14 / S15 save. ``joint=True`` fits one head for
+    all labels instead (``joint_head``: one scan a step, early stop on the validation loss). Features come from the first
+    ``max_len`` words of a cleaned text, here and in ``score``.
     Returns (models, config, metrics DataFrame)."""
     import os
 
@@ -82,7 +91,8 @@ def train_from_processed(spark: SparkSession, path: str, model_dir: str, text_co
     spec = [s for s in fixed.LABEL_SPEC if s[0] in labels]
     df = lb.polarity_expand(df, spec) if spec else df
     labels = [c for c in df.columns if c != text_col]
-    df = df.select(F.coalesce(F.col(text_col), F.lit("")).alias(text_col),
+    df = df.withColumn(text_col, F.coalesce(F.col(text_col), F.lit("")))
+    df = df.select(_model_input(text_col, max_len).alias(text_col),
                    *[F.col(c).cast("double").alias(c) for c in labels])
     df = df.withColumn("__id", F.monotonically_increasing_id())  # a row's own, fixed by the checkpoint below
     shared_dir(spark)
@@ -92,9 +102,14 @@ def train_from_processed(spark: SparkSession, path: str, model_dir: str, text_co
     df = fe.split_exact(df, "__id", val_frac, seed).withColumn("__val", F.col("split") == "val").checkpoint(eager=True)
     feat_model = _featurizer(text_col).fit(df.where(~F.col("__val")))
     data = feat_model.transform(df).select("__id", "__val", "features", *labels).checkpoint(eager=True)
-    models, _ = tr.fit_logreg_heads(data, "features", labels, reg_params, val_col="__val", max_iter=max_iter)
-    cfg = {"thresholds": thresholds or [0.5] * len(labels), "max_len": 128}
-    tr.save_heads(spark, models, model_dir, cfg)
+    cfg = {"thresholds": thresholds or [0.5] * len(labels), "max_len": max_len}
+    if joint:
+        models, _, _ = jh.fit_path(data, "features", labels, list(reg_params), val_col="__val", max_steps=max_iter)
+        models.save(spark, f"{model_dir}/heads")
+        tr.save_config(spark, labels, model_dir, {**cfg, "model_name": JOINT})
+    else:
+        models, _ = tr.fit_logreg_heads(data, "features", labels, reg_params, val_col="__val", max_iter=max_iter)
+        tr.save_heads(spark, models, model_dir, cfg)
     feat_model.write().overwrite().save(f"{model_dir}/features")
     scored = _apply_heads(feat_model.transform(df.where(F.col("__val"))), models, labels)
     long_df = scored.select(F.explode(F.arrays_zip(
@@ -108,10 +123,15 @@ def train_from_processed(spark: SparkSession, path: str, model_dir: str, text_co
     return models, saved_cfg, tr.prf(long_df)
 
 
-def _apply_heads(df: DataFrame, models: dict, labels: list[str]) -> DataFrame:
-    """One narrow projection per head; ``__probs`` = ARRAY<DOUBLE> in label order."""
+JOINT = "sprout-joint"
+
+
+def _apply_heads(df: DataFrame, models: dict | jh.JointHead, labels: list[str]) -> DataFrame:
+    """One narrow projection per head, or one for a joint head; ``__probs`` = ARRAY<DOUBLE> in label order."""
     from pyspark.ml.functions import vector_to_array
 
+    if isinstance(models, jh.JointHead):
+        return models.logits(df, "features", "__logits").withColumn("__probs", F.transform("__logits", sc.sigmoid)).drop("__logits")
     out = df
     for i, lab in enumerate(labels):
         m = models[lab].copy()
@@ -129,7 +149,8 @@ def load_model(spark: SparkSession, model_dir: str):
     """(feature model, heads, config) saved by ``train_from_processed``."""
     from pyspark.ml import PipelineModel
 
-    models, cfg = tr.load_heads(spark, model_dir)
+    cfg = tr.load_config(spark, model_dir)
+    models = jh.JointHead.load(spark, f"{model_dir}/heads") if cfg["model_name"] == JOINT else tr.load_heads(spark, model_dir)[0]
     return PipelineModel.load(f"{model_dir}/features"), models, cfg
 
 
@@ -144,7 +165,8 @@ def score(df: DataFrame, model, text_col: str = "text", keep_cols: list[str] | N
     keep = [c for c in df.columns if c != text_col] if keep_cols is None else list(keep_cols)
     base = df.select(*keep, F.col(text_col).alias("__raw"))
     cleaned = cl.clean(base, "__raw", "cleaned_text", [*keep, "__raw"], mask=True)
-    scored = _apply_heads(feat_model.transform(cleaned), models, labels)
+    cleaned = cleaned.withColumn("__whole", F.col("cleaned_text")).withColumn("cleaned_text", _model_input("cleaned_text", cfg["max_len"]))
+    scored = _apply_heads(feat_model.transform(cleaned), models, labels).drop("cleaned_text").withColumnRenamed("__whole", "cleaned_text")
     p = F.col("__probs")
     if mode == "scalar":
         thr = threshold if threshold is not None else (cfg.get("thresholds") or [0.5])[0]

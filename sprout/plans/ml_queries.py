@@ -1,12 +1,13 @@
-"""Registered Spark ML queries (F8, F9, F11-F13, S14, S15). Model fitting is iterative and seed-dependent, so
-these have no SQL oracle: the driver records a rows-only check; tests assert invariants (probabilities in
-[0, 1], save/load round trip)."""
+"""Registered model queries (F8, F9, F11-F13, S14, S15). Plain gradient steps of the joint head are written out in SQL; fits
+whose steps depend on data and seeds have no SQL oracle: the driver records a rows-only check, tests hold them against Spark's own
+fits or assert invariants (probabilities in [0, 1], save/load round trip)."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from sprout.operators import features as fe
+from sprout.operators import joint_head as jh
 from sprout.operators import training as tr
 from sprout.operators.cleaning import clean as cl_clean
 from sprout.operators.cleaning import clean_tokens
@@ -38,10 +39,70 @@ def q_fit_logreg_heads(spark, sf_dir):
     return spark.createDataFrame(rows, "label string, reg_param double, iterations int, final_loss double")
 
 
+STEPS, STEP_SIZE = 6, 2.0
+
+
+def _joint_steps(spark, sf_dir):
+    """STEPS plain gradient steps for all classes on the rows outside the validation split."""
+    df = _emb_frame(spark, sf_dir)
+    return df, jh.fit(df, "features", CLASSES, val_col="is_val", solver="gradient", step_size=STEP_SIZE, max_steps=STEPS, patience=STEPS + 1)
+
+
 def q_history(spark, sf_dir):
+    """training and validation loss of every step, fitted without the validation rows."""
+    _, head = _joint_steps(spark, sf_dir)
+    rows = head.history_frame(spark)
+    return rows.select("step", F.round("train_loss", 6).alias("train_loss"), F.round("val_loss", 6).alias("val_loss"), "best")
+
+
+def q_joint_head_scores(spark, sf_dir):
+    """logits of the best step for every row and class."""
+    df, head = _joint_steps(spark, sf_dir)
+    rows = head.logits(df.select("vec_id", "features"))
+    return rows.select("vec_id", F.posexplode("logits").alias("l", "z")).select(
+        "vec_id", F.concat(F.lit("c"), F.col("l")).alias("label"), F.round("z", 6).alias("logit"))
+
+
+def _joint_sql() -> str:
+    """CTEs z<t> (vec_id, l, z), h<t> (losses of step t), w<t> (l, i, weight), all steps written out."""
+    loss = "CASE WHEN y = 1 THEN pw * (greatest(-z, 0) + ln(1 + exp(-abs(z)))) ELSE greatest(z, 0) + ln(1 + exp(-abs(z))) END"
+    steps = ""
+    for t in range(STEPS + 1):
+        steps += f""",
+z{t} AS MATERIALIZED (SELECT vec_id, l, sum(v * weight) AS z FROM x JOIN w{t} USING (i) GROUP BY vec_id, l),
+e{t} AS MATERIALIZED (SELECT vec_id, l, y, pw, is_val, z, {loss} AS loss FROM z{t} JOIN y USING (vec_id, l)),
+h{t} AS (SELECT {t} AS step, avg(CASE WHEN NOT is_val THEN loss END) AS train_loss, avg(CASE WHEN is_val THEN loss END) AS val_loss FROM e{t}),
+g{t} AS (SELECT l, i, avg((CASE WHEN y = 1 THEN pw ELSE 1 END) * (1 / (1 + exp(-z)) - y) * v) AS slope
+  FROM e{t} JOIN x USING (vec_id) WHERE NOT is_val GROUP BY l, i),
+w{t + 1} AS MATERIALIZED (SELECT l, i, weight - {STEP_SIZE} * slope AS weight FROM w{t} JOIN g{t} USING (l, i))"""
+    return f"""WITH r AS (SELECT vec_id, row_number() OVER (ORDER BY md5(concat('42:', CAST(vec_id AS VARCHAR))), vec_id) <= floor(count(*) OVER () * 0.2) AS is_val
+  FROM embeddings),
+x AS MATERIALIZED (SELECT vec_id, 0 AS i, 1.0::DOUBLE AS v FROM embeddings
+  UNION ALL SELECT vec_id, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE AS v FROM embeddings),
+c AS (SELECT unnest(range({len(CLASSES)})) AS l),
+p AS (SELECT l, (count(*) - sum((label = l)::INT)) / (sum((label = l)::INT) + {tr.EPS}) AS pw FROM embeddings, c GROUP BY l),
+y AS MATERIALIZED (SELECT vec_id, l, (label = l)::INT AS y, pw, is_val FROM embeddings JOIN r USING (vec_id), p),
+w0 AS (SELECT DISTINCT l, i, 0.0::DOUBLE AS weight FROM c, x){steps},
+h AS ({' UNION ALL '.join(f'SELECT * FROM h{t}' for t in range(STEPS + 1))}),
+b AS (SELECT step, train_loss, val_loss, val_loss = min(val_loss) OVER () AS best FROM h)
+"""
+
+
+def o_history():
+    return _joint_sql() + "SELECT step, round(train_loss, 6) AS train_loss, round(val_loss, 6) AS val_loss, best FROM b"
+
+
+def o_joint_head_scores():
+    all_ = " UNION ALL ".join(f"SELECT {t} AS step, * FROM z{t}" for t in range(STEPS + 1))
+    return _joint_sql() + f"SELECT vec_id, concat('c', l) AS label, round(z, 6) AS logit FROM ({all_}) a JOIN b USING (step) WHERE best"
+
+
+def q_joint_head(spark, sf_dir):
+    """Newton steps for all classes at once over a path of penalties, each with its own early stop."""
     df = _emb_frame(spark, sf_dir)
-    _, hist = tr.fit_logreg_heads(df, "features", CLASSES, reg_params=(0.0,), max_iter=30)
-    return hist
+    head, reg, trail = jh.fit_path(df, "features", CLASSES, [0.1, 0.01, 0.001], val_col="is_val", patience=3, min_delta=1e-5)
+    rows = [(float(r), float(loss), r == reg, len(head.history) if r == reg else None) for r, loss in trail]
+    return spark.createDataFrame(rows, "reg double, val_loss double, chosen boolean, scans int")
 
 
 def _per_label(fit_one, parallelism: int = 4):
@@ -148,8 +209,14 @@ QUERIES.update({
     "train_and_score": q_train_and_score,
     "fit_logreg_heads": q_fit_logreg_heads,
     "history": q_history,
+    "joint_head": q_joint_head,
+    "joint_head_scores": q_joint_head_scores,
     "fit_gbt": q_fit_gbt,
     "fit_rf": q_fit_rf,
     "w2v_features": q_w2v_features,
     "model_roundtrip": q_model_roundtrip,
 })
+ORACLES.update({
+    "history": o_history,
+    "joint_head_scores": o_joint_head_scores,
+})

@@ -62,3 +62,20 @@ def test_score_with_saved_model(spark, trained):
     assert strict[1]["labels_on"] == []
     everything = {r["id"]: r for r in lc.score(df, model, "text", ["id"], mode="scalar", threshold=-1.0).collect()}
     assert everything[1]["labels_on"] == ["quality", "toxic"]
+
+
+def test_joint_head_lifecycle_and_max_len(spark, sf_small, tmp_path):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_small}/labels.parquet")
+    from sprout.operators.cleaning import clean
+
+    processed = clean(docs.join(labels, "doc_id"), "text", "cleaned_text").drop("doc_id")
+    out = str(tmp_path)
+    sinks.write_dataset(processed, f"{out}/processed_labels.parquet")
+    head, cfg, metrics = lc.train_from_processed(spark, out, f"{out}/model", reg_params=(0.01, 0.1), max_iter=12, joint=True, max_len=5)
+    assert cfg["max_len"] == 5 and cfg["label_cols"] == head.labels == ["quality", "toxic"]
+    assert {r["label"] for r in metrics.collect()} == {"quality", "toxic", "micro", "macro"}
+    texts = spark.createDataFrame([(1, "alpha beta gamma delta epsilon"), (2, "alpha beta gamma delta epsilon zeta eta"), (3, " ")], "k long, text string")
+    rows = {r["k"]: r for r in lc.score(texts, lc.load_model(spark, f"{out}/model")).collect()}
+    assert rows[1]["probs"] == rows[2]["probs"] and rows[2]["cleaned_text"].endswith("eta")
+    assert all(0 <= p <= 1 for r in rows.values() for p in r["probs"].values()) and rows[3]["error"] == "Missing 'text'"
