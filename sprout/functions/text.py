@@ -100,13 +100,14 @@ def token_kind(t: Column, keep_numbers: bool = True) -> Column:
     return kind.otherwise(F.lit("other"))
 
 
-def token_struct(t: Column, stop: list[str], lemmas: dict[str, str] | None, keep_numbers: bool = True) -> Column:
+def token_struct(t: Column, stop: list[str], lemmas: dict[str, str] | None, keep_numbers: bool = True, make=None) -> Column:
     """STRUCT<t, kind, out> of a token by one walk through the tests of ``token_kind``, each branch emitting its own
-    ``token_out``."""
+    ``token_out``; or what ``make(kind, out)`` makes of it."""
     low, lem = F.lower(t), lemma_of(t, lemmas)
 
     def as_struct(kind: str, out: Column) -> Column:
-        return F.struct(t.alias("t"), F.lit(kind).alias("kind"), out.cast("string").alias("out"))
+        out = out.cast("string")
+        return make(kind, out) if make else F.struct(t.alias("t"), F.lit(kind).alias("kind"), out.alias("out"))
 
     word = as_struct("word", F.when(~lem.isin(*stop), lem))
     if keep_numbers:

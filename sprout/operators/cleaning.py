@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from sprout.functions import fixed
 from sprout.functions import text as tx
-from sprout.session import broadcast_below, scratch_path
+from sprout.operators import vocabulary as vc
+from sprout.session import broadcast_below, shared_dir
 
 
 def _classified(tokens: Column, stop: list[str], lemmas: dict[str, str] | None, keep_numbers: bool) -> Column:
@@ -69,17 +70,12 @@ def apply_run_rules(df: DataFrame, arr_col: str, out_col: str, keep_kind: bool =
     return df.withColumn(out_col, kept if keep_kind else F.transform(kept, lambda x: x["out"])).drop(runs)
 
 
-# Lookup sizes (rows) up to which a table is used without a shuffle: a vocabulary becomes an in-plan hash set
-# tested inside the row; a lookup table joined to exploded tokens is broadcast. Larger tables are joined by
-# shuffle (sort-merge, with AQE splitting skewed terms).
-VOCAB_INROW_MAX = 50_000
+VOCAB_INROW_MAX = vc.VOCAB_INROW_MAX
 
 
 def _vocab_terms(vocab: DataFrame, max_terms: int) -> tuple[DataFrame, list[str] | None]:
     """Distinct vocabulary terms, checkpointed once to the shared folder (a derived vocabulary is not
     recomputed), and the term list itself when there are at most ``max_terms`` of them (one bounded collect)."""
-    from sprout.session import shared_dir
-
     shared_dir(vocab.sparkSession)
     v = vocab.select(F.col(vocab.columns[0]).cast("string").alias("__term")).where(F.col("__term").isNotNull())
     v = v.distinct().checkpoint(eager=True)
@@ -89,16 +85,12 @@ def _vocab_terms(vocab: DataFrame, max_terms: int) -> tuple[DataFrame, list[str]
     return v, [r[0] for r in v.collect()]
 
 
-def _term_list_sql(terms: list[str]) -> str:
-    return ",".join(tx._sql_str(t) for t in terms)
-
-
 def _in_vocab_sql(out: str, kind: str, terms: list[str]) -> str:
     """Words and emoji aliases outside the vocabulary emit nothing (an unknown emoji then vanishes from runs).
 
     SQL text, so a large term set is one parsed ``IN`` list (the optimizer turns it into a hash set) rather than
     one client call per literal."""
-    return (f"CASE WHEN {kind} IN ('emoji', 'word') AND NOT ({out} IN ({_term_list_sql(terms)})) "
+    return (f"CASE WHEN {kind} IN ('emoji', 'word') AND NOT ({vc.in_list(out, terms)}) "
             f"THEN CAST(NULL AS STRING) ELSE {out} END")
 
 
@@ -112,7 +104,6 @@ def clean_tokens(
     lemma_table: DataFrame | None = None,
     vocab: DataFrame | None = None,
     keep_numbers: bool = True,
-    key_col: str | None = None,
     keep_kind: bool = False,
     vocab_inrow_max: int = VOCAB_INROW_MAX,
     squash_punct: bool = False,
@@ -120,9 +111,10 @@ def clean_tokens(
     """Add ``out_col`` = cleaned token array. Every input row and column is kept, whichever path is taken.
 
     ``lemma_table(form, lemma)`` and ``vocab(term)`` are DataFrames; ``lemmas`` is a small dict (in-row literal
-    map). ``key_col`` is accepted for older callers and not needed. ``stop`` defaults to the engine stop set; ``squash_punct`` first turns '!!!' into '!' and '....' into
+    map). ``stop`` defaults to the engine stop set; ``squash_punct`` first turns '!!!' into '!' and '....' into
     '...' inside the text (T19, off by default). A vocabulary of at most ``vocab_inrow_max`` terms is applied
-    inside the row (no shuffle); a larger one, or a lemma table, goes through the exploded join path.
+    inside the row (no shuffle); of a larger one only rare terms are exploded and joined (``vocabulary``); a lemma
+    table goes through the exploded join path.
     """
     stop = fixed.stop_words() if stop is None else list(stop)
     vocab_df, terms = (None, None)
@@ -138,21 +130,26 @@ def clean_tokens(
                                              f"'out', {body}))"))
         out = apply_run_rules(out, tmp, out_col, keep_kind)
         return out.drop(tmp)
+    if lemma_table is None and not keep_kind:
+        rows = vc.written_codes(df, text_col, df.columns, stop, lemmas, keep_numbers, squash_punct)
+        flagged = vc.flagged_by_table(vc.term_counts(rows), vocab_df).checkpoint(eager=True)
+        rows = vc.keep_terms_joined(rows, flagged, min(vocab_inrow_max, vc.HOT_TERMS))
+        return vc.emitted(rows, out_col).select(*df.columns, out_col)
     return _clean_tokens_joined(
-        df, text_col, out_col, stop, lemmas, lemma_table, vocab_df, terms, keep_numbers, key_col, keep_kind,
-        squash_punct,
+        df, text_col, out_col, stop, lemmas, lemma_table, vocab_df, terms, keep_numbers, keep_kind, squash_punct,
     )
 
 
-def _clean_tokens_joined(df, text_col, out_col, stop, lemmas, lemma_table, vocab_df, terms, keep_numbers, key_col,
-                         keep_kind, squash_punct=False):
+def _clean_tokens_joined(df, text_col, out_col, stop, lemmas, lemma_table, vocab_df, terms, keep_numbers, keep_kind, squash_punct=False):
     """Exploded path. Rows are first hash-partitioned by document key (a shuffle of the raw rows, several times
     smaller than one of exploded tokens); explode, broadcast lookups and the per-document re-assembly then run in
     that same stage, because the aggregate's key is already the partitioning key. A per-document group is
-    bounded by the document's own length."""
+    bounded by the document's own length. The rows are checkpointed with their ids: a partition that is computed
+    again, its rows perhaps in another order, would give other ids."""
     cols = df.columns
     key = "__row"
-    part = df.withColumn(key, F.monotonically_increasing_id()).repartition(key)
+    shared_dir(df.sparkSession)
+    part = df.withColumn(key, F.monotonically_increasing_id()).checkpoint(eager=True).repartition(key)
     ex = part.select("*", F.posexplode_outer(tx.tokenize(F.col(text_col), squash_punct)).alias("pos", "t"))
     # A row's own columns ride on its first token only.
     ex = ex.withColumns({c: F.when(F.coalesce(F.col("pos"), F.lit(0)) == 0, F.col(c)) for c in cols})
@@ -221,38 +218,19 @@ def clean(
 def clean_by_corpus_vocab(df: DataFrame, text_col: str = "text", out_col: str = "cleaned_text", min_df: int = 2, *,
                           keep_cols: list[str] | None = None, keep_numbers: bool = True, stop: list[str] | None = None,
                           lemmas: dict[str, str] | None = None, vocab_inrow_max: int = VOCAB_INROW_MAX) -> DataFrame:
-    """``clean`` with the ``corpus_vocab`` of the same rows as vocabulary. Tokens are made and classified once and written to the
-    shared folder; the vocabulary is counted from them and applied to them."""
+    """``clean`` with the ``corpus_vocab`` of the same rows as vocabulary, of any size. Tokens are made and classified once and
+    written to the shared folder; the vocabulary is counted from them and applied to them."""
     stop = fixed.stop_words() if stop is None else list(stop)
     keep = [c for c in df.columns if c != text_col] if keep_cols is None else list(keep_cols)
-    arr = _classified(tx.tokenize(F.col(text_col)), stop, lemmas, keep_numbers)
-    path = scratch_path(df.sparkSession, "classified")
-    df.select(*keep, arr.alias("__arr")).write.parquet(path)
-    rows = df.sparkSession.read.parquet(path)
-    vocab_df, terms = _vocab_terms(_doc_freq(rows, F.col("__arr"), min_df).select("term"), vocab_inrow_max)
-    if terms is not None:
-        body = _in_vocab_sql("x.out", "x.kind", terms)
-        rows = rows.withColumn("__arr", F.expr(f"transform(__arr, x -> named_struct('t', x.t, 'kind', x.kind, 'out', {body}))"))
+    shared_dir(df.sparkSession)
+    rows = vc.written_codes(df, text_col, keep, stop, lemmas, keep_numbers)
+    flagged = vc.flagged_by_freq(vc.term_counts(rows), min_df).checkpoint(eager=True)
+    known = flagged.filter("known")
+    if known.count() <= vocab_inrow_max:
+        rows = vc.keep_terms(rows, [r["code"] for r in known.select("code").collect()])
     else:
-        rows = _vocab_joined(rows, "__arr", vocab_df)
-    out = apply_run_rules(rows, "__arr", "__tokens")
-    return out.select(*keep, F.array_join("__tokens", " ").alias(out_col))
-
-
-def _vocab_joined(rows: DataFrame, arr_col: str, vocab_df: DataFrame) -> DataFrame:
-    """Classified tokens whose words and emoji outside a vocabulary table emit nothing; every row and column is kept."""
-    cols = [c for c in rows.columns if c != arr_col]
-    part = rows.withColumn("__row", F.monotonically_increasing_id()).repartition("__row")
-    ex = part.select("__row", *cols, F.posexplode_outer(arr_col).alias("pos", "x"))
-    ex = ex.withColumns({c: F.when(F.coalesce(F.col("pos"), F.lit(0)) == 0, F.col(c)) for c in cols})
-    wanted = F.col("x.kind").isin("emoji", "word") & F.col("x.out").isNotNull()
-    ex = ex.join(broadcast_below(vocab_df, 96), _spread_nulls(F.col("x.out"), wanted) == F.col("__term"), "left")
-    out = F.when(wanted & F.col("__term").isNull(), F.lit(None).cast("string")).otherwise(F.col("x.out"))
-    ex = ex.select("__row", *cols, F.struct("pos", F.col("x.t").alias("t"), F.col("x.kind").alias("kind"), out.alias("out")).alias("y"))
-    whole = ex.groupBy("__row").agg(F.sort_array(F.collect_list("y")).alias(arr_col), *[F.first(c, ignorenulls=True).alias(c) for c in cols])
-    tokens = F.filter(arr_col, lambda y: y["pos"].isNotNull())
-    return whole.withColumn(arr_col, F.transform(tokens, lambda y: F.struct(y["t"].alias("t"), y["kind"].alias("kind"), y["out"].alias("out")))
-                            ).select(*rows.columns)
+        rows = vc.keep_terms_joined(rows, flagged, min(vocab_inrow_max, vc.HOT_TERMS))
+    return vc.emitted(rows, "__tokens").select(*keep, F.array_join("__tokens", " ").alias(out_col))
 
 
 def _doc_freq(rows: DataFrame, arr: Column, min_df: int) -> DataFrame:

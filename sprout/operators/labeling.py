@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from sprout.functions import fixed
 from sprout.operators.ordering import consecutive_index
-from sprout.session import BROADCAST_BYTES, broadcast_below
+from sprout.session import BROADCAST_BYTES, broadcast_below, shared_dir
 
 BATCH_SIZE = 20
 
@@ -99,8 +99,9 @@ def lexicon_counts(tokens_df: DataFrame, key_cols: list[str] | str, tokens_col:
     """
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     lex = broadcast_below(signed_lexicon(lexicon), 128, max_broadcast_bytes)
-    ex = (tokens_df.select(F.monotonically_increasing_id().alias("__row"), *keys, tokens_col)
-          .select("__row", *keys, F.explode_outer(tokens_col).alias("term")))
+    shared_dir(tokens_df.sparkSession)  # checkpointed: a partition computed again could give its rows other ids
+    tagged = tokens_df.select(F.monotonically_increasing_id().alias("__row"), *keys, tokens_col).checkpoint(eager=True)
+    ex = tagged.select("__row", *keys, F.explode_outer(tokens_col).alias("term"))
     hits = ex.join(lex, "term", "left")
     aggs = []
     for name in fixed.REQUIRED_LABELS:

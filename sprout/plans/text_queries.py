@@ -31,7 +31,7 @@ def o_tokenize():
 
 
 def q_clean_text(spark, sf_dir):
-    return clean(_docs(spark, sf_dir), key_col=None)
+    return clean(_docs(spark, sf_dir))
 
 
 def o_clean_text():
@@ -101,7 +101,7 @@ def o_vocab_filter():
 def q_lemma_table_join(spark, sf_dir):
     """Lemma lookup as a table (join path) rather than a literal map."""
     lt = spark.createDataFrame(fixed.BASIC_LEMMAS, "form string, lemma string")
-    return clean(documents_with_rules(spark, sf_dir), key_col="doc_id", lemma_table=lt)
+    return clean(documents_with_rules(spark, sf_dir), lemma_table=lt)
 
 
 def o_lemma_table_join():

@@ -69,7 +69,7 @@ def test_joined_path_matches_inrow(spark):
     texts = [c[0] for c in CASES]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
     vocab = cl.corpus_vocab(df, "text", min_df=1)
-    joined = cl.clean(df, "text", "c", ["id"], vocab=vocab, key_col="id").collect()
+    joined = cl.clean(df, "text", "c", ["id"], vocab=vocab).collect()
     got = [r["c"] for r in sorted(joined, key=lambda r: r["id"])]
     assert got == _clean_all(spark, texts)
 
@@ -77,15 +77,15 @@ def test_joined_path_matches_inrow(spark):
 def test_vocab_inrow_and_join_paths_agree(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text")
     vocab = cl.corpus_vocab(docs, "text", min_df=3)
-    inrow = cl.clean(docs, "text", "c", ["doc_id"], vocab=vocab, key_col="doc_id").collect()
-    joined = cl.clean(docs, "text", "c", ["doc_id"], vocab=vocab, key_col="doc_id", vocab_inrow_max=0).collect()
+    inrow = cl.clean(docs, "text", "c", ["doc_id"], vocab=vocab).collect()
+    joined = cl.clean(docs, "text", "c", ["doc_id"], vocab=vocab, vocab_inrow_max=0).collect()
     assert {r["doc_id"]: r["c"] for r in inrow} == {r["doc_id"]: r["c"] for r in joined}
 
 
 def test_vocab_drops_unknown_words_but_not_numbers(spark):
     df = spark.createDataFrame([(0, "walked 10 miles with Bob"), (1, "walked home")], "id int, text string")
     vocab = spark.createDataFrame([("walked",), ("home",)], "term string")
-    rows = cl.clean(df, "text", "c", ["id"], vocab=vocab, key_col="id").collect()
+    rows = cl.clean(df, "text", "c", ["id"], vocab=vocab).collect()
     got = {r["id"]: r["c"] for r in rows}
     assert got == {0: "walked 10", 1: "walked home"}
 
@@ -95,7 +95,7 @@ def test_lemma_table_and_dict_agree(spark):
     lem = dict(fixed.BASIC_LEMMAS)
     a = cl.clean(df, "text", "c", ["id"], lemmas=lem).first()["c"]
     table = spark.createDataFrame(fixed.BASIC_LEMMAS, "form string, lemma string")
-    b = cl.clean(df, "text", "c", ["id"], lemma_table=table, key_col="id").first()["c"]
+    b = cl.clean(df, "text", "c", ["id"], lemma_table=table).first()["c"]
     assert a == b == "i run run feel great"
 
 
