@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sprout.operators import features as fe
 from sprout.operators import joint_head as jh
 from sprout.operators import training as tr
+from sprout.operators import word_vectors as wv
 from sprout.operators.cleaning import clean as cl_clean
 from sprout.operators.cleaning import clean_tokens
 from sprout.plans.tables import table
@@ -151,20 +152,44 @@ def q_fit_rf(spark, sf_dir):
     return spark.createDataFrame(_per_label(fit_one), "label string, train_auc double, val_auc double")
 
 
-def q_w2v_features(spark, sf_dir):
-    """F8 re-aimed: Word2Vec fitted on cleaned document tokens; a document vector is the mean of its word
-    vectors (what ``Word2VecModel.transform`` computes)."""
-    from pyspark.ml.feature import Word2Vec
-    from pyspark.ml.functions import vector_to_array
+DIM = 16
+
 
+def q_w2v_features(spark, sf_dir):
+    """F8 re-aimed: word vectors from the mutual information of near words in the cleaned documents; a document vector is the mean
+    of its word vectors."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     shared_dir(spark)
     toks = clean_tokens(docs, "text", "tokens").select("doc_id", "tokens").checkpoint(eager=True)
-    # Trained in as many partitions as the tokens have (Spark's default is one task for the whole corpus); the driver
-    # holds the vocabulary of words seen twice or more and its vectors (words x 16 numbers).
-    w2v = Word2Vec(vectorSize=16, minCount=2, maxIter=1, seed=42, numPartitions=toks.rdd.getNumPartitions(),
-                   inputCol="tokens", outputCol="vec").fit(toks)
-    return w2v.transform(toks).select("doc_id", vector_to_array("vec").alias("doc_vector"))
+    vectors = wv.word_vectors(wv.pmi_table(toks, "tokens", min_count=5, min_pair=2), DIM)
+    return wv.document_vectors(toks, "tokens", vectors, DIM, ["doc_id"])
+
+
+PMI_WINDOW, PMI_WORDS, PMI_PAIRS = 2, 5, 3
+
+
+def q_pmi_table(spark, sf_dir):
+    """F8: the mutual information of near words, for words and pairs seen often enough."""
+    lower = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    toks = table(spark, sf_dir, "documents").select(F.regexp_extract_all(lower, F.lit("[a-z]+"), 0).alias("t"))
+    rows = wv.pmi_table(toks, "t", window=PMI_WINDOW, min_count=PMI_WORDS, min_pair=PMI_PAIRS)
+    return rows.select("w", "c", "n", F.round("pmi", 6).alias("pmi"))
+
+
+def o_pmi_table():
+    return f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z]+') AS t
+  FROM documents),
+u AS (SELECT doc_id, unnest(t) AS w, generate_subscripts(t, 1) AS i FROM d),
+k AS (SELECT w FROM u GROUP BY w HAVING count(*) >= {PMI_WORDS}),
+a AS (SELECT x.w, y.w AS c FROM u x JOIN u y ON x.doc_id = y.doc_id AND y.i BETWEEN x.i + 1 AND x.i + {PMI_WINDOW}),
+b AS (SELECT w, c FROM a UNION ALL SELECT c, w FROM a),
+p AS (SELECT w, c, count(*) AS n FROM b GROUP BY w, c),
+q AS (SELECT * FROM p WHERE n >= CASE WHEN w = c THEN 2 * {PMI_PAIRS} ELSE {PMI_PAIRS} END AND w IN (SELECT w FROM k) AND c IN (SELECT w FROM k)),
+m AS (SELECT w, sum(n) AS n FROM q GROUP BY w),
+r AS (SELECT q.w, q.c, q.n, ln(q.n * (SELECT sum(n) FROM m)::DOUBLE / (x.n * y.n)) AS pmi FROM q JOIN m x ON x.w = q.w JOIN m y ON y.w = q.c)
+SELECT w, c, n, round(pmi, 6) AS pmi FROM r WHERE pmi > 0
+"""
 
 
 def q_model_roundtrip(spark, sf_dir):
@@ -214,9 +239,11 @@ QUERIES.update({
     "fit_gbt": q_fit_gbt,
     "fit_rf": q_fit_rf,
     "w2v_features": q_w2v_features,
+    "pmi_table": q_pmi_table,
     "model_roundtrip": q_model_roundtrip,
 })
 ORACLES.update({
     "history": o_history,
     "joint_head_scores": o_joint_head_scores,
+    "pmi_table": o_pmi_table,
 })
