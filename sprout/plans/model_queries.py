@@ -542,15 +542,14 @@ def _parts(spark, df, key, n=3):
         yield part
 
 
-def _in_runs(spark, df, key, job):
+def _in_runs(spark, df, key, job, last=None):
     """Feed a stream part by part: after each part has come to the input folder, ``job(source, target)`` is run again
-    on the same target, so it has to go on where its last run stopped."""
+    on the same target, so it has to go on where its last run stopped. ``last`` is one more part."""
     from sprout.session import scratch_path
     from sprout.streaming import jobs
 
     folder, target = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
-    target = target if "://" in target else f"file://{target}"
-    for part in _parts(spark, df, key):
+    for part in [*_parts(spark, df, key), *([] if last is None else [last])]:
         part.write.mode("append").parquet(folder)
         job(jobs.file_stream(spark, folder), target)
     return target
@@ -561,7 +560,7 @@ def q_stream_ingest(spark, sf_dir):
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("ord", F.col("doc_id"))
     target = _in_runs(spark, docs, "doc_id", lambda src, to: jobs.stream_ingest(spark, src, "doc_id", "ord", target=to))
-    return spark.read.parquet(target).select("doc_id", "text")
+    return jobs.read_ingested(spark, target).select("doc_id", "text")
 
 
 def q_stream_score(spark, sf_dir):
@@ -593,11 +592,32 @@ def q_stream_daily(spark, sf_dir):
     return out.select("user_id", F.col("day").cast("string").alias("day"), "score")
 
 
+def q_stream_windows(spark, sf_dir):
+    from sprout.streaming import jobs
+
+    events = table(spark, sf_dir, "events")
+
+    def job(src, to):
+        jobs.stream_windows(spark, src, EVENT_LABELS, target=to)
+
+    target = _in_runs(spark, events, "event_id", job, _later(events))
+    out = jobs.read_windows(spark, target)
+    return out.select("user_id", F.col("day").cast("string").alias("day"), "score")
+
+
+def _later(events):
+    """One event long after the last, of nobody: the watermark passes all days before it, its own window stays open."""
+    last = events.agg(F.max("ts").alias("ts")).select((F.col("ts") + F.expr("INTERVAL 5 DAYS")).alias("ts"), F.lit("view").alias("event_type"))
+    return last.select(*[(F.col(f.name) if f.name in last.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in events.schema])
+
+
 def o_stream_ingest():
     from sprout.plans.label_queries import o_dedupe_keep_first
 
     return o_dedupe_keep_first()
 
 
-QUERIES.update({"stream_ingest": q_stream_ingest, "stream_score": q_stream_score, "stream_daily": q_stream_daily})
-ORACLES.update({"stream_ingest": o_stream_ingest, "stream_score": o_score_records, "stream_daily": o_wellness_score})
+QUERIES.update({"stream_ingest": q_stream_ingest, "stream_score": q_stream_score, "stream_daily": q_stream_daily,
+                "stream_windows": q_stream_windows})
+ORACLES.update({"stream_ingest": o_stream_ingest, "stream_score": o_score_records, "stream_daily": o_wellness_score,
+                "stream_windows": o_wellness_score})

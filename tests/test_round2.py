@@ -13,6 +13,7 @@ from sprout.operators import scoring as sc
 from sprout.operators.ordering import consecutive_index
 from sprout.sources import readers as rd
 from sprout.sources import sinks
+from sprout.sources import snapshots
 from sprout.streaming import jobs
 
 
@@ -126,7 +127,7 @@ def test_streams_go_on_where_they_stopped(spark, folder):
     for part in ([(1, "a"), (2, " a "), (3, "b")], [(4, "b"), (5, "c")], []):
         spark.createDataFrame(part, "id int, text string").coalesce(1).write.mode("append").parquet(src)
         jobs.stream_ingest(spark, jobs.file_stream(spark, src), "id", "id", target=target)
-    assert sorted((r["id"], r["text"]) for r in spark.read.parquet(target).collect()) == [(1, "a"), (3, "b"), (5, "c")]
+    assert sorted((r["id"], r["text"]) for r in jobs.read_ingested(spark, target).collect()) == [(1, "a"), (3, "b"), (5, "c")]
 
 
 def test_late_events_count(spark, folder):
@@ -138,7 +139,7 @@ def test_late_events_count(spark, folder):
         jobs.stream_daily(spark, jobs.file_stream(spark, src, 1), {"view": "physical_wellness_pos"}, target=target)
     got = {str(r["day"]): r["score"] for r in jobs.read_daily(spark, target).collect()}
     assert got == {"2024-01-09": pytest.approx(0.35 * 0.4), "2024-01-20": pytest.approx(0.35 * 0.2), "2023-05-01": pytest.approx(0.35 * 0.1)}
-    assert spark.read.parquet(f"{target}/rejects").count() == 1
+    assert snapshots.read_snapshot(spark, f"{target}/rejects").count() == 1
 
 
 def test_chunk_rows_repeat_the_other_columns(spark):
