@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from sprout.functions import fixed
 from sprout.operators import harmonize as hz
+from sprout.operators import label_ledger as ledgers
 from sprout.operators import labeling as lb
+from sprout.operators import truth
 from sprout.operators.cleaning import clean_tokens
 from sprout.plans import oracle_text as ot
 from sprout.plans.tables import WELLNESS_TEXT_SQL, documents_with_wellness, table
-from sprout.session import shared_dir
+from sprout.session import scratch_path, shared_dir
 
 QUERIES = {}
 ORACLES = {}
@@ -324,6 +326,83 @@ def o_label_agreement():
     )
 
 
+def _answers(spark, sf_dir):
+    """Four labellers of two labels: the given labels, two rules on the text, and one rule that is often wrong."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    long = F.col("n_chars") >= 500
+    loud = F.coalesce(F.col("text").contains("!"), F.lit(False))
+    by = docs.select("doc_id", F.explode(F.array(*[
+        F.struct(F.lit(label).alias("label"), F.lit(who).alias("labeller"), said.cast("int").alias("y"))
+        for label, who, said in (("quality", "long", long), ("quality", "calm", ~loud), ("quality", "odd", F.col("doc_id") % 3 > 0),
+                                 ("toxic", "loud", loud), ("toxic", "short", F.col("n_chars") < 200), ("toxic", "odd", F.col("doc_id") % 5 == 0))])).alias("a"))
+    given = lb.to_long(table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"), ["doc_id"], ["quality", "toxic"])
+    given = given.select("doc_id", "label", F.lit("given").alias("labeller"), F.col("y").cast("int").alias("y"))
+    return by.select("doc_id", "a.*").unionByName(given)
+
+
+def q_label_truth(spark, sf_dir):
+    """One step of expectation-maximisation over all labellers: the likelier value of each document and label."""
+    found, _, _ = truth.dawid_skene(_answers(spark, sf_dir), ["doc_id"], steps=1)
+    rows = truth.settled(found, ["doc_id"])
+    return rows.select("doc_id", "label", "y", F.round("confidence", 6).alias("confidence"))
+
+
+def o_label_truth():
+    k = truth.SMOOTHING
+    return f"""
+WITH d AS (SELECT doc_id, n_chars >= 500 AS long, coalesce(contains(text, '!'), false) AS loud, n_chars < 200 AS short FROM documents),
+a AS (SELECT doc_id, 'quality' AS label, 'long' AS labeller, long::INT AS y FROM d UNION ALL SELECT doc_id, 'quality', 'calm', (NOT loud)::INT FROM d
+  UNION ALL SELECT doc_id, 'quality', 'odd', (doc_id % 3 > 0)::INT FROM d UNION ALL SELECT doc_id, 'toxic', 'loud', loud::INT FROM d
+  UNION ALL SELECT doc_id, 'toxic', 'short', short::INT FROM d UNION ALL SELECT doc_id, 'toxic', 'odd', (doc_id % 5 = 0)::INT FROM d
+  UNION ALL SELECT doc_id, 'quality', 'given', quality FROM labels UNION ALL SELECT doc_id, 'toxic', 'given', toxic FROM labels),
+g AS (SELECT * FROM a WHERE y IS NOT NULL),
+vals AS (SELECT DISTINCT label, y AS t FROM g),
+v AS (SELECT g.doc_id, g.label, vals.t, avg((g.y = vals.t)::INT) AS p FROM g JOIN vals USING (label) GROUP BY ALL),
+e AS (SELECT label, t, sum(p) AS s FROM v GROUP BY ALL),
+sh AS (SELECT label, t, (s + {k}) / (sum(s) OVER (PARTITION BY label) + count(*) OVER (PARTITION BY label) * {k}) AS share FROM e),
+seen AS (SELECT g.label, g.labeller, v.t, g.y, sum(v.p) AS s FROM g JOIN v ON g.doc_id = v.doc_id AND g.label = v.label GROUP BY ALL),
+grid AS (SELECT w.label, w.labeller, x.t, z.t AS y FROM (SELECT DISTINCT label, labeller FROM seen) w JOIN vals x ON x.label = w.label JOIN vals z ON z.label = w.label),
+r0 AS (SELECT grid.*, coalesce(s, 0) + {k} AS s FROM grid LEFT JOIN seen USING (label, labeller, t, y)),
+r AS (SELECT label, labeller, t, y, s / sum(s) OVER (PARTITION BY label, labeller, t) AS rate FROM r0),
+l AS (SELECT g.doc_id, g.label, r.t, sum(ln(r.rate)) AS l FROM g JOIN r ON r.label = g.label AND r.labeller = g.labeller AND r.y = g.y GROUP BY ALL),
+c AS (SELECT l.doc_id, l.label, l.t, exp(l.l + ln(sh.share) - max(l.l + ln(sh.share)) OVER (PARTITION BY l.doc_id, l.label)) AS e FROM l JOIN sh USING (label, t)),
+n AS (SELECT doc_id, label, t, e / sum(e) OVER (PARTITION BY doc_id, label) AS p FROM c)
+SELECT doc_id, label, t AS y, round(p, 6) AS confidence FROM n QUALIFY row_number() OVER (PARTITION BY doc_id, label ORDER BY p DESC, t) = 1
+"""
+
+
+# --- L3: ledger --------------------------------------------------------------------------------------------------
+def refusing_labeler(records):
+    """A labeller that finds nothing, and refuses batches whose first text has a length that 7 divides."""
+    if len(records[0]["text"]) % 7 == 0:
+        raise ValueError("refused")
+    return [{"text": r["text"], **dict.fromkeys(fixed.LABELS, 0)} for r in records]
+
+
+def q_label_ledger(spark, sf_dir):
+    """Two runs on one ledger: the first has every second batch, the second all; only what has no response is called."""
+    _, req = _requests(spark, sf_dir)
+    shared_dir(spark)
+    req = req.checkpoint(eager=True)
+    ledger = scratch_path(spark, "label-ledger")
+    for part in (req.where("batch_id % 2 = 0"), req):
+        ledgers.label_missing(part, refusing_labeler, ledger, attempts=2, pause=0.0)
+    own = ledgers.with_digest(req).join(ledgers.answers(spark, ledger), "digest", "left")
+    items = F.size(F.from_json("response", lb.RESPONSE_SCHEMA)["items"])
+    return own.select("source", "batch_id", F.when(F.col("response").isNotNull(), items).otherwise(0).alias("n_items"), "error",
+                      F.col("attempts").cast("int").alias("attempts"))
+
+
+def o_label_ledger():
+    return (
+        "WITH b AS (SELECT source, length(coalesce(text, '')) AS n, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS rn FROM documents), "
+        "g AS (SELECT source, rn // 20 AS batch_id, count(*) AS k, min(CASE WHEN rn % 20 = 0 THEN n END) % 7 = 0 AS bad FROM b GROUP BY ALL) "
+        "SELECT source, CAST(batch_id AS BIGINT) AS batch_id, CAST(CASE WHEN bad THEN 0 ELSE k END AS INTEGER) AS n_items, "
+        "CASE WHEN bad THEN 'ValueError: refused' END AS error, "
+        "CAST(CASE WHEN NOT bad THEN 1 WHEN batch_id % 2 = 0 THEN 4 ELSE 2 END AS INTEGER) AS attempts FROM g"
+    )
+
+
 # --- H14 ---------------------------------------------------------------------------------------------------------
 BLANKED_SQL = ("CASE (conv_id + turn) % 6 WHEN 0 THEN ' \t\n' WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN '\u3000' "
                "ELSE text END")
@@ -351,6 +430,8 @@ QUERIES.update({
     "neutral_flag": q_neutral_flag,
     "polarity_expand": q_polarity_expand,
     "validate_responses": q_validate_responses,
+    "label_truth": q_label_truth,
+    "label_ledger": q_label_ledger,
     "accepted_items": q_accepted_items,
     "label_agreement": q_label_agreement,
     "reject_empty": q_reject_empty,
@@ -365,6 +446,8 @@ ORACLES.update({
     "neutral_flag": o_neutral_flag,
     "polarity_expand": o_polarity_expand,
     "validate_responses": o_validate_responses,
+    "label_truth": o_label_truth,
+    "label_ledger": o_label_ledger,
     "accepted_items": o_accepted_items,
     "label_agreement": o_label_agreement,
     "reject_empty": o_reject_empty,

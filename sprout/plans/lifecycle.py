@@ -17,6 +17,7 @@ from sprout.operators import cleaning as cl
 from sprout.operators import features as fe
 from sprout.operators import harmonize as hz
 from sprout.operators import joint_head as jh
+from sprout.operators import label_ledger as ledgers
 from sprout.operators import labeling as lb
 from sprout.operators import scoring as sc
 from sprout.operators import training as tr
@@ -38,15 +39,20 @@ def _model_input(text_col: str, max_len: int):
 # ---------------------------------------------------------------------------------------------------------------
 def label_corpus(spark: SparkSession, docs: DataFrame, labeler: Callable[[list[dict]], list[dict]],
                  out_dir: str, source_col: str = "source", order_col: str = "doc_id", text_col: str = "text",
-                 partitions: int | None = None) -> tuple[str, str]:
+                 partitions: int | None = None, ledger: str | None = None) -> tuple[str, str]:
     """L1-L10 + S10: batches of 20 per source, the user's labeller per batch (``mapInPandas``), validation;
     accepted items are written partitioned by source, failed batches to a rejects table (a bad batch does not
-    fail the run). Returns (labels path, rejects path)."""
+    fail the run). With a ``ledger`` folder answers are kept there wave by wave and only payloads without one are called
+    (``label_ledger``). Returns (labels path, rejects path)."""
     shared_dir(spark)
     batched = lb.assign_batches(docs.select(order_col, source_col, text_col), source_col, order_col)
     req = lb.build_requests(batched, source_col, text_col).checkpoint(eager=True)
     # Each batch is labelled exactly once: responses are materialised before they are validated and read.
-    resp = lb.label_batches(req, labeler, source_col, partitions).checkpoint(eager=True)
+    if ledger:
+        ledgers.label_missing(req, labeler, ledger, partitions=partitions)
+        resp = ledgers.responses(req, ledger, source_col).checkpoint(eager=True)
+    else:
+        resp = lb.label_batches(req, labeler, source_col, partitions).checkpoint(eager=True)
     val = lb.validate_responses(req, resp, source_col)
     items = lb.accepted_items(req, resp, val, source_col)
     labels_path = sinks.write_dataset(items, f"{out_dir}/labels", "csv", partition_by=[source_col])
