@@ -18,15 +18,19 @@ j common codes lie within the first n - a(n) + j codes of each (j up to a(n)). H
 6. *Other pairs*, only between components, as no link inside one can change it. A pair that shares no hot prefix code shares j
    others or more: such pairs are made from the codes, which at most ``HOT_CODES`` documents each hold, and compared. Pairs
    that share a hot prefix code lie in one clump (documents connected by hot codes): its sets are dealt into tries of about
-   ``GROUP_CODES`` codes, and all its documents outside its largest component query each of them. No pairs are emitted there.
+   ``GROUP_CODES`` codes, its documents outside its largest component into blocks of as many codes, and each block queries
+   each trie. No pairs are emitted there, and no task holds more than a trie and a block.
+
+Links inside a component are not all made: what is returned is enough to connect it.
 
 A comparison is a prefix-tree join: sets with a common beginning share a path of the trie. A query descends all paths, level by
 level; a node adds the overlap of its run of codes for all sets below it, and a subtree goes when the overlap so far plus
 what can remain (of the query, of the longest set below) is under the least overlap that any set below needs, or when
 all its sets are in the query's component.
 
-Null ids: such rows take part in no link and get no component; each is returned. Rows that repeat an id count as one
-document (its largest n_shingles, all its links). Texts without words, empty or null, have an empty set and no links: their
+Ids are longs. Null ids: such rows take part in no link and get no component; each is returned. Rows that repeat an id count as one
+document (its largest n_shingles, all links of all its texts): an id with several texts stands aside, each of its texts is
+compared under a key of its own (a 64-bit hash, as good as a false link is rare), and keys are tied to their ids at the end. Texts without words, empty or null, have an empty set and no links: their
 component is their own id. An empty table gives an empty result.
 """
 
@@ -36,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sprout.llm.common import SPACE_CLASS, materialise, numbered, pick, restored, sized_side, text_or_empty
@@ -46,7 +50,8 @@ from sprout.llm.shingles import CHUNK, shared_hits, shingle_codes
 NUM, DEN = 75, 100
 HOT_CODES = 16          # a code in more of the written sets than this is hot
 HOT_BYTES = 16 << 20    # bound of the table of such codes; the threshold doubles until it holds
-GROUP_CODES = 1 << 20   # codes of the sets that one trie holds, about
+GROUP_CODES = 1 << 20   # codes of the sets that one trie of a clump holds, about
+CENTRE_CODES = 1 << 14  # the same for sets that one centre's set is held against
 CODE_BITS = 58          # of an order key; the bits above hold a hot code's class
 
 
@@ -222,7 +227,7 @@ def _joined(hot):
 def compare(pairs: DataFrame, sets: DataFrame, hot) -> DataFrame:
     """pairs(centre, doc), distinct, to the links (a, b) among them. A centre with many sets is dealt out in parts."""
     load = (pairs.join(sets.select("doc", "size"), "doc").groupBy("centre")
-            .agg(F.ceil(F.sum("size") / F.lit(GROUP_CODES)).alias("parts")))
+            .agg(F.ceil(F.sum("size") / F.lit(CENTRE_CODES)).alias("parts")))
     dealt = materialise(pairs.join(load, "centre").withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")))
                         .select("centre", "part", "doc"), "pairs")
     members = dealt.join(sets, "doc").select("centre", "part", F.lit(0).alias("role"), "doc", F.col("doc").alias("component"), "codes")
@@ -243,14 +248,21 @@ def compare_clumps(placed: DataFrame, sets: DataFrame, hot) -> DataFrame:
                        .join(clump.select("doc", F.col("component").alias("centre")), "doc"), "clumps")
     main = (docs.groupBy("centre", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("centre")
             .agg(F.max(F.struct("n", "component")).alias("m")).select("centre", F.col("m.component").alias("main")))
-    load = (docs.join(sets.select("doc", "size"), "doc").groupBy("centre")
-            .agg(F.ceil(F.sum("size") / F.lit(GROUP_CODES)).alias("parts")))
-    about = materialise(main.join(load, "centre"), "clump-sizes")
+    asks = F.col("component") != F.col("main")
+    load = (docs.join(main, "centre").join(sets.select("doc", "size"), "doc").groupBy("centre", "main")
+            .agg(F.ceil(F.sum("size") / F.lit(GROUP_CODES)).alias("parts"),
+                 F.ceil(F.coalesce(F.sum(F.when(asks, F.col("size"))), F.lit(0)) / F.lit(GROUP_CODES)).alias("blocks")))
+    about = materialise(load.filter("blocks > 0"), "clump-sizes")
     dealt = docs.join(about, "centre").join(sets, "doc")
-    members = dealt.select("centre", F.pmod(F.xxhash64("doc"), F.col("parts")).alias("part"), F.lit(0).alias("role"), "doc", "component", "codes")
-    asked = (dealt.filter("component <> main")
-             .select("centre", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
-                     F.lit(1).alias("role"), "doc", "component", "codes"))
+    part, block = F.pmod(F.xxhash64("doc"), F.col("parts")), F.pmod(F.xxhash64("doc", F.lit(1)), F.col("blocks"))
+
+    def all_below(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+
+    members = dealt.select("*", all_below("blocks").alias("block")).select(
+        "centre", (part * F.col("blocks") + F.col("block")).alias("part"), F.lit(0).alias("role"), "doc", "component", "codes")
+    asked = dealt.filter(asks).select("*", all_below("parts").alias("of")).select(
+        "centre", (F.col("of") * F.col("blocks") + block).alias("part"), F.lit(1).alias("role"), "doc", "component", "codes")
     return _held(members.unionByName(asked), hot)
 
 
@@ -271,14 +283,25 @@ def _apart(a: str, b: str):
 
 
 def links_and_sizes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """docs(doc_id, text, ...) -> links(a, b) enough to connect every component, sizes(doc, size) per id."""
+    """docs(doc_id, text, ...) -> links(a, b) enough to connect every component, between ids and keys of texts; sizes(doc, size) per id."""
     rows = pick(docs, doc="doc_id", text="text").filter("doc IS NOT NULL").withColumn("text", text_or_empty("text"))
     keyed = rows.withColumn("digest", F.unhex(F.sha2(F.col("text"), 256)))
     has_word = F.col("text").rlike(f"[^{SPACE_CLASS}]")
     ids = materialise(keyed.filter(has_word).select("doc", "digest"), "text-ids")
-    groups = materialise(ids.groupBy("digest").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "text-groups")
-    copies = materialise(ids.join(groups.select("digest", "first"), "digest").filter("doc <> first").distinct(), "copies")
-    single = keyed.join(sized_side(copies.select("doc", "digest"), 80), ["doc", "digest"], "left_anti").select("doc", "text")
+    several = materialise(ids.groupBy("doc").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).filter("lo <> hi")
+                          .select(F.col("doc").alias("own")), "ids-of-several-texts")
+    several = sized_side(several, 16)
+    key = F.when(F.col("own").isNull(), F.col("doc")).otherwise(F.xxhash64("digest", F.lit("text")))
+
+    def with_key(rows: DataFrame) -> DataFrame:
+        return rows.join(several, F.col("doc") == F.col("own"), "left").withColumn("key", key).drop("own")
+
+    ids = materialise(with_key(ids), "text-keys")
+    groups = materialise(ids.groupBy("digest").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "text-groups")
+    copies = materialise(ids.join(groups.select("digest", "first"), "digest").filter("key <> first")
+                         .select(F.col("key").alias("doc"), "digest", "first").distinct(), "copies")
+    single = with_key(keyed).select(F.col("key").alias("doc"), "digest", "text")
+    single = single.join(sized_side(copies.select("doc", "digest"), 80), ["doc", "digest"], "left_anti").select("doc", "text")
 
     sizes = materialise(shared_hits(single, _prefix_codes), "prefix-hits")
     size = F.col("size")
@@ -314,10 +337,15 @@ def links_and_sizes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
              .filter(F.col("k") >= 1 + F.floor(F.col("least") / 20)).select("centre", "doc"))
     more = compare(materialise(pairs, "pairs"), sets, hot).unionByName(clumped)
     equal = copies.select(F.col("doc").alias("a"), F.col("first").alias("b"))
-    every = materialise(links.unionByName(more).unionByName(equal), "links")
+    tied = ids.filter("doc <> key").select(F.col("doc").alias("a"), F.col("key").alias("b")).distinct()
+    every = materialise(links.unionByName(more).unionByName(equal).unionByName(tied), "links")
     n = (sizes.select("doc", "size").unionByName(
         copies.select("doc", "first").join(sizes.select(F.col("doc").alias("first"), "size"), "first").select("doc", "size"))
         .groupBy("doc").agg(F.max("size").alias("size")))
+    # sizes by key to sizes by id: a text's key stands for the ids that are tied to it
+    own = tied.join(n.withColumnRenamed("doc", "b"), "b").select(F.col("a").alias("doc"), "size")
+    n = (n.join(tied.select(F.col("b").alias("doc")).distinct(), "doc", "left_anti").unionByName(own)
+         .groupBy("doc").agg(F.max("size").alias("size")))
     return every, n
 
 
@@ -325,6 +353,9 @@ def near_classes(docs: DataFrame) -> DataFrame:
     """One row per id: doc_id, n_shingles, component_id."""
     links, sizes = links_and_sizes(docs)
     label = components(links)
+    named = label.join(sizes.select("doc"), "doc", "left_semi")  # a key of a text is nobody's smallest id
+    least = named.groupBy("component").agg(F.min("doc").alias("least"))
+    label = named.join(least, "component").select("doc", F.col("least").alias("component"))
     out = (sizes.join(label, "doc", "left")
            .select(F.col("doc").alias("doc_id"), F.col("size").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id")))
     nameless = pick(docs, doc_id="doc_id", text="text").filter("doc_id IS NULL")

@@ -149,6 +149,40 @@ def test_near_classes_of_odd_rows(odd, clashing, nothing):
     assert ngram_join.near_classes(nothing).count() == 0
 
 
+def test_an_id_on_two_texts(spark):
+    """All links of all texts of an id count, and n_shingles is that of its longest."""
+    rng = random.Random(8)
+
+    def words(n):
+        return [f"t{rng.randrange(10**6)}" for _ in range(n)]
+
+    a, long, b, c = words(24), words(2004), words(60), words(40)
+    near = [*a[:-1], "other"]
+    rows = [(1, " ".join(a)), (2, " ".join(near)), (2, " ".join(long)), (5, " ".join(long)), (5, " ".join(b)), (9, " ".join([*b[:-1], "end"])),
+            (9, " ".join(b)), (30, " ".join(c)), (31, " ".join(c)), (31, ""), (40, "alone here"), (40, "alone there"), (41, None), (41, "x")]
+    rows += rows[:3]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in
+           ngram_join.near_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == {1: (20, 1), 2: (2000, 1), 5: (2000, 1), 9: (56, 1), 30: (36, 30), 31: (36, 30), 40: (1, 40), 41: (1, 41)}
+
+
+@pytest.mark.parametrize("codes", [1 << 20, 3000])
+def test_template_group_that_does_not_link(spark, monkeypatch, codes):
+    """Texts that share a template but not enough of it, some near copies among them: one clump, tries and blocks dealt out."""
+    monkeypatch.setattr(ngram_join, "GROUP_CODES", codes)
+    rng = random.Random(4)
+    template = [f"b{i}" for i in range(60)]
+    rows = []
+    for i in range(400):
+        own = [f"o{rng.randrange(10**6)}" for _ in range(rng.randint(30, 50))]
+        rows.append((2 * i, " ".join(template + own)))
+        if i % 4 == 0:
+            rows.append((2 * i + 1, " ".join([*template, *own[:-1], "z"])))
+    sets = {i: brute.shingles(t) for i, t in rows}
+    got = ngram_join.near_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == brute.components(sets)
+
+
 def test_one_large_group_of_near_copies(spark):
     rng = random.Random(3)
     base = [f"b{i}" for i in range(120)]
