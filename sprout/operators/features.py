@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sprout.operators.ordering import consecutive_index
+from sprout.session import broadcast_below
 
 # 2^20 hash buckets: the bucket holding a split cut-off has about N / 2^20 rows.
 HASH_PREFIX_CHARS = 5
@@ -111,14 +112,29 @@ def pad_stats(df: DataFrame, order_col: str, len_col: str, batch_size: int = 16)
     )
 
 
-def pad_array(tokens: Column, width: int, pad: str = "<pad>") -> tuple[Column, Column]:
+def pad_array(tokens: Column, width: int | Column, pad: str = "<pad>") -> tuple[Column, Column]:
     """F5 for one row: fixed-width token array and its attention mask."""
-    n = F.least(F.size(tokens), F.lit(width))
-    ids = F.concat(F.slice(tokens, 1, width), F.array_repeat(F.lit(pad), F.lit(width) - n))
-    mask = F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), F.lit(width) - n))
+    width = F.lit(width) if isinstance(width, int) else width
+    n = F.least(F.size(tokens), width)
+    ids = F.concat(F.slice(tokens, F.lit(1), width), F.array_repeat(F.lit(pad), width - n))
+    mask = F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), width - n))
     return ids, mask
 
 
+def pad_batches(df: DataFrame, order_col: str, tokens_col: str, batch_size: int = 16, pad: str = "<pad>") -> DataFrame:
+    """F5 as a table: consecutive batches in ``order_col`` order, every row padded to the longest of its batch.
+
+    All columns plus batch_id, ``padded`` (tokens) and ``mask`` (1 for tokens, 0 for padding). Null tokens count as none. The widths, one
+    number a batch, are joined back, broadcast below a counted size."""
+    tokens = F.coalesce(F.col(tokens_col), F.array().cast("array<string>"))
+    idx = consecutive_index(df.withColumn("__t", tokens), [], [order_col], "__i")
+    rows = idx.withColumn("batch_id", F.floor(F.col("__i") / batch_size).cast("bigint")).drop("__i")
+    widths = rows.groupBy(F.col("batch_id").alias("__b")).agg(F.max(F.size("__t")).alias("__w")).checkpoint(eager=True)
+    rows = rows.join(broadcast_below(widths, 32), F.col("batch_id") == F.col("__b"))
+    padded, mask = pad_array(F.col("__t"), F.col("__w"), pad)
+    return rows.withColumns({"padded": padded, "mask": mask}).drop("__t", "__b", "__w")
+
+
 def chunk_spans(n_tokens: Column, max_len: int = 128, overlap: int = 32) -> Column:
     """ARRAY<STRUCT<chunk_idx, start, length>> of overlapping windows; the last one ends at the document end.
 

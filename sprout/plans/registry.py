@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from sprout.plans import file_queries, label_queries, ml_queries, model_queries, text_queries
+from sprout.plans import feature_queries, file_queries, label_queries, ml_queries, model_queries, text_queries
 
-_MODULES = [text_queries, label_queries, model_queries, file_queries, ml_queries]
+_MODULES = [text_queries, label_queries, model_queries, file_queries, ml_queries, feature_queries]
 
 FLAGSHIP = "score_records"
 

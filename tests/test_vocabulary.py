@@ -67,3 +67,22 @@ def test_empty_table_and_empty_vocabulary(spark, docs):
         got = cl.clean(docs, vocab=nothing, out_col="c", vocab_inrow_max=limit).select("c").collect()
         kept = {t for r in got for t in r["c"].split()}
         assert kept and not any(t.isalpha() and t not in ("not",) for t in kept)
+
+
+def test_ids_that_change_between_attempts(spark):
+    """Rows whose ids would differ each time they are computed: the join paths fix them first."""
+    from pyspark.sql import functions as F
+
+    from sprout.operators import labeling as lb
+
+    words = ["run", "happy", "sad", "work", "the", "blue"]
+    base = spark.createDataFrame([(i, " ".join([words[i % 6], words[i % 5], f"w{i}"])) for i in range(60)], "id long, text string")
+    lemmas = spark.createDataFrame([("happy", "glad")], "form string, lemma string")
+    for _ in range(2):
+        shuffled = base.repartition(4, F.rand()).sortWithinPartitions(F.rand())  # another order in every attempt
+        got = {r["id"]: r["c"] for r in cl.clean(shuffled, out_col="c", lemma_table=lemmas).collect()}
+        want = {r["id"]: r["c"] for r in cl.clean(base, out_col="c", lemmas={"happy": "glad"}).collect()}
+        assert got == want
+        toks = cl.clean_tokens(shuffled, "text", "tokens")
+        joined = lb.lexicon_label(toks, "id", "tokens", lb.lexicon_df(spark), max_inrow_terms=1).orderBy("id").collect()
+        assert joined == lb.lexicon_label(cl.clean_tokens(base, "text", "tokens"), "id", "tokens", lb.lexicon_df(spark)).orderBy("id").collect()
