@@ -10,6 +10,12 @@
    all runs of 50 words that several documents have are found, and no others (but for equal 63-bit codes of different runs).
 4. Neighbouring runs merge into spans of words, end exclusive.
 
+Where this departs from a suffix array: suffixes are compared with all others of equal head, by code, not with the two next to them
+in lexical order. A neighbour in that order shares most words to the *right* of a suffix; the document that shares a passage reaching
+far to the *left* of the same minimiser, and fewer words to its right, can lie many places away (one passage beginning 30 words
+before the minimiser and ending 20 after it, among others that share 100 words after it). Comparing neighbours alone would
+lose it, so equal heads meet by sorting their codes, and the runs around them in the same way.
+
 Sorting is Spark's: codes are dealt out by hash and sorted for a window. Before that each task sorts the codes it holds; of a code that
 several of its documents have, one row goes on and the other documents are noted at once. So a passage in a third of all documents
 reaches the shuffle as one row per chunk, and no pairs are made. The document of smallest id that holds a run keeps it
@@ -29,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sprout.llm.common import materialise, numbered, pick, restored
+from sprout.llm.common import materialise, numbered, pick, restored, sized_side
 from sprout.llm.shingles import rolled, spread_bits, word_codes
 
 LEAST = 50
@@ -214,10 +220,19 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with the words of ``cut`` taken out of the texts; white space around them as it follows. Ids must be unique."""
-    cuts = repeats(docs).select(F.col("doc_id").alias("cut_doc"), "cut").filter(F.size("cut") > 0)
+    """``docs`` with the words of ``cut`` taken out of the texts; white space around them as it follows.
+
+    An id (below 2^62) that stands for several texts has each of them cut as a document of its own, after all others in order, under a
+    hash of id and text. Rows that repeat an id and a text are one document: they are cut alike, and not against each other."""
     own, names = numbered(docs, doc="doc_id", text="text")
-    joined = own.join(cuts, F.col("doc") == F.col("cut_doc"), "left").drop("doc", "cut_doc")
+    own = own.withColumn("digest", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    several = materialise(own.groupBy("doc").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).filter("lo <> hi")
+                          .select(F.col("doc").alias("many")), "ids-of-several-texts")
+    aside = F.xxhash64("digest", "doc").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    own = own.join(sized_side(several, 16), F.col("doc") == F.col("many"), "left")
+    own = own.withColumn("key", F.when(F.col("many").isNull(), F.col("doc")).otherwise(aside)).drop("many", "digest")
+    cuts = repeats(own.select(F.col("key").alias("doc_id"), "text")).select(F.col("doc_id").alias("cut_doc"), "cut").filter(F.size("cut") > 0)
+    joined = own.join(cuts, F.col("key") == F.col("cut_doc"), "left").drop("doc", "key", "cut_doc")
     at = names.index("text")
     kinds = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema.fields)) + ", text string"
     cleaned = joined.mapInArrow(_without, kinds).drop(f"c{at}").withColumnRenamed("text", f"c{at}")

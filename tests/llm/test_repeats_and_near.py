@@ -60,6 +60,25 @@ def test_cutting_leaves_one_copy(spark):
     assert all(out[i].endswith(f"tail{i} of it") and out[i].startswith(f"{i}q") for i in range(5))
 
 
+def test_cutting_ids_on_several_texts(spark):
+    rng = random.Random(7)
+
+    def words(n):
+        return " ".join(f"x{rng.randrange(10**6)}" for _ in range(n))
+
+    passage, other = words(70), words(60)
+    rows = [(1, f"{words(10)} {passage} end"), (2, "short"), (2, f"{words(500)} {passage} tail of 2"), (3, other), (3, f"{other} and more of 3"),
+            (4, f"start {other}"), (4, f"start {other}"), (None, passage), (5, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    out = sorted(((r["doc_id"], r["text"]) for r in suffix_dedup.without_repeats(frame).collect()), key=str)
+    assert len(out) == len(rows)
+    texts = [t for i, t in out if i is not None and t]
+    assert sum(passage in t for t in texts) == 1 and sum(other in t for t in texts) == 2  # the rows of 4 are one document
+    assert {t for i, t in out if i == 2} == {"short", rows[2][1].replace(" " + passage, "")}
+    assert [t for i, t in out if i == 4] == [f"start {other}"] * 2 and sorted(len(t) for i, t in out if i == 3)[0] < 20
+    assert (None, passage) in out and (5, None) in out
+
+
 def test_repeats_frames(clashing, nothing):
     assert suffix_dedup.repeats(clashing).count() > 0
     assert suffix_dedup.repeats(nothing).count() == 0
