@@ -17,9 +17,9 @@ j common codes lie within the first n - a(n) + j codes of each (j up to a(n)). H
    prefix codes with. The links merge most groups, in as many comparisons as documents.
 6. *Other pairs*, only between components, as no link inside one can change it. A pair that shares no hot prefix code shares j
    others or more: such pairs are made from the codes, which at most ``HOT_CODES`` documents each hold, and compared. Pairs
-   that share a hot prefix code lie in one clump (documents connected by hot codes): its sets are dealt into tries of about
-   ``GROUP_CODES`` codes, its documents outside its largest component into blocks of as many codes, and each block queries
-   each trie. No pairs are emitted there, and no task holds more than a trie and a block.
+   that share a hot prefix code lie in one clump (documents connected by hot codes): its sets are dealt into tries of
+   ``LEAST_CODES`` to ``GROUP_CODES`` codes, its documents outside its largest component into blocks of ``GROUP_CODES`` codes, and each block
+   queries each trie. No pairs are emitted there, and no task holds more than a trie and a block.
 
 Links inside a component are not all made: what is returned is enough to connect it.
 
@@ -51,6 +51,7 @@ NUM, DEN = 75, 100
 HOT_CODES = 16          # a code in more of the written sets than this is hot
 HOT_BYTES = 16 << 20    # bound of the table of such codes; the threshold doubles until it holds
 GROUP_CODES = 1 << 20   # codes of the sets that one trie of a clump holds, about
+LEAST_CODES = 1 << 16   # the same where few codes ask
 CENTRE_CODES = 1 << 14  # the same for sets that one centre's set is held against
 CODE_BITS = 58          # of an order key; the bits above hold a hot code's class
 
@@ -250,8 +251,10 @@ def compare_clumps(placed: DataFrame, sets: DataFrame, hot) -> DataFrame:
             .agg(F.max(F.struct("n", "component")).alias("m")).select("centre", F.col("m.component").alias("main")))
     asks = F.col("component") != F.col("main")
     load = (docs.join(main, "centre").join(sets.select("doc", "size"), "doc").groupBy("centre", "main")
-            .agg(F.ceil(F.sum("size") / F.lit(GROUP_CODES)).alias("parts"),
-                 F.ceil(F.coalesce(F.sum(F.when(asks, F.col("size"))), F.lit(0)) / F.lit(GROUP_CODES)).alias("blocks")))
+            .agg(F.sum("size").alias("held"), F.coalesce(F.sum(F.when(asks, F.col("size"))), F.lit(0)).alias("asking")))
+    # small tries where few ask; where many do, large ones, as every query is sent to every trie
+    trie = F.greatest(F.lit(LEAST_CODES), F.least(F.lit(GROUP_CODES), F.col("asking")))
+    load = load.select("centre", "main", F.ceil(F.col("held") / trie).alias("parts"), F.ceil(F.col("asking") / F.lit(GROUP_CODES)).alias("blocks"))
     about = materialise(load.filter("blocks > 0"), "clump-sizes")
     dealt = docs.join(about, "centre").join(sets, "doc")
     part, block = F.pmod(F.xxhash64("doc"), F.col("parts")), F.pmod(F.xxhash64("doc", F.lit(1)), F.col("blocks"))

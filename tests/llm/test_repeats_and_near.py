@@ -189,6 +189,7 @@ def test_an_id_on_two_texts(spark):
 def test_template_group_that_does_not_link(spark, monkeypatch, codes):
     """Texts that share a template but not enough of it, some near copies among them: one clump, tries and blocks dealt out."""
     monkeypatch.setattr(ngram_join, "GROUP_CODES", codes)
+    monkeypatch.setattr(ngram_join, "LEAST_CODES", codes // 4)
     rng = random.Random(4)
     template = [f"b{i}" for i in range(60)]
     rows = []
