@@ -41,7 +41,7 @@ def test_oracles_name_queries():
     q, o = registry.queries(), registry.oracle_sql()
     assert set(o) <= set(q)
     rows_only = set(q) - set(o)
-    assert rows_only == {"fit_logreg_heads", "history", "fit_gbt", "fit_rf", "w2v_features", "model_roundtrip",
+    assert rows_only == {"fit_logreg_heads", "joint_head", "fit_gbt", "fit_rf", "w2v_features", "model_roundtrip",
                          "train_and_score"}
 
 
@@ -65,8 +65,10 @@ def test_model_roundtrip_probabilities(spark, sf_small):
     assert all(0.0 <= r["prob"] <= 1.0 for r in rows)
 
 
-def test_logreg_history_decreases(spark, sf_small):
-    hist = entry.queries()["history"](spark, sf_small).toPandas()
-    for (_, _), g in hist.groupby(["label", "reg_param"]):
-        losses = g.sort_values("iteration")["loss"].tolist()
-        assert losses[-1] <= losses[0] + 1e-9
+def test_history_and_penalty_path(spark, sf_small):
+    hist = entry.queries()["history"](spark, sf_small).toPandas().sort_values("step")
+    losses = hist["train_loss"].tolist()
+    assert losses == sorted(losses, reverse=True) and len(losses) > 3
+    assert hist.loc[hist["best"], "val_loss"].tolist() == [hist["val_loss"].min()]
+    path = entry.queries()["joint_head"](spark, sf_small).toPandas()
+    assert path.loc[path["chosen"], "val_loss"].tolist() == [path["val_loss"].min()]
