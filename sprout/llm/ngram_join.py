@@ -51,7 +51,7 @@ NUM, DEN = 75, 100
 HOT_CODES = 16          # a code in more of the written sets than this is hot
 HOT_BYTES = 16 << 20    # bound of the table of such codes; the threshold doubles until it holds
 GROUP_CODES = 1 << 20   # codes of the sets that one trie of a clump holds, about
-LEAST_CODES = 1 << 16   # the same where few codes ask
+LEAST_CODES = 1 << 14   # the same where few codes ask
 CENTRE_CODES = 1 << 14  # the same for sets that one centre's set is held against
 CODE_BITS = 58          # of an order key; the bits above hold a hot code's class
 

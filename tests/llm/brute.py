@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import sys
 import zlib
 from collections import Counter, defaultdict
 from functools import lru_cache
@@ -179,6 +180,7 @@ def damaged_turns(rows):
 
 def conversation_reports(rows):
     """Rows (conv_id, turn, role, text) to {conv_id: report}, trying all edits."""
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 20_000))
     groups = {c: [] for c, *_ in rows}
     for c, *turn in damaged_turns(rows):
         groups[c].append(turn)
