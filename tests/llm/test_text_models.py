@@ -5,6 +5,7 @@ import math
 import random
 
 import brute
+import ctw_whole
 import numpy as np
 import public_tokenizers
 import pytest
@@ -146,14 +147,14 @@ def build(code, n, least):
     total, rare, log, trees = np.zeros(256, np.int64), np.zeros(256, np.int64), np.zeros(255), []
     for last in np.unique(code >> 8 & 0xFF):
         here = (code >> 8 & 0xFF) == last
-        trees.append(ctw.Tree(code[here], n[here], least))
+        trees.append(ctw_whole.Tree(code[here], n[here], least))
         total, rare, log = total + trees[-1].counts, rare + trees[-1].rare[0], log + trees[-1].log
-    root, rest = ctw.Node(total + rare), ctw.Node(rare)
+    root, rest = ctw_whole.Node(total + rare), ctw_whole.Node(rare)
     weight = ctw.weighted(root.block, log + rest.block)[1]
     rows = [r for t in trees for r in t.rows(root, weight)]
-    first = ctw.byte_logs(weight * root.one + (1 - weight) * rest.one)
+    first = ctw_whole.byte_logs(weight * root.one + (1 - weight) * rest.one)
     logs = np.vstack([first[None], *(np.frombuffer(r[2], np.float32)[None] for r in rows)])
-    return ctw.Model(np.array([0, *(r[0] for r in rows)]), np.array([0, *(r[1] for r in rows)]), logs)
+    return ctw_whole.Model(np.array([0, *(r[0] for r in rows)]), np.array([0, *(r[1] for r in rows)]), logs)
 
 
 @pytest.mark.parametrize("least", [1, 3, 10**6])
