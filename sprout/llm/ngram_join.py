@@ -301,7 +301,7 @@ def links_and_sizes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     ids = materialise(with_key(ids), "text-keys")
     groups = materialise(ids.groupBy("digest").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "text-groups")
-    copies = materialise(ids.join(groups.select("digest", "first"), "digest").filter("key <> first")
+    copies = materialise(ids.join(sized_side(groups.select("digest", "first"), 80), "digest").filter("key <> first")
                          .select(F.col("key").alias("doc"), "digest", "first").distinct(), "copies")
     single = with_key(keyed).select(F.col("key").alias("doc"), "digest", "text")
     single = single.join(sized_side(copies.select("doc", "digest"), 80), ["doc", "digest"], "left_anti").select("doc", "text")
