@@ -3,10 +3,11 @@
 Default plan: every rule runs inside the row with array higher-order functions and literal sets, so cleaning
 is a narrow, shuffle-free projection (one stage, any number of partitions, same result).
 
-When a lookup is a *table*, a vocabulary proven small is applied in the row as a hash set. A larger vocabulary or a
-lemma table goes through the exploded path: rows are partitioned by document key, tokens exploded with their
-position, left-joined to the lookup (broadcast below a counted size, sort-merge with skew splitting otherwise) and
-re-assembled per document in position order. Per-document groups are bounded by the document's own length.
+When a lookup is a *table*, a vocabulary proven small is applied in the row as a hash set. Of a larger vocabulary, or
+for a lemma table, only the tokens that the table may decide are exploded with their position and joined to the lookup
+(``vocabulary``). Only where the kinds of tokens are asked for as well (``keep_kind``), all tokens are exploded, left-joined to the
+lookup (broadcast below a counted size, sort-merge with skew splitting otherwise) and re-assembled per document in position order.
+Per-document groups are bounded by the document's own length.
 
 The run rules (collapse of repeated kept punctuation and of repeated emoji) are two "previous element"
 predicates, evaluated by reading the element before each position:
@@ -113,8 +114,8 @@ def clean_tokens(
     ``lemma_table(form, lemma)`` and ``vocab(term)`` are DataFrames; ``lemmas`` is a small dict (in-row literal
     map). ``stop`` defaults to the engine stop set; ``squash_punct`` first turns '!!!' into '!' and '....' into
     '...' inside the text (T19, off by default). A vocabulary of at most ``vocab_inrow_max`` terms is applied
-    inside the row (no shuffle); of a larger one only rare terms are exploded and joined (``vocabulary``); a lemma
-    table goes through the exploded join path.
+    inside the row (no shuffle); of a larger one only rare terms, and for a lemma table only words that it may change, are exploded
+    and joined (``vocabulary``).
     """
     stop = fixed.stop_words() if stop is None else list(stop)
     vocab_df, terms = (None, None)
@@ -130,10 +131,17 @@ def clean_tokens(
                                              f"'out', {body}))"))
         out = apply_run_rules(out, tmp, out_col, keep_kind)
         return out.drop(tmp)
-    if lemma_table is None and not keep_kind:
-        rows = vc.written_codes(df, text_col, df.columns, stop, lemmas, keep_numbers, squash_punct)
-        flagged = vc.flagged_by_table(vc.term_counts(rows), vocab_df).checkpoint(eager=True)
-        rows = vc.keep_terms_joined(rows, flagged, min(vocab_inrow_max, vc.HOT_TERMS))
+    if not keep_kind:
+        if lemma_table is None:
+            rows = vc.written_codes(df, text_col, df.columns, stop, lemmas, keep_numbers, squash_punct)
+        else:  # stop words are told by their lemmas
+            rows = vc.written_codes(df, text_col, df.columns, [], None, keep_numbers, squash_punct)
+            rows = vc.lemmas_joined(rows, lemma_table, stop)
+        if terms is not None:
+            rows = vc.keep_terms(rows, [f"{kind}{x}" for kind in "we" for x in terms])
+        elif vocab_df is not None:
+            flagged = vc.flagged_by_table(vc.term_counts(rows), vocab_df).checkpoint(eager=True)
+            rows = vc.keep_terms_joined(rows, flagged, min(vocab_inrow_max, vc.HOT_TERMS))
         return vc.emitted(rows, out_col).select(*df.columns, out_col)
     return _clean_tokens_joined(
         df, text_col, out_col, stop, lemmas, lemma_table, vocab_df, terms, keep_numbers, keep_kind, squash_punct,

@@ -8,12 +8,16 @@ vocabulary become ``x`` and the vanishing ``e``.
 A vocabulary of at most ``VOCAB_INROW_MAX`` terms is one hash set inside the row. Beyond, the most frequent terms of the corpus,
 which make up nearly all tokens, are decided inside the row by such a set (in or out of the vocabulary); of the others,
 occurrences that pass a Bloom filter of the vocabulary (built by an aggregation, broadcast below a counted size) are joined to the
-vocabulary, and those found are put back at their places by row. So the exploded rows are the rare terms' only, no term among them is
-hot, false positives fall out in the join, and the result is the same at every size.
+vocabulary, and the places found are joined back by row. So the exploded rows are the rare terms' only, no term among them is
+hot, false positives fall out in the join, and the result is the same at every size. Rows travel as one string each, and a small
+function of one row settles its tokens from the places found, in time that grows with the row's tokens.
+
+A lemma table is looked up in the same way (``lemmas_joined``): only words that the table may change are exploded.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -133,6 +137,47 @@ def keep_terms_joined(rows: DataFrame, flagged: DataFrame, hot_terms: int = HOT_
     return out.withColumn("__codes", F.transform("__last", lambda x: x["code"])).select(*columns)
 
 
+def _occurrences(rows: DataFrame) -> DataFrame:
+    """(__row, pos, code) of every token; made outside a lambda, so what filters them is compiled."""
+    return rows.select("__row", F.posexplode_outer("__codes").alias("pos", "code")).where(F.col("code").isNotNull())
+
+
+def _settle(rows: DataFrame, found: DataFrame, settled) -> DataFrame:
+    """Rows joined to what was found for them, their ``__codes`` made anew by ``settled``(codes as one string, found)."""
+    joined = rows.withColumn("__codes", F.array_join("__codes", SEPARATOR)).join(
+        found.withColumnRenamed("__row", "__at"), F.col("__row") == F.col("__at"), "left")
+    return joined.withColumn("__codes", settled("__codes", "__found")).select(*rows.columns)
+
+
+def lemmas_joined(rows: DataFrame, lemma_table: DataFrame, stop: list[str], hot_terms: int = HOT_TERMS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Words (written in lower case, without lemmas and stop words) to their lemmas by ``lemma_table`` (form, lemma); stop words among
+    these then emit nothing. Of several lemmas of a form, all in lower case, the first by name counts."""
+    table = lemma_table.select(F.concat(F.lit("w"), F.lower("form")).alias("code"), F.lower("lemma").alias("lemma"))
+    table = table.groupBy("code").agg(F.min("lemma").alias("lemma"))
+    table = table.where(F.concat(F.lit("w"), "lemma") != F.col("code")).checkpoint(eager=True)
+    n_forms = table.count()
+    words = _occurrences(rows).where(_letter(F.col("code")) == "w")
+    if n_forms <= hot_terms:
+        words = words.where(F.expr(in_list("code", [r["code"] for r in table.select("code").collect()])))
+    else:
+        words = bloom_pass(words, table.select("code"), n_forms, max_bytes)
+    found = words.join(broadcast_below(table, 128, max_bytes), "code").groupBy("__row").agg(
+        F.collect_list(F.struct("pos", "lemma")).alias("__found"))
+    stops = {f"w{x}" for x in stop}
+
+    @F.pandas_udf("array<string>")
+    def settled(codes: pd.Series, found: pd.Series) -> pd.Series:
+        def one(text: str, places: list[dict] | None) -> list[str]:
+            out = text.split(SEPARATOR) if text else []
+            for place in () if places is None else places:
+                out[place["pos"]] = f"w{place['lemma']}"
+            return ["x" if x in stops else x for x in out]
+
+        return pd.Series([one(*r) for r in zip(codes, found, strict=True)], dtype=object)
+
+    return _settle(rows, found, settled)
+
+
 def flagged_by_freq(counts: DataFrame, min_df: int) -> DataFrame:
     return counts.withColumn("known", F.col("doc_freq") >= min_df)
 
