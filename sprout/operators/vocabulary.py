@@ -51,7 +51,7 @@ def written_codes(df: DataFrame, text_col: str, keep: list[str], stop: list[str]
     path = scratch_path(df.sparkSession, "token-codes")
     df.select(*keep, F.monotonically_increasing_id().alias("__row"), codes.alias("__codes")).write.parquet(path)
     rows = df.sparkSession.read.parquet(path)
-    return rows.withColumn("__codes", F.filter(F.split("__codes", SEPARATOR), lambda x: x != ""))
+    return rows.withColumn("__codes", F.array_remove(F.split("__codes", SEPARATOR), ""))
 
 
 def _letter(code: Column) -> Column:
@@ -65,8 +65,8 @@ def _is_term(code: Column) -> Column:
 def term_counts(rows: DataFrame) -> DataFrame:
     """(code, doc_freq) of all words and emoji: distinct inside the row, then a partial aggregate, so a term of a third of all rows is
     combined before the shuffle."""
-    terms = F.array_distinct(F.filter("__codes", _is_term))
-    return rows.select(F.explode(terms).alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("doc_freq"))
+    terms = rows.select(F.explode(F.array_distinct("__codes")).alias("code")).where(_is_term(F.col("code")))
+    return terms.groupBy("code").agg(F.count(F.lit(1)).alias("doc_freq"))
 
 
 def in_list(x: str, codes: list[str]) -> str:
@@ -117,24 +117,21 @@ def keep_terms_joined(rows: DataFrame, flagged: DataFrame, hot_terms: int = HOT_
         rest = flagged.filter((F.col("doc_freq") < n) | ((F.col("doc_freq") == n) & (F.col("code") > code)))
     wanted = rest.filter("known").select("code")
     n_wanted = wanted.count()
-    kept, gone = [r["code"] for r in hot if r["known"]], [r["code"] for r in hot if not r["known"]]
-    mark = (f"CASE WHEN substring(x, 1, 1) NOT IN ('w', 'e') OR length(x) = 1 OR {in_list('x', kept)} THEN x "
-            f"WHEN {in_list('x', gone)} THEN {DROPPED} ELSE concat('?', x) END")
-    columns = rows.columns
-    marked = rows.withColumn("__marked", F.expr(f"transform(__codes, (x, i) -> struct(i AS pos, 0 AS rank, {mark} AS code))"))
-    rare = marked.select("__row", F.explode(F.filter("__marked", lambda x: _letter(x["code"]) == "?")).alias("x"))
-    rare = rare.select("__row", F.col("x.pos").alias("pos"), F.expr("substring(x.code, 2)").alias("code"))
+    rare = _occurrences(rows).where(_is_term(F.col("code")) & ~F.expr(in_list("code", [r["code"] for r in hot])))
     rare = bloom_pass(rare, wanted, n_wanted, max_bytes)
-    found = rare.join(broadcast_below(wanted, 96, max_bytes), "code").groupBy("__row").agg(
-        F.collect_list(F.struct("pos", F.lit(1).alias("rank"), "code")).alias("__found"))
-    out = marked.join(found.withColumnRenamed("__row", "__at"), F.col("__row") == F.col("__at"), "left")
-    unknown = "CASE WHEN x.code LIKE '?e%' THEN 'e' WHEN x.code LIKE '?%' THEN 'x' ELSE x.code END"
-    base = F.expr(f"transform(__marked, x -> struct(x.pos AS pos, x.rank AS rank, {unknown} AS code))")
-    out = out.withColumn("__merged", F.when(F.col("__found").isNull(), base).otherwise(F.sort_array(F.concat(base, F.col("__found")))))
-    # of two entries of a place the found one, the second, stands
-    last = F.filter("__merged", lambda x, i: ~F.coalesce(F.get(F.col("__merged"), i + 1)["pos"] == x["pos"], F.lit(False)))
-    out = out.withColumn("__last", F.when(F.col("__found").isNull(), F.col("__merged")).otherwise(last))
-    return out.withColumn("__codes", F.transform("__last", lambda x: x["code"])).select(*columns)
+    found = rare.join(broadcast_below(wanted, 96, max_bytes), "code").groupBy("__row").agg(F.collect_list("pos").alias("__found"))
+    kept, gone = {r["code"] for r in hot if r["known"]}, {r["code"] for r in hot if not r["known"]}
+
+    @F.pandas_udf("array<string>")
+    def settled(codes: pd.Series, found: pd.Series) -> pd.Series:
+        def one(text: str, places: list[int] | None) -> list[str]:
+            known = set() if places is None else set(places)
+            return [x if x[0] not in "we" or len(x) == 1 or x in kept or (i in known and x not in gone) else "e" if x[0] == "e" else "x"
+                    for i, x in enumerate(text.split(SEPARATOR))] if text else []
+
+        return pd.Series([one(*r) for r in zip(codes, found, strict=True)], dtype=object)
+
+    return _settle(rows, found, settled)
 
 
 def _occurrences(rows: DataFrame) -> DataFrame:

@@ -66,3 +66,9 @@ def test_only_words_of_the_lemma_table_are_joined(spark, docs, monkeypatch):
     table = spark.createDataFrame([("ran", "run")], "form string, lemma string")
     cl.clean(docs, out_col="c", lemma_table=table).collect()
     assert seen == [sum((r["text"] or "").split().count("ran") for r in docs.collect())]
+
+
+def test_rows_of_a_large_vocabulary_are_not_sorted_token_by_token(docs):
+    rows = vc.written_codes(docs, "text", ["id"], fixed.stop_words(), None, True)
+    plan = plan_of(vc.keep_terms_joined(rows, vc.flagged_by_freq(vc.term_counts(rows), 2), hot_terms=2))
+    assert "sort_array" not in plan and "struct<pos" not in plan
