@@ -258,5 +258,5 @@ def corpus_vocab(df: DataFrame, text_col: str = "text", min_df: int = 2, *, keep
     present in a third of all documents is combined before the shuffle.
     """
     stop = fixed.stop_words() if stop is None else list(stop)
-    arr = _classified(tx.tokenize(F.col(text_col)), stop, lemmas, keep_numbers)
+    arr = _classified(F.array_distinct(tx.tokenize(F.col(text_col))), stop, lemmas, keep_numbers)
     return _doc_freq(df, arr, min_df)

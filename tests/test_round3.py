@@ -72,3 +72,10 @@ def test_rows_of_a_large_vocabulary_are_not_sorted_token_by_token(docs):
     rows = vc.written_codes(docs, "text", ["id"], fixed.stop_words(), None, True)
     plan = plan_of(vc.keep_terms_joined(rows, vc.flagged_by_freq(vc.term_counts(rows), 2), hot_terms=2))
     assert "sort_array" not in plan and "struct<pos" not in plan
+
+
+def test_a_vocabulary_classifies_each_token_of_a_row_once(docs):
+    assert "array_distinct(regexp_extract_all" in plan_of(cl.corpus_vocab(docs, min_df=1))
+    want = Counter(t for r in cl.clean_tokens(docs).collect() for t in set(r["clean_tokens"]) if t.isalpha() and t not in ("not", "ten"))
+    got = {r["term"]: r["doc_freq"] for r in cl.corpus_vocab(docs, min_df=1).collect()}
+    assert {t: n for t, n in got.items() if t.isalpha()} == want
