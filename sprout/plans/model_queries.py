@@ -320,8 +320,9 @@ def o_pad_stats():
 
 def q_chunk_stride(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    n = F.size(tx.tokenize(F.col("text")))
-    ex = docs.select("doc_id", F.explode(fe.chunk_spans(n, MAX_LEN, OVERLAP)).alias("c"))
+    # The count is a column of its own: as an expression it would be evaluated again for every chunk of a text.
+    docs = docs.select("doc_id", F.size(tx.tokenize(F.col("text"))).alias("n"))
+    ex = docs.select("doc_id", F.explode(fe.chunk_spans(F.col("n"), MAX_LEN, OVERLAP)).alias("c"))
     return ex.select("doc_id", F.col("c.chunk_idx").alias("chunk_idx"), F.col("c.start").alias("start"),
                      F.col("c.length").alias("length"))
 

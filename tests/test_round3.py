@@ -79,3 +79,7 @@ def test_a_vocabulary_classifies_each_token_of_a_row_once(docs):
     want = Counter(t for r in cl.clean_tokens(docs).collect() for t in set(r["clean_tokens"]) if t.isalpha() and t not in ("not", "ten"))
     got = {r["term"]: r["doc_freq"] for r in cl.corpus_vocab(docs, min_df=1).collect()}
     assert {t: n for t, n in got.items() if t.isalpha()} == want
+
+
+def test_chunks_count_the_tokens_of_a_text_once(spark):
+    assert plan_of(mq.q_chunk_stride(spark, "/root/testdata/sf0.001")).count("regexp_extract_all") == 1
