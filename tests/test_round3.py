@@ -83,3 +83,30 @@ def test_a_vocabulary_classifies_each_token_of_a_row_once(docs):
 
 def test_chunks_count_the_tokens_of_a_text_once(spark):
     assert plan_of(mq.q_chunk_stride(spark, "/root/testdata/sf0.001")).count("regexp_extract_all") == 1
+
+
+@pytest.mark.parametrize("at_a_time", [1, 7, 1 << 18])
+def test_near_counts_in_slices(spark, at_a_time, monkeypatch):
+    rng = random.Random(at_a_time)
+    texts = [[rng.choice(["a", "b", "é", "😂", "～", "", None]) for _ in range(rng.randint(0, 9))] for _ in range(40)] + [None, [], [None]]
+    rows = spark.createDataFrame([(t,) for t in texts], "t array<string>").repartition(2)
+    plain = [[w for w in t or [] if w is not None] for t in texts]
+    pairs = Counter((t[i], t[j]) for t in plain for i in range(len(t)) for j in range(len(t)) if 0 < abs(i - j) <= 3)
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.list_(pa.string()))], names=["t"])
+    monkeypatch.setattr(wv, "SLICE_TOKENS", at_a_time)
+    once = Counter()
+    for part in wv._near_counts(batch, 3):
+        for a, b, n in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            assert b is None or a.encode() <= b.encode()
+            once[a, b] += n
+    assert {p: n for p, n in once.items() if p[1] is not None} == {p: n // (1 + (p[0] == p[1])) for p, n in pairs.items() if p[0].encode() <= p[1].encode()}
+    assert {a: n for (a, b), n in once.items() if b is None} == Counter(w for t in plain for w in t)
+    assert {(r["w"], r["c"]): r["n"] for r in wv.pair_counts(rows, "t", 3).collect()} == pairs
+
+
+def test_mutual_information_reads_the_tokens_once(spark, docs):
+    rows, calls = counted(spark, docs)
+    wv.pmi_table(rows, "t", min_count=2).count()
+    assert calls.value == docs.count()
