@@ -88,16 +88,22 @@ def o_csv_roundtrip():
     return f"SELECT doc_id, md5({PADDED_SQL}) AS text_md5 FROM documents"
 
 
+FILE_CHARS = 16 << 20  # of text in a label file
+
+
 def q_combine_files(spark, sf_dir):
     """Label files with blanks in their names and two headers, combined into one dataset and read back."""
     folder = scratch_path(spark, "labels")
     docs = table(spark, sf_dir, "documents")
     y = (F.col("doc_id") % 3 - 1).cast("string")
+    # As many files as the texts need: a file of records over several lines is read by one task.
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    n_files = max(2, -(-chars // (2 * FILE_CHARS)))
     for g, cols in enumerate((
         [F.expr(PADDED_SQL).alias("text"), y.alias("quality"), F.lit("5").alias("depth")],
         [F.expr(PADDED_SQL).alias(" Text "), F.lit("never read").alias("TEXT"), y.alias("quality"), F.lit("9").alias("width")],
     )):
-        part = docs.where(F.col("doc_id") % 2 == g).repartitionByRange(2, "doc_id").sortWithinPartitions("doc_id")
+        part = docs.where(F.col("doc_id") % 2 == g).repartitionByRange(n_files, "doc_id").sortWithinPartitions("doc_id")
         sinks.write_named_files(part.select(*cols), folder, f"labels {'ab'[g]} ")
     path = sinks.combine_folder(spark, folder)
     back = rd.read_csv_strings(spark, path, ["text", "quality", "depth"])

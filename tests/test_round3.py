@@ -110,3 +110,16 @@ def test_mutual_information_reads_the_tokens_once(spark, docs):
     rows, calls = counted(spark, docs)
     wv.pmi_table(rows, "t", min_count=2).count()
     assert calls.value == docs.count()
+
+
+def test_label_files_grow_in_number(spark, tmp_path, monkeypatch):
+    texts = spark.range(90).select(F.col("id").alias("doc_id"), F.concat(F.lit("some words "), F.col("id")).alias("text"))
+    texts.unionByName(texts.withColumn("doc_id", F.col("doc_id") + 90)).write.parquet(f"{tmp_path}/documents.parquet")
+    made, write = [], fq.sinks.write_named_files
+    monkeypatch.setattr(fq.sinks, "write_named_files", lambda *a: made.extend(x := write(*a)) or x)
+    monkeypatch.setattr(fq, "FILE_CHARS", 300)
+    got = fq.q_combine_files(spark, str(tmp_path)).collect()
+    assert len(made) >= 8 and len(got) == 90
+    few = len(made)
+    monkeypatch.setattr(fq, "FILE_CHARS", 1 << 24)
+    assert as_rows(fq.q_combine_files(spark, str(tmp_path))) == sorted(map(str, got)) and len(made) == few + 4
