@@ -123,3 +123,26 @@ def test_label_files_grow_in_number(spark, tmp_path, monkeypatch):
     few = len(made)
     monkeypatch.setattr(fq, "FILE_CHARS", 1 << 24)
     assert as_rows(fq.q_combine_files(spark, str(tmp_path))) == sorted(map(str, got)) and len(made) == few + 4
+
+
+def test_lifecycle_cleans_the_documents_once(spark, monkeypatch):
+    from sprout.functions import text as tx
+    from sprout.plans import lifecycle as lc
+
+    class Stop(Exception):
+        pass
+
+    def stop(spark, path, *a, **kw):
+        raise Stop(path)
+
+    made, tokenize = [], tx.tokenize
+    monkeypatch.setattr(tx, "tokenize", lambda *a, **kw: made.append(a) or tokenize(*a, **kw))
+    monkeypatch.setattr(lc, "train_from_processed", stop)
+    with pytest.raises(Stop) as e:
+        ml.q_train_and_score(spark, "/root/testdata/sf0.001")
+    assert len(made) == 1
+    docs = tables.documents_with_wellness(spark, "/root/testdata/sf0.001").select("doc_id", "text")
+    from sprout.plans.label_queries import _lexicon_wide
+
+    want = cl.clean(docs.join(_lexicon_wide(spark, "/root/testdata/sf0.001"), "doc_id"), "text").drop("doc_id")
+    assert as_rows(spark.read.parquet(f"{e.value}/processed_documents.parquet").select(*want.columns)) == as_rows(want)
