@@ -85,6 +85,14 @@ def test_chunks_count_the_tokens_of_a_text_once(spark):
     assert plan_of(mq.q_chunk_stride(spark, "/root/testdata/sf0.001")).count("regexp_extract_all") == 1
 
 
+def test_padding_makes_the_tokens_once(spark, docs):
+    rows, calls = counted(spark, docs)
+    got = fe.pad_batches(rows, "id", "t", 16).collect()
+    assert len(got) == docs.count() == calls.value
+    rows, calls = counted(spark, docs)
+    assert fe.pad_stats(rows.select("id", F.size("t").alias("n")), "id", "n", 16).agg(F.sum("n_rows")).first()[0] == calls.value
+
+
 @pytest.mark.parametrize("at_a_time", [1, 7, 1 << 18])
 def test_near_counts_in_slices(spark, at_a_time, monkeypatch):
     rng = random.Random(at_a_time)
