@@ -14,7 +14,7 @@ from sprout.operators import word_vectors as wv
 from sprout.operators.cleaning import clean as cl_clean
 from sprout.operators.cleaning import clean_tokens
 from sprout.plans.tables import table
-from sprout.session import scratch_path, shared_dir
+from sprout.session import kept, scratch_path, shared_dir
 
 QUERIES = {}
 ORACLES = {}
@@ -161,7 +161,7 @@ def q_w2v_features(spark, sf_dir):
     of its word vectors."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     shared_dir(spark)
-    toks = clean_tokens(docs, "text", "tokens").select("doc_id", "tokens").checkpoint(eager=True)
+    toks = kept(clean_tokens(docs, "text", "tokens").select("doc_id", "tokens"), "tokens")
     vectors = wv.word_vectors(wv.pmi_table(toks, "tokens", min_count=5, min_pair=2), DIM)
     return wv.document_vectors(toks, "tokens", vectors, DIM, ["doc_id"])
 

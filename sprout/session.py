@@ -65,3 +65,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder (one per call, never reused)."""
     base = shared_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """The frame's rows, computed now and read from compressed files in the shared folder; the shuffle files of making them go at once."""
+    spark = df.sparkSession
+    path, before = scratch_path(spark, name), spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.kept_path = path
+    return out
+
+
+def drop_path(df: DataFrame) -> None:
+    """Deletes the files of a frame from ``kept`` that nothing reads any more."""
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.kept_path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
