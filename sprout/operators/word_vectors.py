@@ -362,10 +362,21 @@ def _times(cells: DataFrame, asked: DataFrame, rows: DataFrame, width: int, bloc
     return cells.groupBy("block").cogroup(sent.groupBy("to")).applyInArrow(run, "word string, x array<double>")
 
 
+def _sign(bits: Column, j: int) -> Column:
+    return F.when(F.shiftright(bits, j).bitwiseAND(F.lit(1)) == 1, F.lit(1.0)).otherwise(F.lit(-1.0))
+
+
+def _lean(rows: DataFrame, width: int) -> np.ndarray:
+    """The sum of all rows, each with a sign from a hash of its word."""
+    sign = _sign(F.xxhash64(F.col("word"), F.lit(-1)), 0)
+    sums = rows.agg(*[F.sum(sign * F.col("x")[j]).alias(f"s{j}") for j in range(width)]).first()
+    return np.array([x or 0.0 for x in sums])
+
+
 def _start(asked: DataFrame, width: int) -> DataFrame:
     """A matrix of signs, which are bits of a hash of the word."""
     h = [F.xxhash64(F.col("word"), F.lit(k)) for k in range(-(-width // HASH_BITS))]
-    sign = [F.when(F.shiftright(h[j // HASH_BITS], j % HASH_BITS).bitwiseAND(F.lit(1)) == 1, F.lit(1.0)).otherwise(F.lit(-1.0)) for j in range(width)]
+    sign = [_sign(h[j // HASH_BITS], j % HASH_BITS) for j in range(width)]
     return asked.select("word").distinct().select("word", _array(sign).alias("x"))
 
 
@@ -429,7 +440,7 @@ def word_vectors(pairs: DataFrame, dim: int = 16, *, oversample: int = 8, powers
         drop_path(done)
     order = np.argsort(-value)[:dim]
     value, vector = np.maximum(value[order], 0), vector[:, order]
-    vector = vector * np.where(vector[np.abs(vector).argmax(0), np.arange(dim)] < 0, -1, 1)
+    vector = vector * np.where(_lean(rows, width) @ vector < 0, -1, 1)  # an eigenvector's sign is free: this one holds in any basis
     return _turned(rows, vector * np.sqrt(value)).select("word", F.col("x").alias("vector"))
 
 
